@@ -1,0 +1 @@
+"""Reserved. The operator inventory holds no streaming source, sink or state."""
