@@ -1,15 +1,13 @@
 """Descriptive statistics.
 
-Statistics whose state is small (one number per column) are written as
-``Measures``: aggregate expressions plus the result cells built from them. The
-typed operators run one aggregation over the table, and ``profile`` merges the
-measures of several statistics into a single scan.
+Statistics whose state is small (a few numbers per column) are ``Measures``;
+the typed operators and ``profile`` share them. The others need a shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -27,109 +25,60 @@ from tableprofile.functions.columns import (
     rounded,
     value_bytes,
 )
-from tableprofile.functions.tidy import TIDY_SCHEMA, tidy_cell
-
-# More pairs than this make one generated aggregation method too large for the
-# JIT, so the pairs are stacked into rows instead.
-MAX_PAIRS_IN_ONE_AGGREGATE = 10
-
-
-@dataclass(frozen=True)
-class Measures:
-    """One statistic as aggregates over a table and cells over their results.
-
-    ``cells`` maps a subject (a column, a pair of columns, or None for the
-    whole table) to its metrics. Metrics in ``texts`` hold strings.
-    """
-
-    section: str
-    aggregates: dict[str, Column]
-    cells: dict[str | None, dict[str, Column]]
-    texts: frozenset[str] = field(default_factory=frozenset)
-    message: str | None = None
-
-
-def measure(df: DataFrame, measures: Measures, subject: str, schema: str) -> DataFrame:
-    """Typed result of one statistic: one row per subject."""
-    if not measures.cells:
-        return df.sparkSession.createDataFrame([], schema)
-    totals = _aggregate(df, [measures])
-    rows = [
-        F.struct(F.lit(name).alias(subject), *[e.alias(m) for m, e in metrics.items()])
-        for name, metrics in measures.cells.items()
-    ]
-    return totals.select(F.inline(F.array(*rows)))
-
+from tableprofile.operators.measures import (
+    Aggregate,
+    Cell,
+    Measures,
+    measure,
+    measure_one,
+    row_count,
+)
 
-def measure_tidy(df: DataFrame, several: Sequence[Measures]) -> DataFrame:
-    """Tidy result of several statistics from a single scan."""
-    rows = []
-    for measures in several:
-        if measures.message is not None:
-            message = F.lit(measures.message)
-            rows.append(tidy_cell(measures.section, None, "message", message, True))
-        for subject, metrics in measures.cells.items():
-            for metric, value in metrics.items():
-                text = metric in measures.texts
-                rows.append(tidy_cell(measures.section, subject, metric, value, text))
-    if not rows:
-        return df.sparkSession.createDataFrame([], TIDY_SCHEMA)
-    return _aggregate(df, several).select(F.inline(F.array(*rows)))
-
-
-def _aggregate(df: DataFrame, several: Sequence[Measures]) -> DataFrame:
-    merged: dict[str, Column] = {"rows": F.count(F.lit(1))}
-    for measures in several:
-        merged.update(measures.aggregates)
-    return df.agg(*[e.alias(name) for name, e in merged.items()])
+# Up to this many pairs are correlated ten to a scan; more are stacked into rows
+# and correlated in a single scan.
+MAX_MEASURED_PAIRS = 45
 
 
 # Basic facts
 
 
-def _byte_aggregates(df: DataFrame) -> tuple[dict[str, Column], Column]:
-    """Total bytes: row count times the fixed widths, plus measured values.
-
-    Fixed-width columns are not read at all.
-    """
-    aggregates: dict[str, Column] = {}
+def basic_info_measures(df: DataFrame, digits: int | None = defaults.PERCENT_DIGITS) -> Measures:
+    """Size is the row count times the fixed widths, plus the measured bytes of
+    the values of variable width; fixed-width columns are not read at all."""
+    aggregates = {"rows": row_count()}
     fixed = 0
     for position, f in enumerate(df.schema.fields):
         width = fixed_width(f.dataType)
         if width is None:
-            aggregates[f"bytes_{position}"] = F.sum(value_bytes(named(f.name), f.dataType))
+            size = F.sum(value_bytes(named(f.name), f.dataType))
+            aggregates[f"bytes_{position}"] = Aggregate(size)
         else:
             fixed += width
     total = F.col("rows") * F.lit(fixed).cast("long")
     for name in aggregates:
-        total = total + F.coalesce(F.col(name), F.lit(0).cast("long"))
-    return aggregates, total
-
-
-def basic_info_measures(df: DataFrame, digits: int | None = defaults.PERCENT_DIGITS) -> Measures:
-    aggregates, total = _byte_aggregates(df)
-    numeric = set(numeric_columns(df))
-    cells: dict[str | None, dict[str, Column]] = {
-        None: {
-            "num_rows": F.col("rows"),
-            "num_columns": F.lit(len(df.columns)),
-            "numeric_columns": F.lit(len(numeric)),
-            "other_columns": F.lit(len(df.columns) - len(numeric)),
-            "size_bytes": total,
-            "size_mb": rounded(total / F.lit(1024.0 * 1024.0), digits),
-        }
+        if name != "rows":
+            total = total + F.coalesce(F.col(name), F.lit(0).cast("long"))
+    numeric = len(numeric_columns(df))
+    facts = {
+        "num_rows": F.col("rows"),
+        "num_columns": F.lit(len(df.columns)),
+        "numeric_columns": F.lit(numeric),
+        "other_columns": F.lit(len(df.columns) - numeric),
+        "size_bytes": total,
+        "size_mb": rounded(total / F.lit(1024.0 * 1024.0), digits),
     }
+    cells = [Cell(None, facts, tuple(aggregates))]
     for f in df.schema.fields:
-        cells[f.name] = {"data_type": F.lit(f.dataType.simpleString())}
-    return Measures("basic_info", aggregates, cells, frozenset({"data_type"}))
+        cells.append(Cell(f.name, {"data_type": F.lit(f.dataType.simpleString())}, ()))
+    return Measures("basic_info", aggregates, tuple(cells), frozenset({"data_type"}))
 
 
 def basic_info(df: DataFrame, digits: int | None = defaults.PERCENT_DIGITS) -> DataFrame:
     """Row and column counts, estimated size, and the columns with their types."""
     measures = basic_info_measures(df, digits)
     types = [x for f in df.schema.fields for x in (F.lit(f.name), F.lit(f.dataType.simpleString()))]
-    return _aggregate(df, [measures]).select(
-        *[e.alias(metric) for metric, e in measures.cells[None].items()],
+    return measure_one(df, measures, measures.cells[0]).select(
+        "*",
         F.array(*[F.lit(c) for c in df.columns]).cast("array<string>").alias("column_names"),
         F.create_map(*types).cast("map<string,string>").alias("data_types"),
     )
@@ -144,22 +93,22 @@ def summary_measures(
     max_cols: int | None = defaults.SUMMARY_COLUMNS,
 ) -> Measures:
     chosen = require_columns(df, columns) if columns else numeric_columns(df, max_cols)
-    aggregates: dict[str, Column] = {}
-    cells: dict[str | None, dict[str, Column]] = {}
+    aggregates: dict[str, Aggregate] = {}
+    cells = []
     for name in chosen:
         position, value = df.columns.index(name), as_double(name)
         per_metric = {
-            "min": F.min(value),
-            "max": F.max(value),
-            "mean": F.avg(value),
-            "stddev": F.stddev_samp(value),
+            "min": Aggregate(F.min(value)),
+            "max": Aggregate(F.max(value)),
+            "mean": Aggregate(F.avg(value), 2),
+            "stddev": Aggregate(F.stddev_samp(value), 3),
         }
-        cells[name] = {}
-        for metric, aggregate in per_metric.items():
-            aggregates[f"{metric}_{position}"] = aggregate
-            cells[name][metric] = F.col(f"{metric}_{position}")
+        keyed = {f"{metric}_{position}": a for metric, a in per_metric.items()}
+        aggregates.update(keyed)
+        metrics = {metric: F.col(key) for metric, key in zip(per_metric, keyed)}
+        cells.append(Cell(name, metrics, tuple(keyed)))
     message = None if chosen else defaults.NO_NUMERIC_COLUMNS
-    return Measures("summary_stats", aggregates, cells, message=message)
+    return Measures("summary_stats", aggregates, tuple(cells), message=message)
 
 
 def summary_statistics(
@@ -180,39 +129,41 @@ def summary_statistics(
 
 
 def missing_measures(df: DataFrame, digits: int | None = defaults.PERCENT_DIGITS) -> Measures:
-    aggregates: dict[str, Column] = {}
-    cells: dict[str | None, dict[str, Column]] = {}
+    """Per column, then over all cells of the table (subject None)."""
+    aggregates = {"rows": row_count()}
+    cells = []
     total = F.lit(0).cast("long")
     for position, name in enumerate(df.columns):
-        count = F.col(f"missing_{position}")
-        aggregates[f"missing_{position}"] = F.count_if(named(name).isNull())
-        cells[name] = {
-            "missing_count": count,
-            "missing_pct": percent(count, F.col("rows"), digits),
+        key = f"missing_{position}"
+        aggregates[key] = Aggregate(F.count_if(named(name).isNull()))
+        metrics = {
+            "missing_count": F.col(key),
+            "missing_pct": percent(F.col(key), F.col("rows"), digits),
         }
-        total = total + count
-    values = F.col("rows") * F.lit(len(df.columns)).cast("long")
-    cells[None] = {
+        cells.append(Cell(name, metrics, ("rows", key)))
+        total = total + F.col(key)
+    size = F.col("rows") * F.lit(len(df.columns)).cast("long")
+    overall = {
         "total_missing": total,
-        "total_cells": values,
-        "overall_missing_pct": percent(total, values, digits),
+        "total_cells": size,
+        "overall_missing_pct": percent(total, size, digits),
     }
-    return Measures("missing_values", aggregates, cells)
+    cells.append(Cell(None, overall, tuple(aggregates)))
+    return Measures("missing_values", aggregates, tuple(cells))
 
 
 def missing_values(df: DataFrame, digits: int | None = defaults.PERCENT_DIGITS) -> DataFrame:
     """NULL count and percentage of each column. NaN is a value, not missing."""
-    measures = missing_measures(df, digits)
-    del measures.cells[None]
+    both = missing_measures(df, digits)
+    columns = Measures(both.section, both.aggregates, both.cells[:-1])
     schema = "column string, missing_count bigint, missing_pct double"
-    return measure(df, measures, "column", schema)
+    return measure(df, columns, "column", schema)
 
 
 def missing_overall(df: DataFrame, digits: int | None = defaults.PERCENT_DIGITS) -> DataFrame:
     """NULL count and percentage over all cells of the table."""
     measures = missing_measures(df, digits)
-    cells = measures.cells[None]
-    return _aggregate(df, [measures]).select(*[e.alias(m) for m, e in cells.items()])
+    return measure_one(df, measures, measures.cells[-1])
 
 
 # Unique values
@@ -221,15 +172,16 @@ def missing_overall(df: DataFrame, digits: int | None = defaults.PERCENT_DIGITS)
 def approx_unique_measures(
     df: DataFrame, rsd: float = 0.05, digits: int | None = defaults.PERCENT_DIGITS
 ) -> Measures:
-    aggregates: dict[str, Column] = {}
-    cells: dict[str | None, dict[str, Column]] = {}
+    aggregates = {"rows": row_count()}
+    cells = []
     for position, name in enumerate(df.columns):
-        value = named(name)
-        aggregates[f"distinct_{position}"] = F.approx_count_distinct(value, rsd)
-        aggregates[f"missing_{position}"] = F.count_if(value.isNull())
-        null = F.when(F.col(f"missing_{position}") > 0, 1).otherwise(0)
-        cells[name] = _unique_cells(F.col(f"distinct_{position}") + null, F.col("rows"), digits)
-    return Measures("unique_values", aggregates, cells)
+        found, missing = f"distinct_{position}", f"missing_{position}"
+        aggregates[found] = Aggregate(F.approx_count_distinct(named(name), rsd))
+        aggregates[missing] = Aggregate(F.count_if(named(name).isNull()))
+        null = F.when(F.col(missing) > 0, 1).otherwise(0)
+        metrics = _unique_cells(F.col(found) + null, F.col("rows"), digits)
+        cells.append(Cell(name, metrics, ("rows", found, missing)))
+    return Measures("unique_values", aggregates, tuple(cells), together=True)
 
 
 def _unique_cells(count: Column, rows: Column, digits: int | None) -> dict[str, Column]:
@@ -244,58 +196,43 @@ def unique_values(
 ) -> DataFrame:
     """Distinct values of each column, NULL counted as a value, and their ratio.
 
-    The exact form unpivots the table once into (column, typed value) rows and
-    removes duplicates; each map task first removes its own, so a value held by
-    a third of all rows reaches the shuffle once per task. The approximate form
-    shuffles one sketch per column and task.
+    The exact form unpivots the columns of each type into (position, value)
+    rows and removes duplicates. A map task removes its own duplicates first, so
+    a value held by a third of all rows reaches the shuffle once per task. Every
+    column is read once, by the scan of its type. The approximate form shuffles
+    one sketch per column and task.
     """
     schema = "column string, unique_count bigint, unique_pct double"
     if approx:
         return measure(df, approx_unique_measures(df, rsd, digits), "column", schema)
     if not df.columns:
         return df.sparkSession.createDataFrame([], schema)
-    values = _stack_columns(df)
-    slots = [name for name in values.columns if name != "position"]
-    # Counting the copies of each value alongside yields the row total for free.
-    counted = values.groupBy("position", *slots).agg(F.count(F.lit(1)).alias("copies"))
-    per_column = counted.groupBy("position").agg(
-        F.count(F.lit(1)).alias("unique_count"), F.sum("copies").alias("rows")
-    )
-    # The fold to one row puts a zero beside the columns of an empty table.
-    found = per_column.agg(
+    by_type: dict[str, list[int]] = {}
+    for position, f in enumerate(df.schema.fields):
+        by_type.setdefault(_common_type(f.dataType), []).append(position)
+    parts = [_distinct_counts(df, positions, kind) for kind, positions in by_type.items()]
+    # One row per column comes back; folding them into one row puts a zero beside
+    # the columns of an empty table.
+    found = reduce(DataFrame.unionByName, parts).agg(
         F.map_from_entries(
             F.collect_list(F.struct("position", F.struct("unique_count", "rows")))
         ).alias("found")
     )
+    zero = F.lit(0).cast("long")
     rows = []
     for position, name in enumerate(df.columns):
         hit = F.try_element_at("found", F.lit(position))
-        count = F.coalesce(hit.getField("unique_count"), F.lit(0).cast("long"))
-        total = F.coalesce(hit.getField("rows"), F.lit(0).cast("long"))
-        cells = _unique_cells(count, total, digits)
+        cells = _unique_cells(
+            F.coalesce(hit.getField("unique_count"), zero),
+            F.coalesce(hit.getField("rows"), zero),
+            digits,
+        )
         rows.append(F.struct(F.lit(name).alias("column"), *[e.alias(m) for m, e in cells.items()]))
     return found.select(F.inline(F.array(*rows)))
 
 
-def _stack_columns(df: DataFrame) -> DataFrame:
-    """(position, slot...) rows, one per cell, with one slot per kind of type.
-
-    Typed slots keep values exact and rows narrow: the width grows with the
-    number of different types, not with the number of columns.
-    """
-    kinds = [_slot_type(f.dataType) for f in df.schema.fields]
-    slots = {kind: f"slot_{i}" for i, kind in enumerate(dict.fromkeys(kinds))}
-    cells = []
-    for position, (name, kind) in enumerate(zip(df.columns, kinds)):
-        cells.append(F.lit(position))
-        for slot in slots:
-            value = named(name) if slot == kind else F.lit(None)
-            cells.append(value.cast(slot))
-    stacked = F.stack(F.lit(len(df.columns)), *cells)
-    return df.select(stacked.alias("position", *slots.values()))
-
-
-def _slot_type(data_type: T.DataType) -> str:
+def _common_type(data_type: T.DataType) -> str:
+    """The type whose values a column can be compared in without any loss."""
     if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return "bigint"
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
@@ -305,6 +242,16 @@ def _slot_type(data_type: T.DataType) -> str:
     return data_type.simpleString()
 
 
+def _distinct_counts(df: DataFrame, positions: Sequence[int], kind: str) -> DataFrame:
+    cells = [x for p in positions for x in (F.lit(p), named(df.columns[p]).cast(kind))]
+    values = df.select(F.stack(F.lit(len(positions)), *cells).alias("position", "value"))
+    # The copies of each value add up to the rows of the table.
+    counted = values.groupBy("position", "value").agg(F.count(F.lit(1)).alias("copies"))
+    return counted.groupBy("position").agg(
+        F.count(F.lit(1)).alias("unique_count"), F.sum("copies").alias("rows")
+    )
+
+
 # Correlation
 
 
@@ -315,17 +262,19 @@ def correlation_pairs(
     return list(combinations(chosen, 2))
 
 
-def _operand(name: str, nulls: str) -> Column:
-    if nulls not in ("pairwise", "zero"):
+def _operands(pair: tuple[str, str], nulls: str) -> tuple[Column, Column]:
+    """Both values, or twice NULL where one is missing; or NULL read as 0."""
+    x, y = (as_double(name) for name in pair)
+    if nulls == "zero":
+        return F.coalesce(x, F.lit(0.0)), F.coalesce(y, F.lit(0.0))
+    if nulls != "pairwise":
         raise ValueError(f"Unknown null handling: {nulls}")
-    value = as_double(name)
-    return F.coalesce(value, F.lit(0.0)) if nulls == "zero" else value
+    return F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
 
 
 def _pearson(x: Column, y: Column) -> Column:
-    """Pearson coefficient over rows where both are present; NULL if constant."""
-    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
-    return F.try_divide(F.covar_pop(x, y), spread)
+    """Pearson coefficient; NULL where one side is constant."""
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
 def correlation_measures(
@@ -336,14 +285,17 @@ def correlation_measures(
     digits: int | None = defaults.RATIO_DIGITS,
 ) -> Measures:
     pairs = correlation_pairs(df, columns, max_cols)
-    aggregates: dict[str, Column] = {}
-    cells: dict[str | None, dict[str, Column]] = {}
-    for index, (left, right) in enumerate(pairs):
-        name = f"corr_{index}"
-        aggregates[name] = _pearson(_operand(left, nulls), _operand(right, nulls))
-        cells[f"{left} vs {right}"] = {"correlation": rounded(F.col(name), digits)}
+    aggregates: dict[str, Aggregate] = {}
+    cells = []
+    for index, pair in enumerate(pairs):
+        key = f"corr_{index}"
+        # Four fields for the covariance, three for each deviation.
+        aggregates[key] = Aggregate(_pearson(*_operands(pair, nulls)), 10)
+        cells.append(
+            Cell(" vs ".join(pair), {"correlation": rounded(F.col(key), digits)}, (key,))
+        )
     message = None if pairs else defaults.TWO_COLUMNS_FOR_CORRELATION
-    return Measures("correlation", aggregates, cells, message=message)
+    return Measures("correlation", aggregates, tuple(cells), message=message)
 
 
 def correlation(
@@ -359,18 +311,16 @@ def correlation(
     ``nulls="zero"`` reads NULL as 0. A constant column gives NULL.
     """
     pairs = correlation_pairs(df, columns, max_cols)
-    if not pairs:
-        schema = "pair string, correlation double"
-        return df.sparkSession.createDataFrame([], schema)
-    if len(pairs) <= MAX_PAIRS_IN_ONE_AGGREGATE:
+    if len(pairs) <= MAX_MEASURED_PAIRS:
         measures = correlation_measures(df, columns, max_cols, nulls, digits)
-        return measure(df, measures, "pair", "")
-    cells: list[Column] = []
-    for left, right in pairs:
-        cells += [F.lit(f"{left} vs {right}"), _operand(left, nulls), _operand(right, nulls)]
-    stacked = df.select(F.stack(F.lit(len(pairs)), *cells).alias("pair", "x", "y"))
-    coefficient = _pearson(F.col("x"), F.col("y"))
-    return stacked.groupBy("pair").agg(rounded(coefficient, digits).alias("correlation"))
+        return measure(df, measures, "pair", "pair string, correlation double")
+    cells = [x for i, pair in enumerate(pairs) for x in (F.lit(i), *_operands(pair, nulls))]
+    stacked = df.select(F.stack(F.lit(len(pairs)), *cells).alias("index", "x", "y"))
+    names = F.array(*[F.lit(" vs ".join(pair)) for pair in pairs])
+    by_pair = stacked.groupBy("index").agg(
+        rounded(_pearson(F.col("x"), F.col("y")), digits).alias("correlation")
+    )
+    return by_pair.select(F.element_at(names, F.col("index") + 1).alias("pair"), "correlation")
 
 
 # Value counts

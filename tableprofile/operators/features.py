@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -135,11 +137,23 @@ def baskets(
     return df.select(items.alias("items")).filter(F.size("items") > 0)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give an iterative fit at least one partition per core.
+@contextmanager
+def working_set(df: DataFrame, cache_always: bool = False) -> Iterator[DataFrame]:
+    """Rows a fit reads several times.
 
-    Only a small input has fewer partitions than the cluster has cores; it is
-    shuffled once. A large one is left as it is.
+    An input of fewer partitions than the cluster has cores is small: it is
+    spread over the cores once and cached meanwhile. A large one keeps its
+    partitions, and is cached only on request: a few scans of pruned columns
+    cost less than caching them, and MLlib keeps its own compact copy where it
+    iterates.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    small = df.rdd.getNumPartitions() < cores
+    if not (small or cache_always):
+        yield df
+        return
+    kept = (df.repartition(cores) if small else df).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tableprofile import defaults
 from tableprofile.functions.checkpoints import cut_lineage
 from tableprofile.functions.columns import named
-from tableprofile.operators.features import basket_columns, item
+from tableprofile.operators.features import basket_columns, item, working_set
 
 # A cube has 2^columns grouping sets.
 MAX_CUBE_COLUMNS = 6
@@ -58,10 +58,12 @@ def frequent_itemsets(
     rows = df.select(*[named(c) for c in chosen]).filter(
         F.coalesce(*[named(c).cast("string") for c in chosen]).isNotNull()
     )
-    cube = len(chosen) <= MAX_CUBE_COLUMNS and not _items_may_collide(chosen)
-    if method == "cube" or (method == "auto" and cube):
-        return _by_cube(rows, chosen, min_support)
-    return _by_fpgrowth(rows, chosen, min_support)
+    if method == "auto":
+        small = len(chosen) <= MAX_CUBE_COLUMNS and not _items_may_collide(chosen)
+        method = "cube" if small else "fpgrowth"
+    mine = _by_cube if method == "cube" else _by_fpgrowth
+    with working_set(rows) as kept:
+        return mine(kept, chosen, min_support)
 
 
 def _items_may_collide(columns: Sequence[str]) -> bool:
@@ -139,7 +141,7 @@ def _by_fpgrowth(rows: DataFrame, columns: Sequence[str], min_support: float) ->
     # Baskets left empty by the reduction still count towards the support.
     kept = reduced.select(items.alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support).fit(kept)
-    frame = model.freqItemsets.select(F.array_sort("items").alias("items"), "freq")
+    frame = cut_lineage(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"))
     return Itemsets(frame, kept.count(), min_support)
 
 

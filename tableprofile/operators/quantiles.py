@@ -33,15 +33,19 @@ def exact_median(df: DataFrame, column: str) -> float | None:
     require_columns(df, [column])
     value = F.col("value")
     inside = df.select(as_double(column).alias("value")).filter(~is_missing_number(value))
-    total = inside.count()
-    if total == 0:
-        return None
-    rank = (total + 1) // 2
+    rank = total = None
     while True:
-        middle = (rank - 0.5) / total
+        middle = 0.5 if rank is None else (rank - 0.5) / total
         at = [max(0.0, middle - _MARGIN), min(1.0, middle + _MARGIN)]
-        bracket = F.percentile_approx(value, at, _ACCURACY).alias("bracket")
-        low, high = inside.agg(bracket).first()["bracket"]
+        sketch = inside.agg(
+            F.count(value).alias("n"), F.percentile_approx(value, at, _ACCURACY).alias("bracket")
+        ).first()
+        if rank is None:
+            total = sketch["n"]
+            if total == 0:
+                return None
+            rank = (total + 1) // 2
+        low, high = sketch["bracket"]
         seen = inside.agg(
             F.count_if(value < low).alias("under_low"),
             F.count_if(value <= low).alias("to_low"),

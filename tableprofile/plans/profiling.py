@@ -11,18 +11,18 @@ from pyspark.sql import functions as F
 from tableprofile import defaults
 from tableprofile.functions.tidy import melt
 from tableprofile.operators.describe import (
-    MAX_PAIRS_IN_ONE_AGGREGATE,
+    MAX_MEASURED_PAIRS,
     approx_unique_measures,
     basic_info_measures,
     correlation,
     correlation_measures,
     correlation_pairs,
-    measure_tidy,
     missing_measures,
     summary_measures,
     unique_values,
     value_counts,
 )
+from tableprofile.operators.measures import measure_tidy
 
 STATISTICS = (
     "basic_info",
@@ -45,8 +45,8 @@ def profile(
 ) -> DataFrame:
     """The chosen statistics in tidy form.
 
-    All statistics with small state share one scan of the table. Exact unique
-    values, a correlation of many columns and value counts need a scan each.
+    Statistics with small state share scans of the table. Exact unique values, a
+    correlation of very many columns and value counts are computed apart.
     """
     unknown = [s for s in stats if s not in STATISTICS]
     if unknown:
@@ -66,7 +66,7 @@ def profile(
             apart.append(melt(unique, stat, F.col("column"), ["unique_count", "unique_pct"]))
         elif stat == "correlation":
             pairs = correlation_pairs(df, None, max_correlation_cols)
-            if len(pairs) <= MAX_PAIRS_IN_ONE_AGGREGATE:
+            if len(pairs) <= MAX_MEASURED_PAIRS:
                 shared.append(correlation_measures(df, max_cols=max_correlation_cols))
             else:
                 found = correlation(df, max_cols=max_correlation_cols)
