@@ -111,9 +111,13 @@ REGRESSION = (*COUNTS, "rmse", "r2", "intercept", "coefficient")
 def _elastic_net(spark: SparkSession, folder: str) -> DataFrame:
     """One feature, default penalties, on prices that follow the part key."""
     fit = tp.fit_linear_regression(
-        table(spark, folder, "part"), "p_retailprice", ["p_partkey"], key=["p_partkey"]
+        table(spark, folder, "part"),
+        "p_retailprice",
+        ["p_partkey"],
+        key=["p_partkey"],
+        digits=None,
     )
-    return rounded_doubles(_numbers(fit.facts_frame(), REGRESSION), 3)
+    return rounded_doubles(_numbers(fit.facts_frame(), REGRESSION))
 
 
 def _least_squares(spark: SparkSession, folder: str) -> DataFrame:
@@ -173,13 +177,14 @@ def _regression_cells(features: Sequence[str]) -> list[tuple[str | None, str, st
     return cells + [(f, "coefficient", f"b{i}") for i, f in enumerate(features)]
 
 
-# Closed form for one standardised feature and penalty lam with mix a.
+# Closed form for one standardised feature and penalty lam with mix a. The library
+# standardises by population deviations.
 ELASTIC_NET_SQL = f"""with base as materialized (
   select p_retailprice as y, cast(p_partkey as double) as x,
          {md5_train_sql("p_partkey")} as is_train from part
 ), usable as (select * from base where y is not null),
 moments as (
-  select avg(x) as mx, avg(y) as my, stddev_samp(x) as sx, stddev_samp(y) as sy,
+  select avg(x) as mx, avg(y) as my, stddev_pop(x) as sx, stddev_pop(y) as sy,
          covar_pop(x, y) as cxy, var_pop(x) as vx from usable where is_train
 ), standard as (
   select *, 0.3e0 / sy as lam, 0.8e0 as a, cxy / (sx * sy) as rho, vx / (sx * sx) as v from moments
@@ -188,7 +193,7 @@ moments as (
   from standard
 ), model as (select b0, my - b0 * mx as intercept from slope),
 {_metrics_ctes("intercept + b0 * x")}
-{_facts_sql(_regression_cells(["p_partkey"]), 3, "facts")}"""
+{_facts_sql(_regression_cells(["p_partkey"]), 6, "facts")}"""
 
 
 def _least_squares_sql(

@@ -91,4 +91,6 @@ def count_facts(row: Row) -> list[Fact]:
 
 
 def rounded_value(value: float | None, digits: int | None) -> float | None:
-    return value if value is None or digits is None else round(float(value), digits)
+    if value is None:
+        return None
+    return float(value) if digits is None else round(float(value), digits)
