@@ -24,9 +24,21 @@ _FIXED_WIDTH = {
 }
 
 
+def quoted(name: str) -> str:
+    """The column called exactly ``name`` as SQL text, even when it holds dots."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def named(name: str) -> Column:
-    """The column called exactly ``name``, even when the name holds dots."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """The column called exactly ``name``."""
+    return F.col(quoted(name))
+
+
+def text_literal(value: str | None) -> str:
+    """A string literal as SQL text."""
+    if value is None:
+        return "cast(null as string)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def numeric_columns(df: DataFrame, limit: int | None = None) -> list[str]:
@@ -51,10 +63,13 @@ def is_missing_number(column: Column) -> Column:
     return column.isNull() | F.isnan(column)
 
 
-def percent(part: Column, total: Column, digits: int | None = None) -> Column:
-    """``part`` of ``total`` in percent, 0 when the total is 0."""
-    value = F.coalesce(F.try_divide(part * F.lit(100.0), total), F.lit(0.0))
-    return rounded(value, digits)
+def percent_text(part: str, total: str, digits: int | None = None) -> str:
+    """``part`` of ``total`` in percent as SQL text, 0 when the total is 0."""
+    return rounded_text(f"coalesce(try_divide(({part}) * 100D, {total}), 0D)", digits)
+
+
+def rounded_text(text: str, digits: int | None) -> str:
+    return text if digits is None else f"round({text}, {digits})"
 
 
 def rounded(column: Column, digits: int | None) -> Column:
@@ -75,35 +90,29 @@ def fixed_width(data_type: T.DataType) -> int | None:
     return _FIXED_WIDTH.get(type(data_type))
 
 
-def value_bytes(column: Column, data_type: T.DataType) -> Column:
-    """Bytes of one value as an expression, 0 for a NULL of variable width."""
+def value_bytes(value: str, data_type: T.DataType, depth: int = 0) -> str:
+    """Bytes of one value as SQL text, 0 for a NULL of variable width."""
     width = fixed_width(data_type)
     if width is not None:
-        return F.lit(width).cast("long")
+        return f"{width}L"
     if isinstance(data_type, T.ArrayType):
-        return _array_bytes(column, data_type.elementType)
+        return _array_bytes(value, data_type.elementType, depth)
     if isinstance(data_type, T.MapType):
-        return _array_bytes(F.map_keys(column), data_type.keyType) + _array_bytes(
-            F.map_values(column), data_type.valueType
-        )
+        keys = _array_bytes(f"map_keys({value})", data_type.keyType, depth)
+        return f"{keys} + {_array_bytes(f'map_values({value})', data_type.valueType, depth)}"
     if isinstance(data_type, T.StructType):
-        total = F.lit(0).cast("long")
-        for field in data_type.fields:
-            total = total + value_bytes(column.getField(field.name), field.dataType)
-        return total
+        return " + ".join(
+            value_bytes(f"{value}.{quoted(f.name)}", f.dataType, depth) for f in data_type.fields
+        )
     if not isinstance(data_type, (T.StringType, T.BinaryType)):
-        column = column.cast("string")
-    return F.coalesce(F.octet_length(column), F.lit(0)).cast("long")
+        value = f"cast({value} as string)"
+    return f"cast(coalesce(octet_length({value}), 0) as bigint)"
 
 
-def _array_bytes(column: Column, element_type: T.DataType) -> Column:
+def _array_bytes(value: str, element_type: T.DataType, depth: int) -> str:
     width = fixed_width(element_type)
     if width is not None:
-        total = F.array_size(column).cast("long") * F.lit(width)
-    else:
-        total = F.aggregate(
-            column,
-            F.lit(0).cast("long"),
-            lambda acc, item: acc + value_bytes(item, element_type),
-        )
-    return F.coalesce(total, F.lit(0).cast("long"))
+        return f"coalesce(cast(array_size({value}) as bigint) * {width}L, 0L)"
+    item, total = f"item_{depth}", f"total_{depth}"
+    size = value_bytes(item, element_type, depth + 1)
+    return f"coalesce(aggregate({value}, 0L, ({total}, {item}) -> {total} + {size}), 0L)"

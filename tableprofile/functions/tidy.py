@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableprofile.functions.columns import named
+from tableprofile.functions.columns import named, text_literal
 
 TIDY_SCHEMA = T.StructType(
     [
@@ -23,15 +23,13 @@ TIDY_SCHEMA = T.StructType(
 Fact = tuple[str | None, str, float | str | None]
 
 
-def tidy_cell(section: str, subject: str | None, metric: str, value: Column, text: bool) -> Column:
-    """One tidy row as a struct; ``text`` says which value column takes it."""
-    empty_number, empty_text = F.lit(None).cast("double"), F.lit(None).cast("string")
-    return F.struct(
-        F.lit(section).alias("section"),
-        F.lit(subject).cast("string").alias("subject"),
-        F.lit(metric).alias("metric"),
-        (empty_number if text else value.cast("double")).alias("num_value"),
-        (value.cast("string") if text else empty_text).alias("str_value"),
+def tidy_cell(section: str, subject: str | None, metric: str, value: str, text: bool) -> str:
+    """One tidy row as the SQL text of a struct; ``text`` says which value takes it."""
+    number = "cast(null as double)" if text else f"cast({value} as double)"
+    string = f"cast({value} as string)" if text else "cast(null as string)"
+    return (
+        f"named_struct('section', {text_literal(section)}, 'subject', {text_literal(subject)},"
+        f" 'metric', {text_literal(metric)}, 'num_value', {number}, 'str_value', {string})"
     )
 
 

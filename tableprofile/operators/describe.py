@@ -10,28 +10,29 @@ from collections.abc import Sequence
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableprofile import defaults
 from tableprofile.functions.columns import (
-    as_double,
     fixed_width,
     named,
     numeric_columns,
-    percent,
+    percent_text,
+    quoted,
     require_columns,
-    rounded,
+    rounded_text,
+    text_literal,
     value_bytes,
 )
 from tableprofile.operators.measures import (
+    ROW_COUNT,
     Aggregate,
     Cell,
     Measures,
     measure,
     measure_one,
-    row_count,
 )
 
 # Up to this many pairs are correlated ten to a scan; more are stacked into rows
@@ -45,31 +46,29 @@ MAX_MEASURED_PAIRS = 45
 def basic_info_measures(df: DataFrame, digits: int | None = defaults.PERCENT_DIGITS) -> Measures:
     """Size is the row count times the fixed widths, plus the measured bytes of
     the values of variable width; fixed-width columns are not read at all."""
-    aggregates = {"rows": row_count()}
+    aggregates = {"rows": ROW_COUNT}
     fixed = 0
     for position, f in enumerate(df.schema.fields):
         width = fixed_width(f.dataType)
         if width is None:
-            size = F.sum(value_bytes(named(f.name), f.dataType))
-            aggregates[f"bytes_{position}"] = Aggregate(size)
+            size = value_bytes(quoted(f.name), f.dataType)
+            aggregates[f"bytes_{position}"] = Aggregate(f"sum({size})")
         else:
             fixed += width
-    total = F.col("rows") * F.lit(fixed).cast("long")
-    for name in aggregates:
-        if name != "rows":
-            total = total + F.coalesce(F.col(name), F.lit(0).cast("long"))
+    measured = [f"coalesce({name}, 0L)" for name in aggregates if name != "rows"]
+    total = " + ".join([f"rows * {fixed}L", *measured])
     numeric = len(numeric_columns(df))
     facts = {
-        "num_rows": F.col("rows"),
-        "num_columns": F.lit(len(df.columns)),
-        "numeric_columns": F.lit(numeric),
-        "other_columns": F.lit(len(df.columns) - numeric),
+        "num_rows": "rows",
+        "num_columns": f"{len(df.columns)}",
+        "numeric_columns": f"{numeric}",
+        "other_columns": f"{len(df.columns) - numeric}",
         "size_bytes": total,
-        "size_mb": rounded(total / F.lit(1024.0 * 1024.0), digits),
+        "size_mb": rounded_text(f"({total}) / 1048576D", digits),
     }
     cells = [Cell(None, facts, tuple(aggregates))]
     for f in df.schema.fields:
-        cells.append(Cell(f.name, {"data_type": F.lit(f.dataType.simpleString())}, ()))
+        cells.append(Cell(f.name, {"data_type": text_literal(f.dataType.simpleString())}, ()))
     return Measures("basic_info", aggregates, tuple(cells), frozenset({"data_type"}))
 
 
@@ -87,6 +86,10 @@ def basic_info(df: DataFrame, digits: int | None = defaults.PERCENT_DIGITS) -> D
 # Summary of numeric columns
 
 
+def _double(name: str) -> str:
+    return f"cast({quoted(name)} as double)"
+
+
 def summary_measures(
     df: DataFrame,
     columns: Sequence[str] | None = None,
@@ -96,16 +99,16 @@ def summary_measures(
     aggregates: dict[str, Aggregate] = {}
     cells = []
     for name in chosen:
-        position, value = df.columns.index(name), as_double(name)
+        position, value = df.columns.index(name), _double(name)
         per_metric = {
-            "min": Aggregate(F.min(value)),
-            "max": Aggregate(F.max(value)),
-            "mean": Aggregate(F.avg(value), 2),
-            "stddev": Aggregate(F.stddev_samp(value), 3),
+            "min": Aggregate(f"min({value})"),
+            "max": Aggregate(f"max({value})"),
+            "mean": Aggregate(f"avg({value})", 2),
+            "stddev": Aggregate(f"stddev_samp({value})", 3),
         }
         keyed = {f"{metric}_{position}": a for metric, a in per_metric.items()}
         aggregates.update(keyed)
-        metrics = {metric: F.col(key) for metric, key in zip(per_metric, keyed)}
+        metrics = dict(zip(per_metric, keyed))
         cells.append(Cell(name, metrics, tuple(keyed)))
     message = None if chosen else defaults.NO_NUMERIC_COLUMNS
     return Measures("summary_stats", aggregates, tuple(cells), message=message)
@@ -130,23 +133,21 @@ def summary_statistics(
 
 def missing_measures(df: DataFrame, digits: int | None = defaults.PERCENT_DIGITS) -> Measures:
     """Per column, then over all cells of the table (subject None)."""
-    aggregates = {"rows": row_count()}
+    aggregates = {"rows": ROW_COUNT}
     cells = []
-    total = F.lit(0).cast("long")
+    counts = []
     for position, name in enumerate(df.columns):
-        key = f"missing_{position}"
-        aggregates[key] = Aggregate(F.count_if(named(name).isNull()))
-        metrics = {
-            "missing_count": F.col(key),
-            "missing_pct": percent(F.col(key), F.col("rows"), digits),
-        }
+        key = f"present_{position}"
+        aggregates[key] = Aggregate(f"count({quoted(name)})")
+        count = f"(rows - {key})"
+        metrics = {"missing_count": count, "missing_pct": percent_text(count, "rows", digits)}
         cells.append(Cell(name, metrics, ("rows", key)))
-        total = total + F.col(key)
-    size = F.col("rows") * F.lit(len(df.columns)).cast("long")
+        counts.append(count)
+    total, size = " + ".join(counts) or "0L", f"rows * {len(df.columns)}L"
     overall = {
         "total_missing": total,
         "total_cells": size,
-        "overall_missing_pct": percent(total, size, digits),
+        "overall_missing_pct": percent_text(total, size, digits),
     }
     cells.append(Cell(None, overall, tuple(aggregates)))
     return Measures("missing_values", aggregates, tuple(cells))
@@ -172,20 +173,19 @@ def missing_overall(df: DataFrame, digits: int | None = defaults.PERCENT_DIGITS)
 def approx_unique_measures(
     df: DataFrame, rsd: float = 0.05, digits: int | None = defaults.PERCENT_DIGITS
 ) -> Measures:
-    aggregates = {"rows": row_count()}
+    aggregates = {"rows": ROW_COUNT}
     cells = []
     for position, name in enumerate(df.columns):
-        found, missing = f"distinct_{position}", f"missing_{position}"
-        aggregates[found] = Aggregate(F.approx_count_distinct(named(name), rsd))
-        aggregates[missing] = Aggregate(F.count_if(named(name).isNull()))
-        null = F.when(F.col(missing) > 0, 1).otherwise(0)
-        metrics = _unique_cells(F.col(found) + null, F.col("rows"), digits)
-        cells.append(Cell(name, metrics, ("rows", found, missing)))
+        found, present = f"distinct_{position}", f"present_{position}"
+        aggregates[found] = Aggregate(f"approx_count_distinct({quoted(name)}, {rsd}D)")
+        aggregates[present] = Aggregate(f"count({quoted(name)})")
+        count = f"{found} + if(rows > {present}, 1, 0)"
+        cells.append(Cell(name, _unique_cells(count, "rows", digits), ("rows", found, present)))
     return Measures("unique_values", aggregates, tuple(cells), together=True)
 
 
-def _unique_cells(count: Column, rows: Column, digits: int | None) -> dict[str, Column]:
-    return {"unique_count": count, "unique_pct": percent(count, rows, digits)}
+def _unique_cells(count: str, rows: str, digits: int | None) -> dict[str, str]:
+    return {"unique_count": count, "unique_pct": percent_text(count, rows, digits)}
 
 
 def unique_values(
@@ -218,17 +218,13 @@ def unique_values(
             F.collect_list(F.struct("position", F.struct("unique_count", "rows")))
         ).alias("found")
     )
-    zero = F.lit(0).cast("long")
     rows = []
     for position, name in enumerate(df.columns):
-        hit = F.try_element_at("found", F.lit(position))
-        cells = _unique_cells(
-            F.coalesce(hit.getField("unique_count"), zero),
-            F.coalesce(hit.getField("rows"), zero),
-            digits,
-        )
-        rows.append(F.struct(F.lit(name).alias("column"), *[e.alias(m) for m, e in cells.items()]))
-    return found.select(F.inline(F.array(*rows)))
+        hit = f"try_element_at(found, {position})"
+        count, total = (f"coalesce({hit}.{field}, 0L)" for field in ("unique_count", "rows"))
+        fields = {"column": text_literal(name), **_unique_cells(count, total, digits)}
+        rows.append(f"named_struct({', '.join(f"'{n}', {e}" for n, e in fields.items())})")
+    return found.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def _common_type(data_type: T.DataType) -> str:
@@ -243,8 +239,8 @@ def _common_type(data_type: T.DataType) -> str:
 
 
 def _distinct_counts(df: DataFrame, positions: Sequence[int], kind: str) -> DataFrame:
-    cells = [x for p in positions for x in (F.lit(p), named(df.columns[p]).cast(kind))]
-    values = df.select(F.stack(F.lit(len(positions)), *cells).alias("position", "value"))
+    cells = ", ".join(f"{p}, cast({quoted(df.columns[p])} as {kind})" for p in positions)
+    values = df.selectExpr(f"stack({len(positions)}, {cells}) as (position, value)")
     # The copies of each value add up to the rows of the table.
     counted = values.groupBy("position", "value").agg(F.count(F.lit(1)).alias("copies"))
     return counted.groupBy("position").agg(
@@ -262,19 +258,19 @@ def correlation_pairs(
     return list(combinations(chosen, 2))
 
 
-def _operands(pair: tuple[str, str], nulls: str) -> tuple[Column, Column]:
+def _operands(pair: tuple[str, str], nulls: str) -> tuple[str, str]:
     """Both values, or twice NULL where one is missing; or NULL read as 0."""
-    x, y = (as_double(name) for name in pair)
+    x, y = (_double(name) for name in pair)
     if nulls == "zero":
-        return F.coalesce(x, F.lit(0.0)), F.coalesce(y, F.lit(0.0))
+        return f"coalesce({x}, 0D)", f"coalesce({y}, 0D)"
     if nulls != "pairwise":
         raise ValueError(f"Unknown null handling: {nulls}")
-    return F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return f"if({y} is not null, {x}, null)", f"if({x} is not null, {y}, null)"
 
 
-def _pearson(x: Column, y: Column) -> Column:
+def _pearson(x: str, y: str) -> str:
     """Pearson coefficient; NULL where one side is constant."""
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    return f"try_divide(covar_pop({x}, {y}), stddev_pop({x}) * stddev_pop({y}))"
 
 
 def correlation_measures(
@@ -292,7 +288,7 @@ def correlation_measures(
         # Four fields for the covariance, three for each deviation.
         aggregates[key] = Aggregate(_pearson(*_operands(pair, nulls)), 10)
         cells.append(
-            Cell(" vs ".join(pair), {"correlation": rounded(F.col(key), digits)}, (key,))
+            Cell(" vs ".join(pair), {"correlation": rounded_text(key, digits)}, (key,))
         )
     message = None if pairs else defaults.TWO_COLUMNS_FOR_CORRELATION
     return Measures("correlation", aggregates, tuple(cells), message=message)
@@ -314,13 +310,14 @@ def correlation(
     if len(pairs) <= MAX_MEASURED_PAIRS:
         measures = correlation_measures(df, columns, max_cols, nulls, digits)
         return measure(df, measures, "pair", "pair string, correlation double")
-    cells = [x for i, pair in enumerate(pairs) for x in (F.lit(i), *_operands(pair, nulls))]
-    stacked = df.select(F.stack(F.lit(len(pairs)), *cells).alias("index", "x", "y"))
-    names = F.array(*[F.lit(" vs ".join(pair)) for pair in pairs])
-    by_pair = stacked.groupBy("index").agg(
-        rounded(_pearson(F.col("x"), F.col("y")), digits).alias("correlation")
+    cells = ", ".join(
+        f"{i}, {x}, {y}" for i, (x, y) in enumerate(_operands(pair, nulls) for pair in pairs)
     )
-    return by_pair.select(F.element_at(names, F.col("index") + 1).alias("pair"), "correlation")
+    stacked = df.selectExpr(f"stack({len(pairs)}, {cells}) as (index, x, y)")
+    coefficient = rounded_text(_pearson("x", "y"), digits)
+    by_pair = stacked.groupBy("index").agg(F.expr(coefficient).alias("correlation"))
+    names = ", ".join(text_literal(" vs ".join(pair)) for pair in pairs)
+    return by_pair.selectExpr(f"element_at(array({names}), index + 1) as pair", "correlation")
 
 
 # Value counts

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableprofile import defaults
-from tableprofile.functions.columns import named, numeric_columns, require_columns
+from tableprofile.functions.columns import named, numeric_columns, quoted, require_columns
 from tableprofile.functions.hashing import content_bucket, md5_bucket
 
 # Columns the jobs add carry this prefix, so a table may hold its own "label"
@@ -53,10 +53,9 @@ def feature_stages(features: Sequence[str]) -> list:
     The filling is a stage too, so a fitted pipeline scores raw rows.
     """
     filled = [f"{PREFIX}f{i}" for i in range(len(features))]
-    quoted = ["`" + name.replace("`", "``") + "`" for name in features]
     doubles = ", ".join(
-        f"nanvl(coalesce(cast({column} as double), 0D), 0D) as {name}"
-        for column, name in zip(quoted, filled)
+        f"nanvl(coalesce(cast({quoted(column)} as double), 0D), 0D) as {name}"
+        for column, name in zip(features, filled)
     )
     return [
         SQLTransformer(statement=f"select *, {doubles} from __THIS__"),

@@ -1,4 +1,8 @@
-"""Statistics with small state, as aggregates over a table and cells over them."""
+"""Statistics with small state, as aggregates over a table and cells over them.
+
+Both are SQL text. A wide table needs thousands of small expressions, and Spark
+parses them much faster than Python can build them call by call.
+"""
 
 from __future__ import annotations
 
@@ -6,9 +10,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from tableprofile.functions.columns import quoted, text_literal
 from tableprofile.functions.tidy import TIDY_SCHEMA, tidy_cell
 
 # Spark generates code only for operators of up to 100 fields
@@ -20,12 +24,11 @@ MAX_STATE_FIELDS = 100
 class Aggregate:
     """One aggregate and the number of fields its running state takes."""
 
-    expression: Column
+    expression: str
     fields: int = 1
 
 
-def row_count() -> Aggregate:
-    return Aggregate(F.count(F.lit(1)))
+ROW_COUNT = Aggregate("count(1)")
 
 
 @dataclass(frozen=True)
@@ -36,7 +39,7 @@ class Cell:
     """
 
     subject: str | None
-    metrics: dict[str, Column]
+    metrics: dict[str, str]
     needs: tuple[str, ...]
 
 
@@ -95,22 +98,24 @@ def _scans(several: Sequence[Measures]) -> list[_Scan]:
 
 def _totals(df: DataFrame, aggregates: dict[str, Aggregate]) -> DataFrame:
     """One row; a scan of literals only still counts the rows."""
-    chosen = aggregates or {"rows": row_count()}
-    return df.agg(*[a.expression.alias(name) for name, a in chosen.items()])
+    chosen = aggregates or {"rows": ROW_COUNT}
+    return df.selectExpr(*[f"{a.expression} as {name}" for name, a in chosen.items()])
+
+
+def _inlined(df: DataFrame, scan: _Scan, rows: Sequence[str]) -> DataFrame:
+    return _totals(df, scan.aggregates).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def measure(df: DataFrame, measures: Measures, subject: str, schema: str) -> DataFrame:
     """Typed result of one statistic: one row per subject."""
     parts = []
     for scan in _scans([measures]):
-        rows = [
-            F.struct(
-                F.lit(cell.subject).alias(subject),
-                *[e.alias(metric) for metric, e in cell.metrics.items()],
-            )
-            for _, cell in scan.cells
-        ]
-        parts.append(_totals(df, scan.aggregates).select(F.inline(F.array(*rows))))
+        rows = []
+        for _, cell in scan.cells:
+            fields = {subject: text_literal(cell.subject), **cell.metrics}
+            named_fields = ", ".join(f"{text_literal(n)}, {e}" for n, e in fields.items())
+            rows.append(f"named_struct({named_fields})")
+        parts.append(_inlined(df, scan, rows))
     if not parts:
         return df.sparkSession.createDataFrame([], schema)
     return reduce(DataFrame.unionByName, parts)
@@ -119,7 +124,9 @@ def measure(df: DataFrame, measures: Measures, subject: str, schema: str) -> Dat
 def measure_one(df: DataFrame, measures: Measures, cell: Cell) -> DataFrame:
     """Typed result of one cell, without its subject."""
     needed = {name: measures.aggregates[name] for name in cell.needs}
-    return _totals(df, needed).select(*[e.alias(m) for m, e in cell.metrics.items()])
+    return _totals(df, needed).selectExpr(
+        *[f"{e} as {quoted(m)}" for m, e in cell.metrics.items()]
+    )
 
 
 def measure_tidy(df: DataFrame, several: Sequence[Measures]) -> DataFrame:
@@ -131,7 +138,7 @@ def measure_tidy(df: DataFrame, several: Sequence[Measures]) -> DataFrame:
             for m, cell in scan.cells
             for metric, value in cell.metrics.items()
         ]
-        parts.append(_totals(df, scan.aggregates).select(F.inline(F.array(*rows))))
+        parts.append(_inlined(df, scan, rows))
     messages = [(m.section, None, "message", None, m.message) for m in several if m.message]
     if messages or not parts:
         parts.append(df.sparkSession.createDataFrame(messages, TIDY_SCHEMA))
