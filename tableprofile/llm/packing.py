@@ -37,7 +37,7 @@ ISLANDS = 2
 EPOCHS = 2
 POPULATION = 4
 GENERATIONS = 6
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 
 
 class WordIds:
@@ -53,32 +53,55 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
-
-    def encode(self, text: str | None) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        data = (text or "").encode("utf-8", "replace")
-        parts = (data if b"<|" in data else data.lower()).split()
-        new = set(parts).difference(self.known)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.closes[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        raw = [(text or "").encode("utf-8", "replace") for text in texts]
+        cut = [(data if b"<|" in data else data.lower()).split() for data in raw]
+        new = set().union(*cut).difference(self.known)
         if new:
             self._learn(new)
-        found = b"".join(map(self.known.__getitem__, parts))
+        found = [b"".join(map(self.known.__getitem__, parts)) for parts in cut]
         if len(self.known) > CACHED_WORDS:
             self.known = {}
         return found
 
     def _learn(self, new: set[bytes]) -> None:
         # "word." is "word" and "." to the tokenizer if a letter stands before the mark.
-        ends = {w: w[:-1] for w in new if w[-1:] in b".," and w[-2:-1].isalpha()}
-        todo = [w for w in new if w not in ends]
-        todo += {w for w in ends.values() if w not in self.known}.difference(new)
-        todo += [w for w in (b".", b",") if w not in self.known and w not in new]
-        encoded = self.tokenizer.encode_batch_fast(
-            [w.decode("utf-8") for w in todo], add_special_tokens=False
-        )
-        for word, found in zip(todo, encoded):
-            self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
-        for word, stem in ends.items():
-            self.known[word] = self.known[stem] + self.known[word[-1:]]
+        ends = [w for w in new if w[-1:] in (b".", b",") and w[-2:-1].isalpha()]
+        todo = new.difference(ends)
+        todo.update(w[:-1] for w in ends)
+        todo.update((b".", b","))
+        todo.difference_update(self.known)
+        words = [w.decode("utf-8") for w in todo]
+        self._encode_letters([w for w in words if w.isalpha()])
+        self._encode_each([w for w in words if not w.isalpha()])
+        known = self.known
+        for word in ends:
+            known[word] = known[word[:-1]] + known[word[-1:]]
+
+    def _encode_letters(self, words: list[str]) -> None:
+        """Many words of letters at once: each ends with the one token that closes a word."""
+        for at in range(0, len(words), 4096):
+            own = words[at : at + 4096]
+            found = self.tokenizer.encode(" ".join(own), add_special_tokens=False)
+            ids = np.array(found.ids, dtype="<u4")
+            stops = 4 * (np.flatnonzero(self.closes[ids]) + 1)
+            if len(stops) != len(own):  # a letter that normalises to something else
+                self._encode_each(own)
+                continue
+            data, start = ids.tobytes(), 0
+            for word, stop in zip(own, stops.tolist()):
+                self.known[word.encode("utf-8")] = data[start:stop]
+                start = stop
+
+    def _encode_each(self, words: list[str]) -> None:
+        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        for word, found in zip(words, encoded):
+            self.known[word.encode("utf-8")] = np.array(found.ids, dtype="<u4").tobytes()
 
 
 def token_pieces(
@@ -100,8 +123,8 @@ def token_pieces(
             texts = batch.column(1).to_pylist()
             for part in by_size(texts):
                 at, piece, start, length, crc = [], [], [], [], []
-                for row in range(part.start, part.stop):
-                    ids = words.encode(texts[row]) + closing
+                for row, found in zip(range(part.start, part.stop), words.encode(texts[part])):
+                    ids = found + closing
                     for i, cut in enumerate(range(0, len(ids), 4 * capacity)):
                         own = ids[cut : cut + 4 * capacity]
                         at.append(row)

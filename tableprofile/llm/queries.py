@@ -8,11 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableprofile.llm.compression import compression_bands
+from tableprofile.llm.differencing import shard_documents
 from tableprofile.llm.languages import fit_languages, predict_language
+from tableprofile.llm.packing import pack_pieces, token_pieces
+from tableprofile.llm.pieces import encoding_digest
 from tableprofile.llm.shared import fold_of
 from tableprofile.llm.toxicity import fit_toxicity, score_toxicity
 
 
+def tokenizer_file(name: str) -> str:
+    """Where an installed public tokenizer lies; every machine has the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -29,6 +39,11 @@ def op2_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
     return compression_bands(_table(spark, folder, "documents"))
 
 
+def op4_grouping_genetic_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return pack_pieces(token_pieces(docs, tokenizer_file("word_bpe_49k.json")))
+
+
 def op5_language_families(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     remainder = fold_of(F.col("doc_id"), 4)
@@ -37,7 +52,24 @@ def op5_language_families(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", (remainder == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op7_karmarkar_karp_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return shard_documents(_table(spark, folder, "documents"))
+
+
+def op10_suffix_array_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return encoding_digest(docs, tokenizer_file("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_nn_pu_toxicity, op2_compression_bands, op5_language_families)
+    run.__name__: run
+    for run in (
+        op1_nn_pu_toxicity,
+        op2_compression_bands,
+        op4_grouping_genetic_packing,
+        op5_language_families,
+        op7_karmarkar_karp_shards,
+        op10_suffix_array_pieces,
+    )
 }
 SQL: dict[str, str] = {}
