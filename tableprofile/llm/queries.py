@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tableprofile.llm.chosen_path import similarity_classes
 from tableprofile.llm.compression import compression_bands
+from tableprofile.llm.density import extract_main_text
 from tableprofile.llm.differencing import shard_documents
 from tableprofile.llm.languages import fit_languages, predict_language
 from tableprofile.llm.packing import pack_pieces, token_pieces
@@ -52,10 +54,18 @@ def op5_language_families(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", (remainder == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op6_composite_text_density(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_main_text(_table(spark, folder, "pages"))
+
+
 def op7_karmarkar_karp_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shard_documents(_table(spark, folder, "documents"))
 
 
+def op9_chosen_path_join(spark: SparkSession, folder: str) -> DataFrame:
+    return similarity_classes(_table(spark, folder, "documents"))
+
+
 def op10_suffix_array_pieces(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return encoding_digest(docs, tokenizer_file("piece_bpe_32k.model"))
@@ -68,7 +78,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_compression_bands,
         op4_grouping_genetic_packing,
         op5_language_families,
+        op6_composite_text_density,
         op7_karmarkar_karp_shards,
+        op9_chosen_path_join,
         op10_suffix_array_pieces,
     )
 }
