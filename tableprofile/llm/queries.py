@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from tableprofile.llm.chosen_path import similarity_classes
 from tableprofile.llm.compression import compression_bands
 from tableprofile.llm.density import extract_main_text
+from tableprofile.llm.descent import nearest
 from tableprofile.llm.differencing import shard_documents
 from tableprofile.llm.languages import fit_languages, predict_language
 from tableprofile.llm.packing import pack_pieces, token_pieces
 from tableprofile.llm.pieces import encoding_digest
+from tableprofile.llm.quotations import as_mail, reply_conversations
 from tableprofile.llm.shared import fold_of
 from tableprofile.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -41,6 +43,16 @@ def op2_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
     return compression_bands(_table(spark, folder, "documents"))
 
 
+def op3_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
+    """The turns as mail, where each quotes the two before it; the operator gets them back."""
+    mail = as_mail(_table(spark, folder, "conversations"))
+    found = reply_conversations(mail)
+    return found.select(
+        "conv_id", "turn", F.col("parent").alias("parent_turn"), F.col("root").alias("root_turn"),
+        "reply_depth", "reply_order", "n_quotes", "n_linked", "text",
+    )
+
+
 def op4_grouping_genetic_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return pack_pieces(token_pieces(docs, tokenizer_file("word_bpe_49k.json")))
@@ -62,6 +74,11 @@ def op7_karmarkar_karp_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shard_documents(_table(spark, folder, "documents"))
 
 
+def op8_nn_descent(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings")
+    return nearest(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op9_chosen_path_join(spark: SparkSession, folder: str) -> DataFrame:
     return similarity_classes(_table(spark, folder, "documents"))
 
@@ -76,12 +93,53 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for run in (
         op1_nn_pu_toxicity,
         op2_compression_bands,
+        op3_quotation_linking,
         op4_grouping_genetic_packing,
         op5_language_families,
         op6_composite_text_density,
         op7_karmarkar_karp_shards,
+        op8_nn_descent,
         op9_chosen_path_join,
         op10_suffix_array_pieces,
     )
 }
-SQL: dict[str, str] = {}
+
+# A turn answers the earliest turn with the text of the turn before it, or where that has
+# no word, of the one before that. The tables have no quote marks of their own.
+OP3_SQL = r"""
+with recursive turns as (
+    select conv_id, turn, text,
+           lower(trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g'))) as plain
+    from conversations
+),
+one as (select conv_id, turn, min(plain) as plain from turns group by conv_id, turn),
+firsts as (
+    select conv_id, plain, min(turn) as turn from one where plain <> '' group by conv_id, plain
+),
+links as (
+    select o.conv_id, o.turn, coalesce(f1.turn, f2.turn) as parent,
+           coalesce((b1.plain <> '')::int, 0) + coalesce((b2.plain <> '')::int, 0) as quotes,
+           (f1.turn is not null)::int + (f2.turn is not null)::int as linked
+    from one o
+    left join one b1 on b1.conv_id = o.conv_id and b1.turn = o.turn - 1
+    left join one b2 on b2.conv_id = o.conv_id and b2.turn = o.turn - 2
+    left join firsts f1 on f1.conv_id = o.conv_id and f1.plain = b1.plain and f1.turn < o.turn
+    left join firsts f2 on f2.conv_id = o.conv_id and f2.plain = b2.plain and f2.turn < o.turn
+),
+tree as (
+    select conv_id, turn, turn as root, 0::bigint as depth from links where parent is null
+    union all
+    select l.conv_id, l.turn, t.root, t.depth + 1
+    from links l join tree t on t.conv_id = l.conv_id and t.turn = l.parent
+)
+select c.conv_id, c.turn, l.parent as parent_turn, t.root as root_turn,
+       t.depth as reply_depth,
+       row_number() over (partition by c.conv_id, t.root order by t.depth, c.turn) - 1
+           as reply_order,
+       l.quotes::bigint as n_quotes, l.linked::bigint as n_linked,
+       regexp_replace(coalesce(c.text, ''), '^\s+|\s+$', '', 'g') as text
+from turns c
+join links l on l.conv_id = c.conv_id and l.turn = c.turn
+join tree t on t.conv_id = c.conv_id and t.turn = c.turn
+"""
+SQL: dict[str, str] = {"op3_quotation_linking": OP3_SQL}
