@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableprofile.llm.shared import by_size
+from tableprofile.llm.shared import by_size, unused
 
 _SYMBOLS = re.compile(rb"[#*$%&|<>]")
 
@@ -136,18 +136,21 @@ def compression_bands(
     chunk_share: float = CHUNK_SHARE,
     min_words: int = 50,
     max_repeated_percent: int = 50,
+    prefix: str = "",
 ) -> DataFrame:
-    """Base counts, ratios and the verdict ``kept`` of every row; ``keep`` columns lead.
+    """Base counts, ratios and the verdict ``kept`` of every row; ``keep`` columns lead;
+    the names of the others begin with ``prefix``.
 
     ``base_failed``: under ``min_words`` words, or over ``max_repeated_percent`` percent of
     them in repeated 3-word windows. ``kept`` is false for those, else the bands decide.
     """
     carried = list(keep)
-    measured = (
-        "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long,"
-        " base_failed boolean, kept boolean, ratio double, bad_chunk_share double"
-    )
-    source = docs.select(*carried, F.col(text).alias("_text"))
+    measured = ", ".join(prefix + part for part in (
+        "n_words long", "word_chars long", "n_symbols long", "n_dup_lines long",
+        "n_repeat_words long", "base_failed boolean", "kept boolean", "ratio double",
+        "bad_chunk_share double",
+    ))
+    source = docs.select(*carried, F.col(text).alias(unused("_text", carried)))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
     names = [part.split()[0] for part in measured.split(",")]
 

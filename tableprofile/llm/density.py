@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableprofile.llm.shared import by_size
+from tableprofile.llm.shared import by_size, unused
 
 # Element names of HTML by what the parser does with them.
 _VOID = frozenset(
@@ -307,7 +307,7 @@ def extract_main_text(
     pages: DataFrame, source: str = "html", keep: tuple[str, ...] = ("page_id", "url")
 ) -> DataFrame:
     """``keep`` columns, text and n_chars of every page."""
-    read = pages.select(*keep, F.col(source).alias("_html"))
+    read = pages.select(*keep, F.col(source).alias(unused("_html", keep)))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in read.schema.fields[:-1]]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -34,6 +34,7 @@ from tableprofile.llm.shared import (
     mixed,
     plain_bytes,
     spread_key,
+    unused,
 )
 
 # ISO 639-1 codes by family.
@@ -206,10 +207,11 @@ def _train(x: np.ndarray, langs: np.ndarray) -> Machines:
 
 
 def predict_language(
-    docs: DataFrame, machines: Machines, text: str = "text", keep: tuple[str, ...] = ("doc_id",)
+    docs: DataFrame, machines: Machines, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
+    prefix: str = "",
 ) -> DataFrame:
-    """``keep`` columns, lang_pred and score of every row."""
-    source = docs.select(*keep, F.col(text).alias("_text"))
+    """``keep`` columns, lang_pred and score of every row; ``prefix`` leads the last two."""
+    source = docs.select(*keep, F.col(text).alias(unused("_text", keep)))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,6 +235,7 @@ def predict_language(
                 columns = [piece.column(i) for i in range(len(keep))]
                 columns += [pa.array([f[0] for f in found], pa.string()),
                             pa.array([f[1] for f in found], pa.float64())]
-                yield pa.RecordBatch.from_arrays(columns, names=[*keep, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays(columns, names=[*keep, f"{prefix}lang_pred", f"{prefix}score"])
 
-    return source.mapInArrow(rows, ", ".join([*fields, "lang_pred string", "score double"]))
+    return source.mapInArrow(rows, ", ".join(
+        [*fields, f"{prefix}lang_pred string", f"{prefix}score double"]))

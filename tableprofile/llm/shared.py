@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -29,6 +29,14 @@ def spread_key(key: Column, seed: int = 0) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
+def unused(name: str, columns: Iterable[str]) -> str:
+    """The name, with more underscores in front while a column begins with it."""
+    taken = [c.lower() for c in columns]
+    while any(c.startswith(name) for c in taken):
+        name = f"_{name}"
+    return name
+
+
 def by_size(texts: list[str | None], limit: int = BATCH_BYTES) -> Iterator[slice]:
     """Slices of the list of about ``limit`` characters; a longer text is a slice of its own."""
     start = held = 0
@@ -91,6 +99,17 @@ def numbered(df: DataFrame, groups: list[str], column: str) -> DataFrame:
     )
 
 
+def kept_in_worker(name: str, make):
+    """What ``make()`` gives, made once in a Python worker and kept for its later tasks."""
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("_kept_in_worker", types.ModuleType("_kept_in_worker"))
+    if not hasattr(kept, name):
+        setattr(kept, name, make())
+    return getattr(kept, name)
+
+
 def letter_pattern():
     import regex
 

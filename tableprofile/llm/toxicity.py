@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableprofile.functions.checkpoints import cut_lineage
-from tableprofile.llm.shared import by_size, byte_windows, mixed, plain_bytes, spread_key
+from tableprofile.llm.shared import by_size, byte_windows, mixed, plain_bytes, spread_key, unused
 
 SLOT_BITS = 20
 WIDTHS = (5, 6)
@@ -205,7 +205,7 @@ def score_toxicity(
     docs: DataFrame, model: PUModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:
     """``keep`` columns, score and predicted (1 from 0.5 on) of every row."""
-    source = docs.select(*keep, F.col(text).alias("_text"))
+    source = docs.select(*keep, F.col(text).alias(unused("_text", keep)))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
