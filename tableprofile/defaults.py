@@ -3,11 +3,13 @@
 Every default is also a keyword argument of the operator that uses it.
 """
 
+# Every column counts unless a caller names or limits them.
+SUMMARY_COLUMNS = None
+CORRELATION_COLUMNS = None
+FEATURE_COLUMNS = None
+BASKET_COLUMNS = None
+
 # Defaults of the jobs.
-SUMMARY_COLUMNS = 10
-CORRELATION_COLUMNS = 5
-FEATURE_COLUMNS = 10
-BASKET_COLUMNS = 5
 TOP_VALUES = 10
 TOP_PATTERNS = 10
 TRAIN_RATIO = 0.8
@@ -35,6 +37,7 @@ TWO_COLUMNS_FOR_REGRESSION = "Need at least 2 numeric columns for regression"
 TWO_COLUMNS_FOR_CLASSIFICATION = "Need at least 2 numeric columns for classification"
 NO_FEATURE_COLUMNS = "No numeric columns found for feature preparation"
 NO_COMPLETED_JOBS = "No completed jobs"
+NO_VALUE_COUNT_COLUMNS = "No columns named for value counts"
 INSUFFICIENT_RUNS = "Insufficient data for scalability analysis"
 
 # Scalability classes as (lowest mean efficiency, class, recommendation).

@@ -35,10 +35,16 @@ def named(name: str) -> Column:
 
 
 def text_literal(value: str | None) -> str:
-    """A string literal as SQL text."""
+    """A string literal as SQL text.
+
+    How quotes and backslashes are escaped depends on a setting of the session, so text
+    that holds one is spelled in hexadecimal.
+    """
     if value is None:
         return "cast(null as string)"
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if "\\" in value or "'" in value:
+        return f"decode(unhex('{value.encode().hex()}'), 'UTF-8')"
+    return f"'{value}'"
 
 
 def numeric_columns(df: DataFrame, limit: int | None = None) -> list[str]:

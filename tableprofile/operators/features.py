@@ -137,23 +137,12 @@ def baskets(
 
 
 @contextmanager
-def working_set(df: DataFrame, cache_always: bool = False) -> Iterator[DataFrame]:
-    """Rows a fit reads several times.
+def working_set(df: DataFrame) -> Iterator[DataFrame]:
+    """Rows a fit reads several times, kept in memory and beyond it on disk meanwhile.
 
-    A scan of fewer partitions than the cluster has cores is small: it is spread
-    over the cores once and cached meanwhile. A large one keeps its partitions,
-    and is cached only on request: a few scans of pruned columns cost less than
-    caching them, and MLlib keeps its own compact copy where it iterates.
+    ``df`` should hold the needed columns only. Partitions stay as they are.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    # Asking a plan with shuffles for its partitions would run those shuffles, and
-    # they spread the rows already.
-    scan_only = "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
-    small = scan_only and df.rdd.getNumPartitions() < cores
-    if not (small or cache_always):
-        yield df
-        return
-    kept = (df.repartition(cores) if small else df).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield kept
     finally:

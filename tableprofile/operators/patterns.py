@@ -1,11 +1,9 @@
 """Frequent itemsets and association rules over the cells of a table.
 
-A row is a basket with one ``column_value`` item per column. Few values of a
-column can be frequent (at most one over the support), so the table is first
-reduced to its combinations of frequent values with their counts. For few
-columns the itemsets are then a CUBE over that small table; for many columns the
-baskets, cut down to frequent items, go to MLlib's FP-growth. Both give the same
-exact result.
+A row is a basket with one ``column_value`` item per column. The rows of every item are
+counted over all columns, as two columns may spell the same item. Baskets are cut down to
+the frequent items, and MLlib's FP-growth mines them. The itemsets are written once to the
+shared folder and read from there by whatever follows.
 """
 
 from __future__ import annotations
@@ -20,13 +18,7 @@ from pyspark.sql import functions as F
 
 from tableprofile import defaults
 from tableprofile.functions.checkpoints import cut_lineage
-from tableprofile.functions.columns import named
-from tableprofile.operators.features import basket_columns, item, working_set
-
-# A cube has 2^columns grouping sets.
-MAX_CUBE_COLUMNS = 6
-# The candidate sketch keeps one over the support counters per column.
-MIN_SKETCH_SUPPORT = 0.01
+from tableprofile.operators.features import baskets, working_set
 
 
 @dataclass(frozen=True)
@@ -43,106 +35,26 @@ def frequent_itemsets(
     columns: Sequence[str] | None = None,
     min_support: float = defaults.MIN_SUPPORT,
     max_cols: int | None = defaults.BASKET_COLUMNS,
-    method: str = "auto",
 ) -> Itemsets:
     """Itemsets present in at least ``min_support`` of the baskets.
 
-    NULLs are no items and rows of NULLs only are no baskets. ``method`` is
-    ``"cube"``, ``"fpgrowth"`` or ``"auto"``.
+    NULLs are no items and rows of NULLs only are no baskets.
     """
-    if method not in ("auto", "cube", "fpgrowth"):
-        raise ValueError(f"Unknown method: {method}")
     if not 0 < min_support <= 1:
         raise ValueError("min_support must lie in (0, 1]")
-    chosen = basket_columns(df, columns, max_cols)
-    rows = df.select(*[named(c) for c in chosen]).filter(
-        F.coalesce(*[named(c).cast("string") for c in chosen]).isNotNull()
-    )
-    if method == "auto":
-        small = len(chosen) <= MAX_CUBE_COLUMNS and not _items_may_collide(chosen)
-        method = "cube" if small else "fpgrowth"
-    mine = _by_cube if method == "cube" else _by_fpgrowth
-    with working_set(rows) as kept:
-        return mine(kept, chosen, min_support)
-
-
-def _items_may_collide(columns: Sequence[str]) -> bool:
-    """Whether two columns can spell the same item, as ``a``/``b_x`` and ``a_b``/``x``."""
-    return any(a != b and b.startswith(a + "_") for a in columns for b in columns)
-
-
-def _candidates(rows: DataFrame, columns: Sequence[str], min_support: float) -> dict[str, list[str]]:
-    """Per column, a short list of values that holds every frequent one.
-
-    Neither way misses a frequent value. The sketch keeps 1/support counters per
-    column and shuffles nothing else; it may add infrequent values, which the
-    exact counts drop later. Below its support the values are counted.
-    """
-    texts = rows.select(*[named(c).cast("string").alias(f"v{i}") for i, c in enumerate(columns)])
-    names = texts.columns
-    if min_support >= MIN_SKETCH_SUPPORT:
-        found = texts.freqItems(names, min_support).first()
-        lists = [found[f"{name}_freqItems"] for name in names]
-        return {c: [v for v in values if v is not None] for c, values in zip(columns, lists)}
-    cells: list[Column] = []
-    for name in names:
-        cells += [F.lit(name), F.col(name)]
-    least = math.ceil(min_support * rows.count())
-    counted = (
-        texts.select(F.stack(F.lit(len(names)), *cells).alias("name", "value"))
-        .filter(F.col("value").isNotNull())
-        .groupBy("name", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") >= least)
-    )
-    # At most columns/support rows pass the filter.
-    by_name: dict[str, list[str]] = {c: [] for c in columns}
-    for row in counted.collect():
-        by_name[columns[int(row["name"][1:])]].append(row["value"])
-    return by_name
-
-
-def _reduced(rows: DataFrame, columns: Sequence[str], min_support: float) -> DataFrame:
-    """Each row's items that may be frequent, one column each, NULL otherwise."""
-    candidates = _candidates(rows, columns, min_support)
-    return rows.select(
-        *[
-            F.when(named(c).cast("string").isin(candidates[c]), item(c)).alias(f"i{n}")
-            if candidates[c]
-            else F.lit(None).cast("string").alias(f"i{n}")
-            for n, c in enumerate(columns)
-        ]
-    )
-
-
-def _by_cube(rows: DataFrame, columns: Sequence[str], min_support: float) -> Itemsets:
-    reduced = _reduced(rows, columns, min_support)
-    names = reduced.columns
-    counted = cut_lineage(reduced.groupBy(*names).agg(F.count(F.lit(1)).alias("n")))
-    baskets = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    least = max(1, math.ceil(min_support * baskets))
-    # A NULL of a grouped column means "no frequent item here": not an itemset.
-    absent = F.lit(False)
-    for name in names:
-        absent = absent | ((F.grouping(name) == 0) & F.col(name).isNull())
-    cubed = counted.cube(*names).agg(F.sum("n").alias("freq"), absent.alias("absent"))
-    items = F.array_sort(F.array_compact(F.array(*[F.col(name) for name in names])))
-    frame = (
-        cubed.filter(~F.col("absent") & (F.col("freq") >= least))
-        .select(items.alias("items"), "freq")
-        .filter(F.size("items") > 0)
-    )
-    return Itemsets(frame, baskets, min_support)
-
-
-def _by_fpgrowth(rows: DataFrame, columns: Sequence[str], min_support: float) -> Itemsets:
-    reduced = _reduced(rows, columns, min_support)
-    items = F.array_distinct(F.array_compact(F.array(*[F.col(n) for n in reduced.columns])))
-    # Baskets left empty by the reduction still count towards the support.
-    kept = reduced.select(items.alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support).fit(kept)
-    frame = cut_lineage(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"))
-    return Itemsets(frame, kept.count(), min_support)
+    with working_set(baskets(df, columns, max_cols)) as rows:
+        total = rows.count()
+        least = max(1, math.ceil(min_support * total))
+        counted = rows.select(F.explode("items").alias("item")).groupBy("item").count()
+        # At most columns / min_support items, which FP-growth holds as well.
+        frequent = counted.filter(F.col("count") >= least).agg(
+            F.collect_list("item").alias("items")
+        )
+        reduced = rows.select(F.array_intersect("items", frequent.scalar()).alias("items"))
+        # Baskets left empty by the reduction still count towards the support.
+        model = FPGrowth(itemsCol="items", minSupport=min_support).fit(reduced)
+        found = model.freqItemsets.select(F.array_sort("items").alias("items"), "freq")
+        return Itemsets(cut_lineage(found), total, min_support)
 
 
 def association_rules(
@@ -153,7 +65,7 @@ def association_rules(
     Every subset of a frequent itemset is frequent, so both sides of a rule are
     found among the itemsets by equi-joins on the item arrays.
     """
-    found = cut_lineage(itemsets.frame)
+    found = itemsets.frame
     total = F.lit(float(itemsets.baskets))
     whole = found.filter(F.size("items") > 1).select(
         "items", "freq", F.explode("items").alias("consequent")
