@@ -90,21 +90,34 @@ def _analysis(spark: SparkSession, folder: str) -> DataFrame:
     """A table too narrow for two of the jobs: they report an error, the rest runs."""
     pages = table(spark, folder, "pages")
     return tp.analyze(
-        pages.select("page_id", "url"),
-        ["basic_info", "histogram"],
+        pages,
+        ["basic_info", "histogram", "value_counts"],
         ["linear_regression", "decision_tree"],
     )
 
 
+def _analysis_unknown_column(spark: SparkSession, folder: str) -> DataFrame:
+    """A statistic that cannot run gives an error row, the others go on."""
+    found = tp.analyze(
+        table(spark, folder, "region"), ["missing_values", "value_counts"], [],
+        stat_params={"value_count_columns": ["absent"]},
+    )
+    return found.filter("metric in ('missing_count', 'error')")
+
+
 ANALYSIS_SQL = """
 select 'basic_info' as section, cast(null as varchar) as subject, 'num_rows' as metric,
        cast(count(*) as double) as num_value, cast(null as varchar) as str_value from pages
-union all select 'basic_info', null, 'num_columns', 2, null
+union all select 'basic_info', null, 'num_columns', 3, null
 union all select 'basic_info', null, 'numeric_columns', 1, null
-union all select 'basic_info', null, 'other_columns', 1, null
-union all select 'basic_info', null, 'size_bytes', count(*) * 8 + sum(strlen(url)), null from pages
+union all select 'basic_info', null, 'other_columns', 2, null
+union all select 'basic_info', null, 'size_bytes',
+                 count(*) * 8 + sum(strlen(url)) + sum(strlen(html)), null from pages
 union all select 'basic_info', null, 'size_mb',
-                 round((count(*) * 8 + sum(strlen(url))) / 1048576e0, 2), null from pages
+                 round((count(*) * 8 + sum(strlen(url)) + sum(strlen(html))) / 1048576e0, 2), null
+          from pages
+union all select 'basic_info', 'html', 'data_type', null, 'string'
+union all select 'value_counts', null, 'message', null, 'No columns named for value counts'
 union all select 'basic_info', 'page_id', 'data_type', null, 'bigint'
 union all select 'basic_info', 'url', 'data_type', null, 'string'
 union all select 'histogram', null, 'error', null, 'Unknown statistics type: histogram'
@@ -122,5 +135,11 @@ QUERIES = {
         lambda s, d: tp.profile(table(s, d, "lineitem"), approx_unique=True)
     ),
     "analyze_narrow_table": Query(_analysis, ANALYSIS_SQL),
+    "analyze_unknown_column": Query(
+        _analysis_unknown_column,
+        """select 'missing_values' as section, unnest(['r_regionkey', 'r_name']) as subject,
+       'missing_count' as metric, 0e0 as num_value, cast(null as varchar) as str_value
+union all select 'value_counts', null, 'error', null, 'Unknown columns: absent'""",
+    ),
     "analyze_customer": Query(lambda s, d: tp.analyze(table(s, d, "customer"))),
 }

@@ -106,6 +106,23 @@ BASIC = {
 
 # Summary
 
+# Fifteen numeric columns, some with NULLs.
+WIDE_COLUMNS = tuple(f"w{i}" for i in range(15))
+_WIDE = [
+    f"nullif((l_orderkey * {i + 3} + l_partkey) % {17 + i} + 0e0, {float(i)})" if i % 2 else
+    f"(l_quantity + {i}) * (l_suppkey % {i + 2}) + 0e0"
+    for i in range(15)
+]
+WIDE_SQL = "select {} from lineitem".format(
+    ", ".join(f"{e} as {c}" for e, c in zip(_WIDE, WIDE_COLUMNS))
+)
+
+
+def _wide(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "lineitem").selectExpr(
+        *[f"{e} as {c}" for e, c in zip(_WIDE, WIDE_COLUMNS)]
+    )
+
 
 def _summary_sql(source: str, columns: tuple[str, ...]) -> str:
     return union_sql(
@@ -135,6 +152,10 @@ SUMMARY = {
         lambda s, d: rounded_doubles(tp.summary_statistics(table(s, d, "customer"), max_cols=2)),
         _summary_sql("select * from customer", ("c_custkey", "c_nationkey")),
     ),
+    "summary_wide": Query(
+        lambda s, d: rounded_doubles(tp.summary_statistics(_wide(s, d))),
+        _summary_sql(WIDE_SQL, WIDE_COLUMNS),
+    ),
     "summary_no_numeric": Query(
         lambda s, d: tp.profile(table(s, d, "documents").select("text", "lang"), ["summary_stats"]),
         """select 'summary_stats' as section, cast(null as varchar) as subject,
@@ -194,6 +215,20 @@ from (select {c}, count(*) as copies from ({source}) group by {c})"""
     )
 
 
+def _approx_unique_close(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether approximate distinct counts are within four deviations of the exact ones."""
+    df = table(spark, folder, "lineitem")
+    exact = tp.unique_values(df).select("column", F.col("unique_count").alias("exact"))
+    near = F.abs(F.col("unique_count") - F.col("exact")) <= 0.2 * F.col("exact") + 1
+    return tp.unique_values(df, approx=True).join(exact, "column").select(
+        "column", near.alias("within"), F.col("exact").alias("unique_count")
+    )
+
+
+STRUCT_SQL = """select 'n a' as "column", count(*) as unique_count,
+       round(count(*) * 100e0 / (select count(*) from part), 2) as unique_pct
+from (select distinct p_brand, p_size from part)"""
+
 UNIQUE = {
     "unique_lineitem": Query(
         lambda s, d: tp.unique_values(table(s, d, "lineitem")),
@@ -217,6 +252,20 @@ UNIQUE = {
         lambda s, d: tp.unique_values(table(s, d, "embeddings")),
         _unique_sql("select * from embeddings", ("vec_id", "embedding", "label")),
     ),
+    "unique_struct": Query(
+        lambda s, d: tp.unique_values(
+            table(s, d, "part").select(
+                F.struct(F.col("p_brand").alias("a b"), F.col("p_size").alias("c`d")).alias("n a")
+            )
+        ),
+        STRUCT_SQL,
+    ),
+    "unique_approx_close": Query(
+        _approx_unique_close,
+        "select \"column\", true as within, unique_count from ({})".format(
+            _unique_sql("select * from lineitem", LINEITEM_COLUMNS)
+        ),
+    ),
     "unique_approx_lineitem": Query(
         lambda s, d: tp.unique_values(table(s, d, "lineitem"), approx=True)
     ),
@@ -245,13 +294,21 @@ NULLABLE = ("l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_ta
 
 CORRELATION = {
     "correlation_lineitem": Query(
-        lambda s, d: tp.correlation(table(s, d, "lineitem")),
+        lambda s, d: tp.correlation(table(s, d, "lineitem"), max_cols=5),
         _correlation_sql("select * from lineitem", LINEITEM_NUMERIC[:5]),
     ),
     "correlation_lineitem_all_columns": Query(
-        lambda s, d: tp.correlation(table(s, d, "lineitem"), max_cols=None),
+        lambda s, d: tp.correlation(table(s, d, "lineitem")),
         _correlation_sql("select * from lineitem", LINEITEM_NUMERIC),
     ),
+    "correlation_wide": Query(
+        lambda s, d: tp.correlation(_wide(s, d)),
+        _correlation_sql(WIDE_SQL, WIDE_COLUMNS),
+    ),
+    "correlation_empty_wide": Query(
+        lambda s, d: tp.correlation(_wide(s, d).filter("w0 < 0")),
+        _correlation_sql(f"select * from ({WIDE_SQL}) where w0 < 0", WIDE_COLUMNS),
+    ),
     "correlation_pairwise_nulls": Query(
         lambda s, d: tp.correlation(lineitem_with_nulls(s, d), columns=NULLABLE),
         _correlation_sql(LINEITEM_NULLS_SQL, NULLABLE),
@@ -283,7 +340,29 @@ group by {column} order by count desc, value asc nulls first {limit}"""
 
 def _median(spark: SparkSession, folder: str, name: str, column: str) -> DataFrame:
     value = tp.exact_median(table(spark, folder, name), column)
-    return spark.createDataFrame([(column, value)], "column string, median double")
+    return spark.createDataFrame([(column, float(value))], "column string, median double")
+
+
+def _large_median(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole numbers beyond what a double holds."""
+    large = table(spark, folder, "orders").select(
+        (F.lit(9007199254740993) + F.col("o_orderkey") % 7).alias("v")
+    )
+    return spark.createDataFrame([(tp.exact_median(large, "v"),)], "median long")
+
+
+def _approx_median_close(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the rank of the approximate median is within its error of the middle."""
+    df = table(spark, folder, "lineitem")
+    value = tp.approx_median(df, "l_extendedprice")
+    below, upto, rows = (
+        F.count_if(F.col("l_extendedprice") < value), F.count_if(F.col("l_extendedprice") <= value),
+        F.count(F.lit(1)),
+    )
+    return df.agg(
+        ((below <= rows * 0.511) & (upto >= rows * 0.489)).alias("within"), rows.alias("rows")
+    )
+
 
 
 def _approx_median(spark: SparkSession, folder: str, name: str, column: str) -> DataFrame:
@@ -328,6 +407,14 @@ VALUES = {
     "median_event_value": Query(
         lambda s, d: _median(s, d, "events", "value"), _median_sql("events", "value")
     ),
+    "median_large_numbers": Query(
+        _large_median,
+        """select quantile_disc(9007199254740993::bigint + o_orderkey % 7, 0.5) as median
+from orders""",
+    ),
+    "median_approx_close": Query(
+        _approx_median_close, "select true as within, count(*) as rows from lineitem"
+    ),
     "median_approx_extendedprice": Query(
         lambda s, d: _approx_median(s, d, "lineitem", "l_extendedprice")
     ),

@@ -49,11 +49,28 @@ def completed_or_not(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+UNFINISHED_SQL = f"""select event_id, job, workers,
+       case when execution_time <= 100 then execution_time end as execution_time
+from ({RUNS_SQL})"""
+
+
+def skewed(spark: SparkSession, folder: str) -> DataFrame:
+    """Most runs are of one job."""
+    return runs(spark, folder).withColumn(
+        "job", F.when(F.col("event_id") % 10 > 0, "hot").otherwise(F.col("job"))
+    )
+
+
+SKEWED_SQL = f"""select event_id, workers, execution_time,
+       case when event_id % 10 > 0 then 'hot' else job end as job from ({RUNS_SQL})"""
+
+
 def speedup_sql(source: str, extra: str) -> str:
     """Unrounded speedup and efficiency of each run."""
     return f"""select r.job, r.workers, r.execution_time, {extra}
        coalesce(b.base, r.execution_time) as baseline_time, b.base is not null as has_baseline,
-       case when r.workers = 1 or r.execution_time <= 0 then 1e0
+       case when r.execution_time is null then null
+            when r.workers = 1 or r.execution_time <= 0 then 1e0
             else coalesce(b.base, r.execution_time) / r.execution_time end as speedup
 from ({source}) r
 left join (select job, avg(execution_time) as base from ({source})
@@ -125,6 +142,21 @@ QUERIES = {
         lambda s, d: rounded_doubles(tp.speedup(no_baseline(s, d))),
         _speedup_rounded_sql(NO_BASELINE_SQL),
     ),
+    "speedup_unfinished": Query(
+        lambda s, d: rounded_doubles(tp.speedup(completed_or_not(s, d))),
+        _speedup_rounded_sql(UNFINISHED_SQL),
+    ),
+    "speedup_skewed": Query(
+        lambda s, d: rounded_doubles(tp.speedup(skewed(s, d))), _speedup_rounded_sql(SKEWED_SQL)
+    ),
+    "scalability_unfinished": Query(
+        lambda s, d: tp.scalability(tp.speedup(completed_or_not(s, d))),
+        _scalability_sql(
+            f"""select *, speedup / workers * 100 as efficiency
+from ({speedup_sql(UNFINISHED_SQL, "")}) where execution_time is not null""",
+            "job",
+        ),
+    ),
     "performance_by_workers": Query(
         lambda s, d: rounded_doubles(tp.performance_by_workers(tp.speedup(mean_runs(s, d)))),
         f"""select workers, round(avg(execution_time), 6) as execution_time,

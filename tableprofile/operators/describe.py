@@ -6,11 +6,12 @@ the typed operators and ``profile`` share them. The others need a shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
-from itertools import combinations
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +23,7 @@ from tableprofile.functions.columns import (
     percent_text,
     quoted,
     require_columns,
+    rounded,
     rounded_text,
     text_literal,
     value_bytes,
@@ -35,10 +37,6 @@ from tableprofile.operators.measures import (
     measure_one,
 )
 
-# Up to this many pairs are correlated ten to a scan; more are stacked into rows
-# and correlated in a single scan.
-MAX_MEASURED_PAIRS = 45
-
 
 # Basic facts
 
@@ -197,7 +195,8 @@ def unique_values(
     """Distinct values of each column, NULL counted as a value, and their ratio.
 
     The exact form unpivots the columns of each type into (position, value)
-    rows and removes duplicates. A map task removes its own duplicates first, so
+    rows and removes duplicates. Texts of 32 bytes or more are told apart by their
+    SHA-256, so whole texts are never shuffled. A map task removes its own duplicates first, so
     a value held by a third of all rows reaches the shuffle once per task. Every
     column is read once, by the scan of its type. The approximate form shuffles
     one sketch per column and task.
@@ -209,8 +208,8 @@ def unique_values(
         return df.sparkSession.createDataFrame([], schema)
     by_type: dict[str, list[int]] = {}
     for position, f in enumerate(df.schema.fields):
-        by_type.setdefault(_common_type(f.dataType), []).append(position)
-    parts = [_distinct_counts(df, positions, kind) for kind, positions in by_type.items()]
+        by_type.setdefault(_common_type(f.dataType).json(), []).append(position)
+    parts = [_distinct_counts(df, positions) for positions in by_type.values()]
     # One row per column comes back; folding them into one row puts a zero beside
     # the columns of an empty table.
     found = reduce(DataFrame.unionByName, parts).agg(
@@ -227,20 +226,34 @@ def unique_values(
     return found.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
-def _common_type(data_type: T.DataType) -> str:
+def _common_type(data_type: T.DataType) -> T.DataType:
     """The type whose values a column can be compared in without any loss."""
     if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return "bigint"
+        return T.LongType()
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
-        return "double"
-    if isinstance(data_type, (T.CharType, T.VarcharType)):
-        return "string"
-    return data_type.simpleString()
-
-
-def _distinct_counts(df: DataFrame, positions: Sequence[int], kind: str) -> DataFrame:
-    cells = ", ".join(f"{p}, cast({quoted(df.columns[p])} as {kind})" for p in positions)
-    values = df.selectExpr(f"stack({len(positions)}, {cells}) as (position, value)")
+        return T.DoubleType()
+    if isinstance(data_type, (T.StringType, T.CharType, T.VarcharType, T.BinaryType)):
+        return T.BinaryType()
+    return data_type
+
+
+def _comparable(field: T.StructField) -> Column:
+    """A narrow value that is equal where the column's values are."""
+    kind, value = _common_type(field.dataType), named(field.name)
+    if kind != field.dataType:
+        value = value.cast(kind)
+    if isinstance(kind, T.BinaryType):
+        # Shorter values keep their bytes; a digest has 32, so the two never meet.
+        digest = F.unhex(F.sha2(value, 256))
+        value = F.when(F.octet_length(value) >= 32, digest).otherwise(value)
+    return value
+
+
+def _distinct_counts(df: DataFrame, positions: Sequence[int]) -> DataFrame:
+    cells = [
+        x for p in positions for x in (F.lit(p), _comparable(df.schema.fields[p]))
+    ]
+    values = df.select(F.stack(F.lit(len(positions)), *cells).alias("position", "value"))
     # The copies of each value add up to the rows of the table.
     counted = values.groupBy("position", "value").agg(F.count(F.lit(1)).alias("copies"))
     return counted.groupBy("position").agg(
@@ -251,47 +264,43 @@ def _distinct_counts(df: DataFrame, positions: Sequence[int], kind: str) -> Data
 # Correlation
 
 
-def correlation_pairs(
+def correlation_columns(
     df: DataFrame, columns: Sequence[str] | None, max_cols: int | None
-) -> list[tuple[str, str]]:
-    chosen = require_columns(df, columns) if columns else numeric_columns(df, max_cols)
-    return list(combinations(chosen, 2))
+) -> list[str]:
+    return require_columns(df, columns) if columns else numeric_columns(df, max_cols)
 
 
-def _operands(pair: tuple[str, str], nulls: str) -> tuple[str, str]:
-    """Both values, or twice NULL where one is missing; or NULL read as 0."""
-    x, y = (_double(name) for name in pair)
-    if nulls == "zero":
-        return f"coalesce({x}, 0D)", f"coalesce({y}, 0D)"
-    if nulls != "pairwise":
-        raise ValueError(f"Unknown null handling: {nulls}")
-    return f"if({y} is not null, {x}, null)", f"if({x} is not null, {y}, null)"
+# A side whose squared deviations are this small beside its squares is constant.
+_NO_SPREAD = 1e-12
+_PAIR_SUMS = ("n", "odd", "sx", "sy", "sxx", "syy", "sxy")
 
 
-def _pearson(x: str, y: str) -> str:
-    """Pearson coefficient; NULL where one side is constant."""
-    return f"try_divide(covar_pop({x}, {y}), stddev_pop({x}) * stddev_pop({y}))"
+def _pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums over the rows where both values of a pair are present, a row per pair.
 
-
-def correlation_measures(
-    df: DataFrame,
-    columns: Sequence[str] | None = None,
-    max_cols: int | None = defaults.CORRELATION_COLUMNS,
-    nulls: str = "pairwise",
-    digits: int | None = defaults.RATIO_DIGITS,
-) -> Measures:
-    pairs = correlation_pairs(df, columns, max_cols)
-    aggregates: dict[str, Aggregate] = {}
-    cells = []
-    for index, pair in enumerate(pairs):
-        key = f"corr_{index}"
-        # Four fields for the covariance, three for each deviation.
-        aggregates[key] = Aggregate(_pearson(*_operands(pair, nulls)), 10)
-        cells.append(
-            Cell(" vs ".join(pair), {"correlation": rounded_text(key, digits)}, (key,))
-        )
-    message = None if pairs else defaults.TWO_COLUMNS_FOR_CORRELATION
-    return Measures("correlation", aggregates, tuple(cells), message=message)
+    They are products of matrices: of the values, their squares, and marks of present
+    and of non-finite values.
+    """
+    total: list[np.ndarray] | None = None
+    width = 0
+    for batch in batches:
+        width = batch.num_columns
+        rows = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+        here = np.column_stack([~np.asarray(c.is_null()) for c in batch.columns]).astype(float)
+        finite = np.isfinite(rows)
+        odd = here * ~finite
+        x = np.where(finite, rows, 0.0)
+        found = [here.T @ here, odd.T @ here, x.T @ here, (x * x).T @ here, x.T @ x]
+        total = found if total is None else [t + f for t, f in zip(total, found)]
+    if total is None:
+        return
+    i, j = np.triu_indices(width, 1)
+    n, odd, s, ss, sxy = total
+    sums = (n[i, j], odd[i, j] + odd[j, i], s[i, j], s[j, i], ss[i, j], ss[j, i], sxy[i, j])
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(x) for x in (i.astype(np.int64), j.astype(np.int64), *sums)],
+        names=["i", "j", *_PAIR_SUMS],
+    )
 
 
 def correlation(
@@ -303,21 +312,50 @@ def correlation(
 ) -> DataFrame:
     """Pearson correlation of each pair of numeric columns (upper triangle).
 
-    ``nulls="pairwise"`` uses the rows where both values are present,
-    ``nulls="zero"`` reads NULL as 0. A constant column gives NULL.
+    ``nulls="pairwise"`` uses the rows where both values are present, ``nulls="zero"``
+    reads NULL as 0. A constant column gives NULL, NaN or infinity among the rows NaN.
+
+    A first scan finds a middle value of each column, to which values are taken relative
+    so that sums of squares lose no digits; a second one sums up all pairs at once. A
+    task shuffles a row for each pair, whatever its number of rows.
     """
-    pairs = correlation_pairs(df, columns, max_cols)
-    if len(pairs) <= MAX_MEASURED_PAIRS:
-        measures = correlation_measures(df, columns, max_cols, nulls, digits)
-        return measure(df, measures, "pair", "pair string, correlation double")
-    cells = ", ".join(
-        f"{i}, {x}, {y}" for i, (x, y) in enumerate(_operands(pair, nulls) for pair in pairs)
+    if nulls not in ("pairwise", "zero"):
+        raise ValueError(f"Unknown null handling: {nulls}")
+    chosen = correlation_columns(df, columns, max_cols)
+    spark, schema = df.sparkSession, "pair string, correlation double"
+    if len(chosen) < 2:
+        return spark.createDataFrame([], schema)
+    values = [named(c).cast("double") for c in chosen]
+    if nulls == "zero":
+        values = [F.coalesce(v, F.lit(0.0)) for v in values]
+    numbers = df.select(*[v.alias(f"c{k}") for k, v in enumerate(values)])
+    finite = lambda c: F.when(~F.isnan(c) & (F.abs(c) != float("inf")), c)
+    middle = numbers.agg(
+        *[F.percentile_approx(finite(F.col(c)), 0.5, 100).alias(c) for c in numbers.columns]
+    ).first()
+    shifted = numbers.select(*[(F.col(c) - F.lit(middle[c] or 0.0)).alias(c) for c in numbers.columns])
+    sums = ", ".join(f"{name} double" for name in _PAIR_SUMS)
+    found = (
+        shifted.mapInArrow(_pair_sums, f"i long, j long, {sums}")
+        .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in _PAIR_SUMS])
+    )
+    spread = lambda s, ss: F.col(ss) - F.col(s) * F.col(s) / F.col("n")
+    vx, vy = spread("sx", "sxx"), spread("sy", "syy")
+    pearson = (F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")) / F.sqrt(vx * vy)
+    value = F.when(F.col("odd") > 0, float("nan")).when(
+        (F.col("n") > 0) & (vx > _NO_SPREAD * F.col("sxx")) & (vy > _NO_SPREAD * F.col("syy")),
+        F.greatest(F.lit(-1.0), F.least(F.lit(1.0), pearson)),
+    )
+    many = len(chosen)
+    pairs = spark.range(many * many).select(
+        F.floor(F.col("id") / many).alias("i"), (F.col("id") % many).alias("j")
+    ).where("i < j")
+    names = F.array(*[F.lit(c) for c in chosen])
+    name = lambda c: F.get(names, F.col(c).cast("int"))
+    return pairs.join(found, ["i", "j"], "left").orderBy("i", "j").select(
+        F.concat(name("i"), F.lit(" vs "), name("j")).alias("pair"),
+        rounded(value, digits).alias("correlation"),
     )
-    stacked = df.selectExpr(f"stack({len(pairs)}, {cells}) as (index, x, y)")
-    coefficient = rounded_text(_pearson("x", "y"), digits)
-    by_pair = stacked.groupBy("index").agg(F.expr(coefficient).alias("correlation"))
-    names = ", ".join(text_literal(" vs ".join(pair)) for pair in pairs)
-    return by_pair.selectExpr(f"element_at(array({names}), index + 1) as pair", "correlation")
 
 
 # Value counts

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableprofile import defaults
-from tableprofile.functions.columns import as_double, is_missing_number, require_columns
+from tableprofile.functions.columns import as_double, is_missing_number, named, require_columns
 
 _ACCURACY = 10_000
 _MARGIN = 2.0 / _ACCURACY
@@ -21,10 +24,11 @@ def approx_median(
     return found[0] if found else None
 
 
-def exact_median(df: DataFrame, column: str) -> float | None:
+def exact_median(df: DataFrame, column: str) -> float | int | Decimal | None:
     """The lower median: the smallest value with at least half of all below or at it.
 
-    NULL and NaN are ignored; None if nothing is left. Each round brackets the
+    NULL and NaN are ignored; None if nothing is left. Whole and decimal numbers keep
+    their type and all their digits. Each round brackets the
     middle rank with bounded quantile sketches, then counts exactly how many
     values lie on each side, so no task ever holds the distinct values of the
     column. A round keeps about one value in 2,500, so even 10^12 rows need about
@@ -32,20 +36,31 @@ def exact_median(df: DataFrame, column: str) -> float | None:
     """
     require_columns(df, [column])
     value = F.col("value")
-    inside = df.select(as_double(column).alias("value")).filter(~is_missing_number(value))
+    exact = isinstance(
+        df.schema[column].dataType,
+        (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType),
+    )
+    inside = df.select((named(column) if exact else as_double(column)).alias("value"))
+    inside = inside.filter(value.isNotNull() if exact else ~is_missing_number(value))
     rank = total = None
     while True:
         middle = 0.5 if rank is None else (rank - 0.5) / total
         at = [max(0.0, middle - _MARGIN), min(1.0, middle + _MARGIN)]
         sketch = inside.agg(
-            F.count(value).alias("n"), F.percentile_approx(value, at, _ACCURACY).alias("bracket")
+            F.count(value).alias("n"),
+            F.min(value).alias("least"),
+            F.max(value).alias("most"),
+            F.percentile_approx(value, at, _ACCURACY).alias("bracket"),
         ).first()
         if rank is None:
             total = sketch["n"]
             if total == 0:
                 return None
             rank = (total + 1) // 2
-        low, high = sketch["bracket"]
+        # A sketch holds doubles, which can miss whole numbers beyond 2^53 by a little.
+        low, high = (
+            max(sketch["least"], min(sketch["most"], x)) for x in sketch["bracket"]
+        )
         seen = inside.agg(
             F.count_if(value < low).alias("under_low"),
             F.count_if(value <= low).alias("to_low"),

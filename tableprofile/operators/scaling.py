@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tableprofile import defaults
 from tableprofile.functions.columns import clamp, named, rounded
+from tableprofile.functions.joins import join_few
 
 SUMMARY_DIGITS = 2
 
@@ -18,21 +19,22 @@ def speedup(runs: DataFrame) -> DataFrame:
 
     The baseline of a job is the mean time of its one-worker runs, whichever
     order the runs were recorded in. Without one the run is its own baseline and
-    ``has_baseline`` is false. The baseline side of the join has one row per
-    job, so a job holding most runs only repeats that row.
+    ``has_baseline`` is false. A run without a time never finished: it has neither.
+    The runs of a job are spread over the join by a salt.
     """
     baseline = (
         runs.filter(F.col("workers") == defaults.BASELINE_WORKERS)
         .groupBy("job")
         .agg(F.avg("execution_time").alias("baseline_time"))
     )
-    joined = runs.join(baseline, "job", "left")
+    joined = join_few(runs, baseline, ["job"], "left")
     time, workers = F.col("execution_time"), F.col("workers")
     base = F.coalesce(F.col("baseline_time"), time)
     ratio = (
-        F.when(workers == defaults.BASELINE_WORKERS, 1.0)
+        F.when(time.isNull(), F.lit(None).cast("double"))
+        .when(workers == defaults.BASELINE_WORKERS, 1.0)
         .when(time > 0, F.try_divide(base, time))
-        .when(time.isNotNull(), 1.0)
+        .otherwise(1.0)
     )
     extra = [named(c) for c in runs.columns if c not in ("job", "workers", "execution_time")]
     return joined.select(
@@ -74,12 +76,13 @@ def scalability(
 
     The parallel portion inverts Amdahl's law at the largest worker count,
     ``p = (1 - 1/S) / (1 - 1/n)``, clamped to [0, 1]; the ceiling ``1/(1-p)`` is
-    NULL, with ``unlimited`` set, when p is 1. Fewer than two rows give only a
-    message. Pass ``by=()`` to judge all rows together.
+    NULL, with ``unlimited`` set, when p is 1. Runs without a speedup are left out;
+    fewer than two others give only a message. Pass ``by=()`` to judge all rows together.
     """
-    largest = F.max(F.struct("workers", "speedup"))
+    finished = F.col("speedup").isNotNull()
+    largest = F.max(F.when(finished, F.struct("workers", "speedup")))
     facts = measured.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count("speedup").alias("n"),
         F.max("speedup").alias("best"),
         F.avg("efficiency").alias("mean_efficiency"),
         largest.alias("largest"),

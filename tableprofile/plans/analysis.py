@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from typing import Any
 
-from py4j.protocol import Py4JError
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 
@@ -29,7 +29,7 @@ def analyze(
     """
     spark = df.sparkSession
     known = [s for s in stats if s in STATISTICS]
-    parts = [profile(df, known, **(stat_params or {}))] if known else []
+    parts = _profiled(df, known, stat_params or {}) if known else []
     parts += [
         tidy_facts(spark, s, [(None, "error", f"Unknown statistics type: {s}")])
         for s in stats
@@ -43,9 +43,19 @@ def analyze(
     return reduce(DataFrame.unionByName, parts)
 
 
+def _profiled(
+    df: DataFrame, stats: Sequence[str], params: Mapping[str, Any]
+) -> list[DataFrame]:
+    """All statistics in shared scans or, where one cannot run, each by itself."""
+    try:
+        return [profile(df, stats, **params)]
+    except (ValueError, PySparkException):
+        return [_or_error(df, s, lambda s=s: profile(df, [s], **params)) for s in stats]
+
+
 def _or_error(df: DataFrame, section: str, run: Callable[[], DataFrame]) -> DataFrame:
     try:
         return run()
-    except (ValueError, PySparkException, Py4JError) as error:
+    except (ValueError, PySparkException, Py4JJavaError) as error:
         text = str(error).strip() or type(error).__name__
         return tidy_facts(df.sparkSession, section, [(None, "error", text)])

@@ -11,18 +11,16 @@ from pyspark.sql import functions as F
 from tableprofile import defaults
 from tableprofile.functions.tidy import melt
 from tableprofile.operators.describe import (
-    MAX_MEASURED_PAIRS,
     approx_unique_measures,
     basic_info_measures,
     correlation,
-    correlation_measures,
-    correlation_pairs,
+    correlation_columns,
     missing_measures,
     summary_measures,
     unique_values,
     value_counts,
 )
-from tableprofile.operators.measures import measure_tidy
+from tableprofile.operators.measures import Measures, measure_tidy
 
 STATISTICS = (
     "basic_info",
@@ -45,8 +43,8 @@ def profile(
 ) -> DataFrame:
     """The chosen statistics in tidy form.
 
-    Statistics with small state share scans of the table. Exact unique values, a
-    correlation of very many columns and value counts are computed apart.
+    Statistics with small state share scans of the table. Exact unique values,
+    correlations and value counts are computed apart.
     """
     unknown = [s for s in stats if s not in STATISTICS]
     if unknown:
@@ -65,12 +63,14 @@ def profile(
             unique = unique_values(df)
             apart.append(melt(unique, stat, F.col("column"), ["unique_count", "unique_pct"]))
         elif stat == "correlation":
-            pairs = correlation_pairs(df, None, max_correlation_cols)
-            if len(pairs) <= MAX_MEASURED_PAIRS:
-                shared.append(correlation_measures(df, max_cols=max_correlation_cols))
+            if len(correlation_columns(df, None, max_correlation_cols)) < 2:
+                message = defaults.TWO_COLUMNS_FOR_CORRELATION
+                shared.append(Measures(stat, {}, (), message=message))
             else:
                 found = correlation(df, max_cols=max_correlation_cols)
                 apart.append(melt(found, stat, F.col("pair"), ["correlation"]))
+        elif not value_count_columns:
+            shared.append(Measures(stat, {}, (), message=defaults.NO_VALUE_COUNT_COLUMNS))
         else:
             apart += [_value_count_rows(df, column, top_n) for column in value_count_columns]
     parts = ([measure_tidy(df, shared)] if shared else []) + apart

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableprofile import defaults
+from tableprofile.functions.joins import join_few
 from tableprofile.functions.tidy import TIDY_SCHEMA
 from tableprofile.operators.scaling import run_summary
 
@@ -132,7 +133,7 @@ def retained_results(
 ) -> DataFrame:
     """Results of the jobs that are not expired, to be written to a new table.
 
-    The expired side has one row per job, so the anti join repeats nothing even
-    where one job holds most rows.
+    The rows of a job are spread over the join by a salt.
     """
-    return results.join(expired_jobs(results, days, as_of).select("job_id"), "job_id", "left_anti")
+    expired = expired_jobs(results, days, as_of).select("job_id")
+    return join_few(results, expired, ["job_id"], "left_anti")

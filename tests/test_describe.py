@@ -74,18 +74,33 @@ def test_constant_column_has_no_correlation(spark):
     assert [r["correlation"] for r in tp.correlation(df).collect()] == [None]
 
 
-def test_stacked_correlation_equals_the_measured_one(spark, monkeypatch):
+def test_correlation_equals_the_built_in_one(spark):
     df = spark.range(200).select(
         *[F.when(F.col("id") % (i + 2) > 0, (F.col("id") * (i + 3)) % 17).alias(f"c{i}") for i in range(6)],
         F.lit(None).cast("double").alias("nothing"),
     )
-    measured = rows(tp.correlation(df, max_cols=None, digits=9), "pair", "correlation")
-    monkeypatch.setattr(describe, "MAX_MEASURED_PAIRS", 0)
-    stacked = rows(tp.correlation(df, max_cols=None, digits=9), "pair", "correlation")
-    assert [r[0] for r in stacked] == [r[0] for r in measured]
-    assert len(stacked) == 21
-    for (_, a), (_, b) in zip(stacked, measured):
-        assert a == b if a is None or b is None else a == pytest.approx(b, abs=1e-8)
+    found = by_first(tp.correlation(df, digits=None))
+    assert len(found) == 21
+    for pair, (value,) in found.items():
+        x, y = pair.split(" vs ")
+        both = df.filter(f"{x} is not null and {y} is not null")
+        built_in = both.agg(F.corr(x, y)).first()[0] if "nothing" not in pair else None
+        assert value is None if built_in is None else value == pytest.approx(built_in, abs=1e-9)
+
+
+def test_correlation_of_large_values_keeps_its_digits(spark):
+    df = spark.range(100).select(
+        (F.col("id") % 7 + 1e12).alias("a"), (F.col("id") % 5 + 1e12).alias("b")
+    )
+    near = spark.range(100).select((F.col("id") % 7).alias("a"), (F.col("id") % 5).alias("b"))
+    assert tp.correlation(df).first() == tp.correlation(near).first()
+
+
+def test_non_finite_values_spoil_their_own_pairs_only(spark):
+    rows_ = [(1.0, 2.0, 3.0), (2.0, 4.0, math.nan), (3.0, 6.0, None), (4.0, 8.0, math.inf)]
+    found = by_first(tp.correlation(spark.createDataFrame(rows_, "a double, b double, c double")))
+    assert found["a vs b"] == (1.0,)
+    assert math.isnan(found["a vs c"][0]) and math.isnan(found["b vs c"][0])
 
 
 def test_tables_without_numbers_give_messages(spark):
@@ -155,10 +170,30 @@ def test_wide_table_is_split_into_scans(spark):
     assert sum(w > measures.MAX_STATE_FIELDS for w in widths) <= 1  # the total over all columns
 
 
-def test_default_column_limits(spark):
-    df = spark.range(3).select(*[(F.col("id") * i).alias(f"c{i}") for i in range(12)])
-    assert tp.summary_statistics(df).count() == 10
-    assert tp.correlation(df).count() == 10
+def test_every_column_counts(spark):
+    df = spark.range(3).select(*[(F.col("id") * i).alias(f"c{i}") for i in range(15)])
+    assert tp.summary_statistics(df).count() == 15
+    assert tp.correlation(df).count() == 105
+    assert tp.correlation(df.limit(0)).count() == 105
+    assert tp.summary_statistics(df, max_cols=10).count() == 10
+    assert tp.correlation(df, max_cols=5).count() == 10
+
+
+def test_names_under_both_parser_settings(spark):
+    df = spark.createDataFrame([(1, 2)], ["it's", "b\\c"])
+    for setting in ("true", "false"):
+        spark.conf.set("spark.sql.parser.escapedStringLiterals", setting)
+        try:
+            found = {r["column"] for r in tp.missing_values(df).collect()}
+        finally:
+            spark.conf.unset("spark.sql.parser.escapedStringLiterals")
+        assert found == {"it's", "b\\c"}
+
+
+def test_long_texts_are_counted_by_digest(spark):
+    texts = ["x" * 40, "x" * 40, "x" * 41, "x" * 31, None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert by_first(tp.unique_values(df))["t"][0] == 5
 
 
 def test_statistics_do_not_depend_on_partitions(spark, nulls):
@@ -179,11 +214,11 @@ def test_hot_value_is_counted_whole(spark):
 
 def test_statistics_keep_code_generation(spark):
     df = spark.range(10).select(*[F.rand(i).alias(f"c{i}") for i in range(10)])
-    for found in (tp.summary_statistics(df), tp.missing_values(df), tp.correlation(df)):
+    for found in (tp.summary_statistics(df), tp.missing_values(df)):
         plan = found._jdf.queryExecution().executedPlan().toString()
         aggregates = [line for line in plan.splitlines() if "HashAggregate" in line]
         assert aggregates
     assert all(
         sum(a.fields for a in scan.aggregates.values()) <= measures.MAX_STATE_FIELDS
-        for scan in measures._scans([describe.correlation_measures(df)])
+        for scan in measures._scans([describe.summary_measures(df)])
     )

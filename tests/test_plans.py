@@ -56,6 +56,18 @@ def test_parts_that_cannot_run_become_error_rows(spark):
     assert found.filter("section = 'basic_info'").count() > 0
 
 
+def test_an_unknown_value_count_column_is_an_error_row(table):
+    found = tp.analyze(table, ["basic_info", "value_counts"], [],
+                       stat_params={"value_count_columns": ["absent"]})
+    errors = {r["section"]: r["str_value"] for r in found.filter("metric = 'error'").collect()}
+    assert errors == {"value_counts": "Unknown columns: absent"}
+    assert found.filter("section = 'basic_info'").count() > 0
+
+
+def test_value_counts_without_columns_says_so(table):
+    assert tp.profile(table, ["value_counts"]).first()["metric"] == "message"
+
+
 def test_parameters_reach_the_jobs(table):
     found = tp.analyze(table, [], ["kmeans"], model_params={"kmeans": {"k": 2}})
     clusters = found.filter("metric = 'clusters'").first()["num_value"]

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -37,7 +38,7 @@ def test_exact_median(spark, name):
     assert tp.exact_median(df, "v") == lower_median(values)
 
 
-@pytest.mark.parametrize("accuracy", [10, 100])
+@pytest.mark.parametrize("accuracy", [2, 10, 100])
 def test_exact_median_with_coarse_sketches(spark, monkeypatch, accuracy):
     """Coarse sketches miss the middle and need many rounds; the result is exact."""
     monkeypatch.setattr(quantiles, "_ACCURACY", accuracy)
@@ -54,6 +55,16 @@ def test_median_of_large_column(spark):
     assert abs(tp.approx_median(df, "v") - 50_000) <= 1_001
 
 
+def test_whole_numbers_keep_their_digits(spark):
+    large = 9007199254740993
+    df = spark.createDataFrame([(large,)] * 3 + [(large + 2,)] * 2, "v long")
+    assert tp.exact_median(df, "v") == large
+    odd = spark.createDataFrame([(large + i,) for i in range(11)], "v long")
+    assert tp.exact_median(odd, "v") == large + 5
+    exact = df.select((F.col("v").cast("decimal(30,2)") + F.expr("0.01BD")).alias("v"))
+    assert tp.exact_median(exact, "v") == Decimal("9007199254740993.01")
+
+
 def test_approximate_median_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert tp.approx_median(df, "v") is None

@@ -21,6 +21,19 @@ def test_speedup_does_not_depend_on_the_order_of_runs(spark):
     assert found["k", 2]["speedup"] is None
 
 
+def test_unfinished_runs_are_no_perfect_ones(spark):
+    measured = tp.speedup(runs(spark, [("j", 1, None), ("j", 2, 5.0)]))
+    found = {r["workers"]: r for r in measured.collect()}
+    assert found[1]["speedup"] is None and found[1]["efficiency"] is None
+    assert tp.scalability(measured).first()["message"] is not None
+
+
+def test_hot_jobs_are_salted(spark):
+    plan = tp.speedup(runs(spark, [("j", 1, 1.0)]))._jdf.queryExecution().optimizedPlan().toString()
+    join = next(line for line in plan.splitlines() if "Join" in line)
+    assert "__tp_salt" in join
+
+
 def test_job_without_baseline_is_its_own(spark):
     found = tp.speedup(runs(spark, [("j", 2, 5.0), ("j", 4, 3.0)])).collect()
     assert {(r["speedup"], r["has_baseline"]) for r in found} == {(1.0, False)}
