@@ -19,8 +19,10 @@ repeated) are carried along. An empty table gives no rows. Only id and text are
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableprofile.functions.checkpoints import cut_lineage
-from tableprofile.llm.shared import by_size
+from tableprofile.llm.shared import by_size, kept_in_worker, mixed
 
 CAPACITY = 2048
 BLOCK_PIECES = 8192
@@ -37,71 +39,165 @@ ISLANDS = 2
 EPOCHS = 2
 POPULATION = 4
 GENERATIONS = 6
-CACHED_WORDS = 600_000
+CACHED_WORDS = 400_000
+BATCH_CHARS = 4 << 20
+
+
+_BLANKS = np.zeros(256, dtype=bool)
+_BLANKS[[9, 10, 11, 12, 13, 32]] = True
+_MASKS = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)
+_LONG = 32
+# Letters, then marks other than the apostrophe, which can open an ending of its own.
+_LETTERS_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 class WordIds:
-    """Token ids of whole texts, by looking up the parts between ASCII white space.
+    """Token ids of whole texts, by looking up the words of a batch at once.
 
     The tokenizer drops white space and never joins across it, so the ids of a text are
-    those of its parts in order. ASCII letters are lower-cased first, as the tokenizer
-    does, unless the text may hold one of its special strings.
+    those of its words in order; a full stop or comma between a letter and white space is a
+    word of its own to it. Words are told apart by 64-bit hashes of their bytes, and only
+    new ones go to the tokenizer. ASCII letters are lower-cased first, as it does itself;
+    texts that may hold one of its special strings go through whole.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        import os
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one task, one core
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        # The same model without the steps that leave words of small letters as they are.
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+        ])
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.closes[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.hashes = np.empty(0, dtype=np.uint64)  # sorted
+        self.start = np.empty(0, dtype=np.int64)  # of the ids of each known word in flat
+        self.count = np.empty(0, dtype=np.int64)
+        self.flat = np.empty(0, dtype="<u4")
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         raw = [(text or "").encode("utf-8", "replace") for text in texts]
-        cut = [(data if b"<|" in data else data.lower()).split() for data in raw]
-        new = set().union(*cut).difference(self.known)
-        if new:
-            self._learn(new)
-        found = [b"".join(map(self.known.__getitem__, parts)) for parts in cut]
-        if len(self.known) > CACHED_WORDS:
-            self.known = {}
+        whole = {i for i, data in enumerate(raw) if b"<|" in data}
+        plain = [b"" if i in whole else data for i, data in enumerate(raw)]
+        found = self._of_words(plain)
+        for i in whole:
+            ids = self.tokenizer.encode(texts[i], add_special_tokens=False).ids
+            found[i] = np.array(ids, dtype="<u4").tobytes()
         return found
 
-    def _learn(self, new: set[bytes]) -> None:
-        # "word." is "word" and "." to the tokenizer if a letter stands before the mark.
-        ends = [w for w in new if w[-1:] in (b".", b",") and w[-2:-1].isalpha()]
-        todo = new.difference(ends)
-        todo.update(w[:-1] for w in ends)
-        todo.update((b".", b","))
-        todo.difference_update(self.known)
-        words = [w.decode("utf-8") for w in todo]
-        self._encode_letters([w for w in words if w.isalpha()])
-        self._encode_each([w for w in words if not w.isalpha()])
-        known = self.known
-        for word in ends:
-            known[word] = known[word[:-1]] + known[word[-1:]]
-
-    def _encode_letters(self, words: list[str]) -> None:
-        """Many words of letters at once: each ends with the one token that closes a word."""
-        for at in range(0, len(words), 4096):
-            own = words[at : at + 4096]
-            found = self.tokenizer.encode(" ".join(own), add_special_tokens=False)
+    def _of_words(self, raw: list[bytes]) -> list[bytes]:
+        joined = b" ".join([b"", *raw, b""]).lower()
+        codes = np.frombuffer(joined, dtype=np.uint8)
+        blank = _BLANKS[codes]
+        letter = (codes >= 97) & (codes <= 122)
+        mark = (codes == 44) | (codes == 46)
+        mark[1:-1] &= letter[:-2] & blank[2:]
+        starts = np.flatnonzero(~blank[1:] & (blank[:-1] | mark[1:])) + 1
+        ends = np.flatnonzero(~blank[:-1] & (blank[1:] | mark[1:])) + 1
+        hashes = self._hashes(joined, starts, ends)
+        order = np.argsort(hashes)
+        ranked = hashes[order]
+        first = np.r_[True, ranked[1:] != ranked[:-1]] if len(ranked) else np.empty(0, bool)
+        kinds = ranked[first]
+        kind = np.empty(len(hashes), dtype=np.int64)
+        kind[order] = np.cumsum(first) - 1
+        self._learn(joined, kinds, starts[order[first]], ends[order[first]])
+        known = np.searchsorted(self.hashes, kinds)
+        count = self.count[known][kind]
+        stop = np.cumsum(count)
+        shift = self.start[known][kind] - (stop - count)
+        data = self.flat[np.repeat(shift, count) + np.arange(stop[-1] if len(stop) else 0)]
+        data = data.tobytes()
+        # The words of a text end where the next text begins.
+        sizes = np.cumsum([0, *(len(x) + 1 for x in raw)])
+        bounds = 4 * np.r_[0, stop][np.searchsorted(starts, sizes)]
+        if len(self.hashes) > CACHED_WORDS:
+            self.forget()
+        return [data[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+
+    @staticmethod
+    def _hashes(joined: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        import xxhash
+
+        size = ends - starts
+        padded = joined + bytes(_LONG + 8)
+        loads = np.ndarray((len(joined) + _LONG,), dtype="<u8", buffer=padded, strides=(1,))
+        total = mixed(size.astype(np.uint64), 1)
+        at = np.arange(len(size))
+        for k in range(_LONG // 8):
+            at = at[size[at] > 8 * k]
+            own = loads[starts[at] + 8 * k] & _MASKS[np.minimum(size[at] - 8 * k, 8)]
+            total[at] = mixed(own ^ total[at], 2 + k)
+        for i in np.flatnonzero(size > _LONG).tolist():
+            total[i] = xxhash.xxh3_64_intdigest(joined[starts[i] : ends[i]])
+        return total
+
+    @staticmethod
+    def _spelled(word: str) -> str | None:
+        """Small letters, or small letters and ASCII marks with a space between; else None."""
+        found = _LETTERS_MARKS.fullmatch(word)
+        if not found:
+            return None
+        stem, marks = found.groups()
+        if not stem.isalpha() or not (
+            stem.isascii() or (stem == stem.lower() and is_normalized("NFC", stem))
+        ):
+            return None
+        return f"{stem} {marks}" if marks else stem
+
+    def _learn(self, joined: bytes, kinds, starts, ends) -> None:
+        at = np.searchsorted(self.hashes, kinds)
+        there = np.zeros(len(kinds), dtype=bool)
+        if len(self.hashes):
+            there = self.hashes[np.minimum(at, len(self.hashes) - 1)] == kinds
+        new = np.flatnonzero(~there)
+        if not len(new):
+            return
+        words = [
+            joined[a:b].decode("utf-8") for a, b in zip(starts[new].tolist(), ends[new].tolist())
+        ]
+        spelled = [self._spelled(w) for w in words]
+        ends_in = np.array([0 if w is None else 1 + (" " in w) for w in spelled])
+        parts, counts = [], np.zeros(len(words), dtype=np.int64)
+        easy_at, hard_at = np.flatnonzero(ends_in), np.flatnonzero(ends_in == 0)
+        groups = [easy_at[k : k + 1024] for k in range(0, len(easy_at), 1024)]
+        encoded = self.plain.encode_batch_fast(
+            [" ".join([spelled[i] for i in own.tolist()]) for own in groups],
+            add_special_tokens=False,
+        )
+        for own, found in zip(groups, encoded):
             ids = np.array(found.ids, dtype="<u4")
-            stops = 4 * (np.flatnonzero(self.closes[ids]) + 1)
-            if len(stops) != len(own):  # a letter that normalises to something else
-                self._encode_each(own)
-                continue
-            data, start = ids.tobytes(), 0
-            for word, stop in zip(own, stops.tolist()):
-                self.known[word.encode("utf-8")] = data[start:stop]
-                start = stop
-
-    def _encode_each(self, words: list[str]) -> None:
-        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        for word, found in zip(words, encoded):
-            self.known[word.encode("utf-8")] = np.array(found.ids, dtype="<u4").tobytes()
+            # Each part of a word ends with the one token that closes a part.
+            last = np.flatnonzero(self.closes[ids])[np.cumsum(ends_in[own]) - 1]
+            counts[own] = np.diff(np.r_[-1, last])
+            parts.append(ids)
+        hard = self.tokenizer.encode_batch_fast(
+            [words[i] for i in hard_at.tolist()], add_special_tokens=False
+        )
+        for i, found in zip(hard_at.tolist(), hard):
+            counts[i] = len(found.ids)
+            parts.append(np.array(found.ids, dtype="<u4"))
+        # Ids lie in the order easy words, hard words.
+        placed = np.r_[easy_at, hard_at]
+        start = np.empty(len(words), dtype=np.int64)
+        start[placed] = len(self.flat) + np.cumsum(counts[placed]) - counts[placed]
+        self.flat = np.concatenate([self.flat, *parts])
+        hashes = np.r_[self.hashes, kinds[new]]
+        order = np.argsort(hashes)
+        self.hashes = hashes[order]
+        self.start = np.r_[self.start, start][order]
+        self.count = np.r_[self.count, counts][order]
 
 
 def token_pieces(
@@ -118,10 +214,10 @@ def token_pieces(
     closing = np.array([closing_id], dtype="<u4").tobytes()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer_path)
+        words = kept_in_worker(f"words {tokenizer_path}", lambda: WordIds(tokenizer_path))
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for part in by_size(texts):
+            for part in by_size(texts, BATCH_CHARS):
                 at, piece, start, length, crc = [], [], [], [], []
                 for row, found in zip(range(part.start, part.stop), words.encode(texts[part])):
                     ids = found + closing
