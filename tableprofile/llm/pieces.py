@@ -30,12 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableprofile.llm.shared import by_size
+from tableprofile.llm.shared import by_size, kept_in_worker, unused
 
 SPACE = "▁"
 SHORT = 64
-CACHED_PARTS = 600_000
-BATCH_CHARS = 8 << 20
+CACHED_PARTS = 500_000
+BATCH_BYTES = 4 << 20
 
 
 class Pieces:
@@ -103,8 +103,9 @@ def edges_of(codes: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]
     ``codes`` are code points with 0 between the parts.
     """
     width = pieces.longest + 1  # so that a piece is always shorter than a window
-    alphabet = np.unique(codes)  # holds 0, which is smaller than any character
-    ranks = np.searchsorted(alphabet, codes).astype(np.int64)
+    seen = np.bincount(codes, minlength=1) > 0
+    alphabet = np.flatnonzero(seen)  # holds 0, which is smaller than any character
+    ranks = (np.cumsum(seen) - 1)[codes]
     # Big-endian, so that byte strings order like the codes.
     padded = np.concatenate([ranks, np.zeros(width, ranks.dtype)]).astype(">u4")
     done = 1
@@ -192,7 +193,9 @@ class Relaxer:
             moved = np.cumsum(stays) - 1
             left, right, part, turn = left[stays], right[stays], part[stays], turn[stays]
             at = moved[at]
-            again = np.unique(np.r_[at, np.maximum(at - 1, 0)])
+            touched = np.zeros(len(left), dtype=bool)
+            touched[at] = touched[np.maximum(at - 1, 0)] = True
+            again = np.flatnonzero(touched)
             turn[again] = self._pairs_at(left, right, part, again)
         left = np.concatenate(final_left) if final_left else np.empty(0, np.int64)
         right = np.concatenate(final_right) if final_right else np.empty(0, np.int64)
@@ -266,7 +269,7 @@ class Encoder:
         cut = [self.parts(text or "") for text in texts]
         new = set().union(*cut).difference(self.known)
         if new:
-            self._learn(sorted(new))
+            self._learn(list(new))
         found = [b"".join(map(self.known.__getitem__, parts)) for parts in cut]
         if len(self.known) > CACHED_PARTS:
             self.known, self.indexed = {}, {}
@@ -274,13 +277,18 @@ class Encoder:
 
     def _learn(self, new: list[str]) -> None:
         cut = self.pieces.cut
-        made = [[x for x in cut.split(SPACE + part) if x] if cut else [SPACE + part]
-                for part in new]
-        unseen = set().union(*made).difference(self.indexed)
+        # A part of letters only is never cut.
+        whole = [p for p in new if cut is None or p.isalpha()]
+        mixed = [p for p in new if not (cut is None or p.isalpha())]
+        made = [[x for x in cut.split(SPACE + part) if x] for part in mixed]
+        unseen = set().union(*made, [SPACE + part for part in whole]).difference(self.indexed)
         if unseen:
-            self._index(sorted(unseen))
-        for part, own in zip(new, made):
-            self.known[part] = b"".join(map(self.indexed.__getitem__, own))
+            self._index(list(unseen))
+        ids = self.indexed
+        for part in whole:
+            self.known[part] = ids[SPACE + part]
+        for part, own in zip(mixed, made):
+            self.known[part] = b"".join([ids[x] for x in own])
 
     def _index(self, new: list[str]) -> None:
         joined = "\0".join(part.replace("\0", "￾") for part in new) + "\0"
@@ -340,11 +348,11 @@ def decode_pieces(
     df: DataFrame, model_path: str, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",),
 ) -> DataFrame:
     """``keep`` columns and the ``text`` of each array of ids; a null array is null text."""
-    source = df.select(*keep, F.col(ids).cast("array<int>").alias("_ids"))
+    source = df.select(*keep, F.col(ids).cast("array<int>").alias(unused("_ids", keep)))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model_path)
+        pieces = kept_in_worker(f"pieces {model_path}", lambda: Pieces(model_path))
         for batch in batches:
             lists = batch.column(batch.num_columns - 1).to_pylist()
             texts = [None if x is None else pieces.decode(np.array(x, np.int64)) for x in lists]
@@ -373,19 +381,17 @@ def _as_digest(encoder: Encoder, texts: list, found: list[bytes]) -> list[pa.Arr
 
 
 def _mapped(docs, model_path, text, keep, fields, columns_of) -> DataFrame:
-    source = docs.select(*keep, F.col(text).alias("_text"))
+    source = docs.select(*keep, F.col(text).alias(unused("_text", keep)))
     given = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
     names = [part.split()[0] for part in fields.split(", ")]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model_path)
+        encoder = kept_in_worker(f"encoder {model_path}", lambda: Encoder(model_path))
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            for part in by_size(texts, BATCH_CHARS):
-                found = encoder.encode(texts[part])
-                piece = batch.slice(part.start, part.stop - part.start)
+            for piece, texts in by_size(batch, BATCH_BYTES):
+                found = encoder.encode(texts)
                 kept = [piece.column(i) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays(
-                    [*kept, *columns_of(encoder, texts[part], found)], names=[*keep, *names])
+                    [*kept, *columns_of(encoder, texts, found)], names=[*keep, *names])
 
     return source.mapInArrow(rows, ", ".join([*given, fields]))
