@@ -440,6 +440,56 @@ def _kmeans_sizes(spark: SparkSession, folder: str) -> DataFrame:
     return cluster_sizes(tp.fit_kmeans(table(spark, folder, "customer")).predict())
 
 
+def _spread(scored: DataFrame, centres, features) -> DataFrame:
+    """Rows, total squared distance, and the mean of each feature by cluster."""
+    table_ = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres])
+    own = F.element_at(table_, F.col("prediction") + 1)
+    far = sum((F.col(f).cast("double") - own[i]) ** 2 for i, f in enumerate(features))
+    return scored.groupBy("prediction").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(far).alias("cost"),
+        *[F.avg(f).alias(f"m{i}") for i, f in enumerate(features)],
+    )
+
+
+def _lloyd_many(spark: SparkSession, folder: str) -> DataFrame:
+    """Sixty clusters: every centre is near the mean of its rows, the cost their sum."""
+    features = ("c_custkey", "c_acctbal")
+    found = tp.lloyd_kmeans(table(spark, folder, "customer"), features, k=60, max_iter=40, tol=1e-9)
+    rows = _spread(found.predict(), found.centres, features).collect()
+    near = all(
+        abs(r[f"m{i}"] - found.centres[r["prediction"]][i]) <= 0.05 * (1 + abs(r[f"m{i}"]))
+        for r in rows for i in range(2)
+    )
+    cost = sum(r["cost"] for r in rows)
+    return spark.createDataFrame(
+        [(len(found.centres), sum(r["n"] for r in rows), near,
+          abs(cost - found.cost) <= 1e-6 * cost)],
+        "clusters int, rows long, close_to_mean boolean, cost_matches boolean",
+    )
+
+
+def _kmeans_fixed_point(spark: SparkSession, folder: str) -> DataFrame:
+    """The default fit: its cost is the sum over its own predictions."""
+    df = table(spark, folder, "customer")
+    fit = tp.fit_kmeans(df, digits=None)
+    features = [s for s, m, _ in fit.facts if m == "feature"]
+    centres = [
+        [fit.fact(f"centre of {name}", f"cluster {i}") for name in features] for i in range(3)
+    ]
+    rows = _spread(fit.predict(), centres, features).collect()
+    cost = sum(r["cost"] for r in rows)
+    return spark.createDataFrame(
+        [(3, sum(r["n"] for r in rows), abs(cost - fit.fact("cost")) <= 1e-6 * cost)],
+        "clusters int, rows long, cost_matches boolean",
+    )
+
+
+def _kmeans_trimmed(spark: SparkSession, folder: str) -> DataFrame:
+    facts = tp.fit_kmeans(table(spark, folder, "customer"), max_dims=1).facts_frame()
+    centres = facts.filter(F.col("metric").startswith("centre of"))
+    return centres.groupBy("subject").agg(F.count(F.lit(1)).alias("centres"))
+
+
 def _lloyd_ctes() -> str:
     """Lloyd steps one after the other; centres live in one row of six columns."""
     nearest = " ".join(
@@ -502,6 +552,20 @@ KMEANS_QUERIES = {
         _lloyd_sizes,
         f"""{_lloyd_ctes()}
 select c as cluster, count(*) as size from a{LLOYD_STEPS} group by c""",
+    ),
+    "kmeans_lloyd_many": Query(
+        _lloyd_many,
+        "select 60 as clusters, count(*) as rows, true as close_to_mean, true as cost_matches"
+        " from customer",
+    ),
+    "kmeans_default_fixed_point": Query(
+        _kmeans_fixed_point,
+        "select 3 as clusters, count(*) as rows, true as cost_matches from customer",
+    ),
+    "kmeans_trimmed": Query(
+        _kmeans_trimmed,
+        """select 'cluster ' || c as subject, 1::bigint as centres
+from (select unnest([0, 1, 2]) as c)""",
     ),
     "kmeans_default": Query(lambda s, d: tp.run_model(table(s, d, "lineitem"), "kmeans")),
     "kmeans_default_sizes": Query(_kmeans_sizes),

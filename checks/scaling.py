@@ -157,6 +157,24 @@ from ({speedup_sql(UNFINISHED_SQL, "")}) where execution_time is not null""",
             "job",
         ),
     ),
+    "run_summary_of_nothing": Query(
+        lambda s, d: tp.run_summary(runs(s, d).filter("workers < 0")).select("total_jobs", "message"),
+        """select count(*) as total_jobs, 'No metrics collected' as message
+from events where value is null""",
+    ),
+    "scalability_detail": Query(
+        lambda s, d: rounded_doubles(
+            tp.scalability_detail(tp.speedup(scaled_runs(s, d))).select(
+                "job", "workers", "execution_time", "speedup", "efficiency", "scalability_type"
+            )
+        ),
+        f"""with classes as ({_scalability_sql(SCALED_MEASURED_SQL, "job")})
+select m.job, m.workers, round(m.execution_time, 6) as execution_time,
+       round(m.speedup, 6) as speedup, round(m.efficiency, 6) as efficiency, c.scalability_type
+from (select job, workers, avg(execution_time) as execution_time, avg(speedup) as speedup,
+             avg(efficiency) as efficiency from ({SCALED_MEASURED_SQL}) group by job, workers) m
+join classes c on c.job = m.job""",
+    ),
     "performance_by_workers": Query(
         lambda s, d: rounded_doubles(tp.performance_by_workers(tp.speedup(mean_runs(s, d)))),
         f"""select workers, round(avg(execution_time), 6) as execution_time,

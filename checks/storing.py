@@ -74,7 +74,7 @@ def _stored(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stored_all(spark: SparkSession, folder: str) -> DataFrame:
     found = tp.load_results(spark, _store(spark, folder))
-    return found.select("job_id", "subject", "num_value", "str_value")
+    return found.drop("created_at", "name")
 
 
 def _counts_sql(job: str, name: str, column: str, columns: str) -> str:
@@ -88,12 +88,14 @@ def _inventory(spark: SparkSession, folder: str) -> DataFrame:
     """One folder per market segment, one line per customer name."""
     uri = scratch_path(spark, "segments")
     named = table(spark, folder, "customer").select("c_mktsegment", "c_name")
-    tp.save_table(named, uri, fmt="text", partition_by=["c_mktsegment"])
+    # One file for each segment.
+    dealt = named.repartition(5, "c_mktsegment")
+    tp.save_table(dealt, uri, fmt="text", partition_by=["c_mktsegment"])
     found = tp.storage_inventory(spark, uri)
     return found.select(
         "total_bytes",
         "total_size_mb",
-        (F.col("file_count") >= F.col("job_count")).alias("has_files"),
+        F.col("file_count").cast("long").alias("file_count"),
         "job_count",
     )
 
@@ -104,8 +106,9 @@ def _metrics(spark: SparkSession, folder: str) -> DataFrame:
     summary = spark.read.json(f"{uri}/summary")
     back = spark.read.json(f"{uri}/metrics").agg(F.count(F.lit(1)).alias("stored_runs"))
     stored = back.select(F.lit("metrics").alias("part"), F.col("stored_runs").cast("double").alias("value"))
-    total = summary.select(F.lit("summary").alias("part"), F.col("total_time").alias("value"))
-    return stored.unionByName(total)
+    names = ("total_jobs", "total_time", "average_time", "min_time", "max_time")
+    cells = [F.struct(F.lit(n).alias("part"), F.col(n).cast("double").alias("value")) for n in names]
+    return stored.unionByName(summary.select(F.inline(F.array(*cells))))
 
 
 # Each user is a job; an event is a result the user's job left behind.
@@ -127,7 +130,27 @@ def _latest(spark: SparkSession, folder: str):
     return F.lit(newest.isoformat()).cast("timestamp_ntz")
 
 
+def _rewritten(spark: SparkSession, folder: str) -> DataFrame:
+    """One job is stored long ago, one on the day; the new table holds the second."""
+    uri, target = scratch_path(spark, "results"), scratch_path(spark, "kept")
+    for name, column, when in (
+        ("orders", "o_orderpriority", datetime(2024, 1, 1)),
+        ("events", "event_type", datetime(2024, 1, 20)),
+    ):
+        found = tp.profile(table(spark, folder, name), ["value_counts"], value_count_columns=[column])
+        tp.save_results(found, uri, name, created_at=when)
+    tp.rewrite_retained(spark, uri, target, days=7, as_of=datetime(2024, 1, 21))
+    return tp.load_results(spark, target).drop("created_at", "name")
+
+
 QUERIES = {
+    "rewritten_results": Query(
+        _rewritten,
+        _counts_sql(
+            "events", "events", "event_type",
+            "section, subject, metric, num_value, str_value, job_id",
+        ),
+    ),
     "csv_scan_with_schema": Query(_csv_with_schema, "select * from orders"),
     "csv_scan_inferred": Query(_csv_inferred, "select * from customer"),
     "json_scan_with_schema": Query(_json, "select * from events"),
@@ -153,21 +176,30 @@ from (select unnest(string_split(text, chr(10))) as value from documents) group
     "results_of_all_jobs": Query(
         _stored_all,
         _counts_sql(
-            "orders", "orders", "o_orderpriority", "job_id, subject, num_value, str_value"
+            "orders", "orders", "o_orderpriority",
+            "section, subject, metric, num_value, str_value, job_id",
         )
         + "\nunion all\n"
-        + _counts_sql("events", "events", "event_type", "job_id, subject, num_value, str_value"),
+        + _counts_sql(
+            "events", "events", "event_type",
+            "section, subject, metric, num_value, str_value, job_id",
+        ),
     ),
     "storage_inventory": Query(
         _inventory,
         """select cast(sum(strlen(c_name) + 1) as bigint) as total_bytes,
        round(cast(sum(strlen(c_name) + 1) as double) / 1048576e0, 2) as total_size_mb,
-       true as has_files, count(distinct c_mktsegment) as job_count from customer""",
+       count(distinct c_mktsegment) as file_count,
+       count(distinct c_mktsegment) as job_count from customer""",
     ),
     "run_metrics_sink": Query(
         _metrics,
         """select 'metrics' as part, cast(count(*) as double) as value from events
-union all select 'summary', round(sum(value), 2) from events""",
+union all select 'total_jobs', cast(count(value) as double) from events
+union all select 'total_time', round(sum(value), 2) from events
+union all select 'average_time', round(avg(value), 2) from events
+union all select 'min_time', round(min(value), 2) from events
+union all select 'max_time', round(max(value), 2) from events""",
     ),
     "expired_jobs": Query(
         lambda s, d: tp.expired_jobs(_event_results(s, d), days=1, as_of=_latest(s, d)),

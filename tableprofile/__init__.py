@@ -28,6 +28,7 @@ from tableprofile.operators.scaling import (
     performance_by_workers,
     run_summary,
     scalability,
+    scalability_detail,
     speedup,
 )
 from tableprofile.operators.trees import fit_decision_tree
@@ -38,6 +39,7 @@ from tableprofile.sources.results import (
     expired_jobs,
     load_results,
     retained_results,
+    rewrite_retained,
     save_results,
     save_run_metrics,
     storage_inventory,
@@ -73,12 +75,14 @@ __all__ = [
     "profile",
     "regression_metrics",
     "retained_results",
+    "rewrite_retained",
     "run_model",
     "run_summary",
     "save_results",
     "save_run_metrics",
     "save_table",
     "scalability",
+    "scalability_detail",
     "speedup",
     "split_by_key",
     "storage_inventory",

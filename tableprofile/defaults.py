@@ -30,7 +30,14 @@ BASELINE_WORKERS = 1
 PERCENT_DIGITS = 2
 RATIO_DIGITS = 4
 
+# Names of the models.
+REGRESSION_MODEL = "Linear Regression"
+KMEANS_MODEL = "K-Means Clustering"
+TREE_MODEL = "Decision Tree Classifier"
+FPGROWTH_MODEL = "FP-Growth (Frequent Pattern Mining)"
+
 # Messages.
+NO_METRICS = "No metrics collected"
 NO_NUMERIC_COLUMNS = "No numeric columns found in dataset"
 TWO_COLUMNS_FOR_CORRELATION = "Need at least 2 numeric columns for correlation"
 TWO_COLUMNS_FOR_REGRESSION = "Need at least 2 numeric columns for regression"

@@ -65,7 +65,9 @@ def run_summary(runs: DataFrame, digits: int | None = SUMMARY_DIGITS) -> DataFra
         rounded(F.avg(time), digits).alias("average_time"),
         rounded(F.min(time), digits).alias("min_time"),
         rounded(F.max(time), digits).alias("max_time"),
-        F.when(done == 0, F.lit(defaults.NO_COMPLETED_JOBS)).alias("message"),
+        F.when(F.count(F.lit(1)) == 0, F.lit(defaults.NO_METRICS))
+        .when(done == 0, F.lit(defaults.NO_COMPLETED_JOBS))
+        .alias("message"),
     )
 
 
@@ -109,6 +111,16 @@ def scalability(
     )
 
 
+def scalability_detail(measured: DataFrame, by: Sequence[str] = ("job",)) -> DataFrame:
+    """The means of each worker count beside the class of its job."""
+    judged = scalability(measured, by).drop("message", "recommendation")
+    means = performance_by_workers(measured, by)
+    if not by:
+        return means.withColumn("one", F.lit(1)).join(
+            judged.withColumn("one", F.lit(1)), "one").drop("one")
+    return join_few(means, judged, list(by), "left")
+
+
 def _parallel_portion(best: Column, workers: Column) -> Column:
     saved = 1.0 - F.try_divide(F.lit(1.0), best)
     possible = 1.0 - F.try_divide(F.lit(1.0), workers)

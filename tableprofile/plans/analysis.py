@@ -9,8 +9,10 @@ from typing import Any
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tableprofile.functions.tidy import tidy_facts
+from tableprofile.functions.tidy import melt, tidy_facts
+from tableprofile.operators.scaling import scalability, speedup
 from tableprofile.plans.jobs import MODEL_JOBS, run_model
 from tableprofile.plans.profiling import STATISTICS, profile
 
@@ -21,11 +23,12 @@ def analyze(
     models: Sequence[str] = tuple(MODEL_JOBS),
     stat_params: Mapping[str, Any] | None = None,
     model_params: Mapping[str, Mapping[str, Any]] | None = None,
+    runs: DataFrame | None = None,
 ) -> DataFrame:
     """Every chosen statistic and modelling job in one tidy result.
 
     A part that cannot run on this table becomes an ``error`` row and the rest
-    goes on. Persist ``df`` first when reading it again is dear (CSV, JSON).
+    goes on. ``runs`` (job, workers, execution_time) adds how the jobs scale. Persist ``df`` first when reading it again is dear (CSV, JSON).
     """
     spark = df.sparkSession
     known = [s for s in stats if s in STATISTICS]
@@ -38,11 +41,19 @@ def analyze(
     for job in models:
         params = (model_params or {}).get(job, {})
         parts.append(_or_error(df, job, lambda: run_model(df, job, **params)))
+    if runs is not None:
+        parts.append(_or_error(df, "scalability", lambda: _scaling(runs)))
     if not parts:
         return tidy_facts(spark, "analysis", [])
     return reduce(DataFrame.unionByName, parts)
 
 
+def _scaling(runs: DataFrame) -> DataFrame:
+    judged = scalability(speedup(runs))
+    metrics = [c for c in judged.columns if c not in ("job", "unlimited")]
+    return melt(judged, "scalability", F.col("job"), metrics)
+
+
 def _profiled(
     df: DataFrame, stats: Sequence[str], params: Mapping[str, Any]
 ) -> list[DataFrame]:

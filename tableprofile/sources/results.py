@@ -111,6 +111,23 @@ def storage_inventory(
     )
 
 
+def rewrite_retained(
+    spark: SparkSession,
+    uri: str,
+    target: str,
+    days: int = defaults.RETENTION_DAYS,
+    as_of: datetime | Column | None = None,
+    fmt: str = "parquet",
+) -> str:
+    """Write the results that are not expired to a new table beside the stored one.
+
+    Nothing is deleted; readers move to the new table when it is complete.
+    """
+    kept = retained_results(load_results(spark, uri, fmt=fmt), days, as_of)
+    kept.write.format(fmt).mode("errorifexists").partitionBy("job_id", "name").save(target)
+    return target
+
+
 def _cutoff(as_of: datetime | Column | None, days: int) -> Column:
     now = F.current_timestamp() if as_of is None else as_of if isinstance(as_of, Column) else F.lit(as_of)
     return now - F.make_dt_interval(F.lit(days))

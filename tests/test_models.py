@@ -182,3 +182,16 @@ def test_metrics_of_missing_and_perfect_predictions(spark):
     assert tuple(tp.regression_metrics(constant).first()) == (1.0, None)
     guess = spark.createDataFrame([(0.0, 2.0), (1.0, 2.0)], "label double, prediction double")
     assert tuple(tp.classification_metrics(guess).first()) == (0.0, 0.0)
+
+
+def test_lloyd_with_many_centres_and_copies(spark):
+    """Copies fill the first batches of starting rows; the number of jobs stays small."""
+    df = spark.range(2000).select(
+        F.when(F.col("id") < 1500, 1.0).otherwise(F.col("id").cast("double")).alias("x"),
+        (F.col("id") * 0).cast("double").alias("y"),
+    )
+    found = tp.lloyd_kmeans(df, ["x", "y"], k=120, max_iter=2)
+    assert len(set(found.centres)) == 120
+    assert sum(found.sizes) == 2000
+    few = tp.lloyd_kmeans(df.limit(3).union(df.filter("x > 1998")), ["x", "y"], k=10)
+    assert len(few.centres) == 2 and few.cost == 0.0

@@ -81,3 +81,10 @@ def test_result_can_be_stored_and_read_back(spark, table, tmp_path):
     tp.save_results(found, uri, "job-1")
     stored = tp.load_results(spark, uri, "job-1")
     assert stored.count() == found.count()
+
+
+def test_runs_add_a_scaling_section(spark, table):
+    runs = spark.createDataFrame(
+        [("j", n, 8.0 / n) for n in (1, 2, 4)], "job string, workers int, execution_time double")
+    found = tp.analyze(table, [], [], runs=runs).filter("metric = 'scalability_type'").first()
+    assert found["section"] == "scalability" and found["str_value"].startswith("Excellent")

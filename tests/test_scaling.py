@@ -94,3 +94,16 @@ def test_means_per_worker_count_are_ordered(spark):
     measured = tp.speedup(runs(spark, [("j", 2, 5.0), ("j", 1, 10.0), ("k", 2, 10.0), ("k", 1, 10.0)]))
     found = [tuple(r) for r in tp.performance_by_workers(measured).collect()]
     assert found == [(1, 10.0, 1.0, 100.0), (2, 7.5, 1.5, 75.0)]
+
+
+def test_detail_holds_the_class_of_each_job(spark):
+    measured = tp.speedup(runs(spark, [("j", n, 8.0 / n) for n in (1, 2, 4)]))
+    found = tp.scalability_detail(measured).orderBy("workers").collect()
+    assert [r["workers"] for r in found] == [1, 2, 4]
+    assert {r["scalability_type"][:9] for r in found} == {"Excellent"}
+    together = tp.scalability_detail(measured, by=()).collect()
+    assert len(together) == 3
+
+
+def test_no_runs_at_all(spark):
+    assert tp.run_summary(runs(spark, [])).first()["message"] == "No metrics collected"

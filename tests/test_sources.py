@@ -127,3 +127,15 @@ def test_scan_reads_only_what_is_asked(spark, tmp_path):
     assert "ReadSchema: struct<v:double>" in plan
     plan = tp.basic_info(df)._jdf.queryExecution().toString()
     assert "ReadSchema: struct<s:string>" in plan
+
+
+def test_retained_results_are_rewritten(spark, tmp_path):
+    from datetime import datetime
+
+    uri, target = str(tmp_path / "stored"), str(tmp_path / "kept")
+    df = spark.createDataFrame([(1.0,)], "a double")
+    for job, day in (("old", 1), ("new", 20)):
+        tp.save_results(tp.profile(df), uri, job, created_at=datetime(2024, 1, day))
+    tp.rewrite_retained(spark, uri, target, days=7, as_of=datetime(2024, 1, 21))
+    assert {r["job_id"] for r in tp.load_results(spark, target).collect()} == {"new"}
+    assert tp.load_results(spark, uri, "old").count() > 0
