@@ -53,6 +53,26 @@ def _label_counts(spark: SparkSession, folder: str) -> DataFrame:
     return labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _content_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Copies of a row are on one side, near four fifths train, and partitions do not matter."""
+    df = table(spark, folder, "lineitem")
+    sides = [
+        split.groupBy(*df.columns).agg(
+            F.min("is_train").alias("least"), F.max("is_train").alias("most")
+        )
+        for split in (tp.split_by_key(df), tp.split_by_key(df.repartition(7)))
+    ]
+    other = sides[1].select(*df.columns, F.col("least").alias("again"))
+    both = sides[0].join(other, df.columns)
+    share = F.count_if("least") / F.count(F.lit(1))
+    return both.agg(
+        F.count(F.lit(1)).alias("different_rows"),
+        F.bool_and(F.col("least") == F.col("most")).alias("copies_together"),
+        F.bool_and(F.col("least") == F.col("again")).alias("same_again"),
+        F.abs(share - 0.8).between(0, 0.03).alias("near_ratio"),
+    )
+
+
 FEATURE_QUERIES = {
     "fill_missing": Query(
         _filled,
@@ -89,6 +109,11 @@ from ({LINEITEM_NULLS_SQL}) where l_tax is not null group by 1""",
         f"""select {md5_train_sql("event_id", 7, 700)} as is_train, count(*) as n
 from events group by 1""",
     ),
+    "split_by_content_stable": Query(
+        _content_split,
+        """select count(*) as different_rows, true as copies_together, true as same_again,
+       true as near_ratio from (select distinct * from lineitem)""",
+    ),
     "split_by_content": Query(
         lambda s, d: tp.split_by_key(table(s, d, "lineitem"))
         .groupBy("is_train")
@@ -120,6 +145,43 @@ def _elastic_net(spark: SparkSession, folder: str) -> DataFrame:
     return rounded_doubles(_numbers(fit.facts_frame(), REGRESSION))
 
 
+def _default_regression(spark: SparkSession, folder: str) -> DataFrame:
+    """The default fit: its metrics are those of its own predictions, by the portable split."""
+    df = table(spark, folder, "lineitem")
+    fit = tp.fit_linear_regression(df, key=["l_orderkey"], digits=None)
+    test = tp.split_by_key(fit.predict(), ["l_orderkey"]).filter("not is_train")
+    error = F.col("l_orderkey") - F.col("prediction")
+    row = test.agg(
+        F.sqrt(F.avg(error * error)).alias("rmse"), F.count(F.lit(1)).alias("n"),
+        (1 - F.avg(error * error) / F.var_pop("l_orderkey")).alias("r2"),
+    ).first()
+    close = lambda a, b: abs(a - b) <= 1e-6 * (1 + abs(a))
+    return spark.createDataFrame(
+        [(row["n"], int(fit.fact("training_rows")), close(row["rmse"], fit.fact("rmse")),
+          close(row["r2"], fit.fact("r2")))],
+        "test_rows long, training_rows long, rmse_matches boolean, r2_matches boolean",
+    )
+
+
+def _default_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """The default tree: its accuracy is that of its own predictions, depth and nodes fit."""
+    df = table(spark, folder, "lineitem")
+    fit = tp.fit_decision_tree(df, key=["l_orderkey"], digits=None)
+    test = tp.split_by_key(fit.predict(), ["l_orderkey"]).filter("not is_train")
+    actual = F.when(F.col("l_orderkey") > fit.fact("threshold"), 1.0).otherwise(0.0)
+    row = test.agg(
+        F.avg((actual == F.col("prediction")).cast("double")).alias("accuracy"),
+        F.count(F.lit(1)).alias("n"),
+    ).first()
+    depth, nodes = fit.fact("depth"), fit.fact("num_nodes")
+    return spark.createDataFrame(
+        [(float(fit.fact("threshold")), row["n"],
+          abs(row["accuracy"] - fit.fact("accuracy")) <= 1e-9,
+          depth <= 5 and nodes % 2 == 1 and 2 * depth + 1 <= nodes <= 2 ** (depth + 1) - 1)],
+        "threshold double, test_rows long, accuracy_matches boolean, shape_fits boolean",
+    )
+
+
 def _least_squares(spark: SparkSession, folder: str) -> DataFrame:
     """Two features without penalty, split by order."""
     fit = tp.fit_linear_regression(
@@ -244,6 +306,18 @@ REGRESSION_QUERIES = {
             LINEITEM_NULLS_SQL, "l_tax", ["l_linenumber", "l_discount"], "l_orderkey", 5
         ),
     ),
+    "linear_regression_default_metrics": Query(
+        _default_regression,
+        f"""select count(*) filter (where not t) as test_rows,
+       count(*) filter (where t) as training_rows, true as rmse_matches, true as r2_matches
+from (select {md5_train_sql("l_orderkey")} as t from lineitem)""",
+    ),
+    "linear_regression_trimmed": Query(
+        lambda s, d: tp.run_model(table(s, d, "lineitem"), "linear_regression", top_n=2)
+        .filter("metric in ('coefficient', 'feature')").groupBy("metric")
+        .agg(F.count(F.lit(1)).alias("n")),
+        "select 'coefficient' as metric, 2::bigint as n union all select 'feature', 7",
+    ),
     "linear_regression_default": Query(
         lambda s, d: tp.run_model(table(s, d, "lineitem"), "linear_regression")
     ),
@@ -388,6 +462,12 @@ TREE_QUERIES = {
     "decision_tree_predictions": Query(
         lambda s, d: _tree_predictions(s, d, 3), _tree_predictions_sql(3)
     ),
+    "decision_tree_default_metrics": Query(
+        _default_tree,
+        f"""select (select cast(quantile_disc(l_orderkey, 0.5) as double) from lineitem) as threshold,
+       count(*) as test_rows, true as accuracy_matches, true as shape_fits
+from lineitem where not {md5_train_sql("l_orderkey")}""",
+    ),
     "decision_tree_default": Query(
         lambda s, d: tp.run_model(table(s, d, "lineitem"), "decision_tree")
     ),
