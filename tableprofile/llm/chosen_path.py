@@ -6,10 +6,15 @@ under a threshold of about ``tokens_per_run`` over the size of the set, so that
 sets choose common tokens. Sets that chose the same token share a bucket. Runs with other
 hashes are repeated until the expected recall at the threshold reaches ``recall``.
 
-Small buckets are compared by brute force. A larger one is split again on further sampled
-tokens (its path grows by one), unless its sets are mostly alike by the tokens that they
-chose, when splitting would only copy the work; at ``max_depth`` a bucket of any size is
-compared. Buckets of more than ``chunk`` sets are compared in pairs of chunks, each a
+Small buckets are compared by brute force. A larger one is split: first by bands of size,
+as sets of too different size cannot link, then on further sampled tokens (its path grows
+by one), leaving out those that over half of the bucket has, as a line or passage that
+many texts share would keep the bucket together. Sets that consist mostly of such tokens
+are alike; they are compared with each other there. (If only one of a linked pair is alike,
+or none, at least a fifth of their tokens are common but not shared by half.) What is left
+after ``max_depth`` splits is compared whatever its size. Pairs whose samples of tokens
+overlap by far less than a linked pair's can are left out of the exact comparison, five
+standard deviations below. Buckets of more than ``chunk`` sets are compared in pairs of chunks, each a
 group of its own, so no task holds a bucket. All comparisons are exact on the whole sets.
 
 A pair that shares several buckets belongs to the one with the least id, so each pair is
@@ -45,13 +50,14 @@ WORDS = 5
 THRESHOLD = 0.8
 RECALL = 0.9999
 TOKENS_PER_RUN = 3.0
-SPLIT_TOKENS = 6.0
+SPLIT_TOKENS = 3.0
 POOL = 64
-SMALL_BUCKET = 256
-MAX_DEPTH = 3
-ALIKE = 0.5
+SMALL_BUCKET = 1024
+MAX_DEPTH = 2
+ALIKE = 0.6
 CHUNK = 256
-PAIRS_AT_ONCE = 1 << 18
+SAMPLE_SHARE = 0.3
+PAIRS_AT_ONCE = 1 << 16
 
 
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -94,10 +100,9 @@ def _sketch_rows(key_type, words, runs, tokens_per_run, pool):
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for part in by_size(texts):
-                sid, size, pools, chosen = [], [], [], []
-                for text in texts[part]:
+            for piece, texts in by_size(batch):
+                sid, size, pools, chosen, samples = [], [], [], [], []
+                for text in texts:
                     tokens = shingles(text, words)
                     own = sampled(tokens, pool)
                     rate = tokens_per_run / max(min(pool, len(tokens)), 1)
@@ -110,17 +115,19 @@ def _sketch_rows(key_type, words, runs, tokens_per_run, pool):
                         if len(tokens) else None
                     )
                     size.append(len(tokens))
-                    pools.append(own.view(np.int64))
+                    pools.append((own >> np.uint64(32)).astype(np.uint32).view(np.int32))
+                    short = np.unique((own >> np.uint64(48)).astype("<u2"))
+                    samples.append(short.tobytes())
                     chosen.append(picks.view(np.int64))
-                piece = batch.slice(part.start, part.stop - part.start)
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0), pa.array(sid, pa.binary()), pa.array(size, pa.int64()),
-                     pa.array(pools, pa.list_(pa.int64())),
-                     pa.array(chosen, pa.list_(pa.int64()))],
-                    names=["_key", "sid", "n", "pool", "chosen"],
+                     pa.array(pools, pa.list_(pa.int32())),
+                     pa.array(chosen, pa.list_(pa.int64())), pa.array(samples, pa.binary())],
+                    names=["_key", "sid", "n", "pool", "chosen", "sample"],
                 )
 
-    return rows, f"_key {key_type}, sid binary, n long, pool array<long>, chosen array<long>"
+    return rows, (f"_key {key_type}, sid binary, n long, pool array<int>, "
+                  "chosen array<long>, sample binary")
 
 
 def _full_sets(words):
@@ -128,9 +135,8 @@ def _full_sets(words):
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for part in by_size(texts):
-                found = [t for t in (shingles(x, words) for x in texts[part]) if len(t)]
+            for piece, texts in by_size(batch):
+                found = [t for t in (shingles(x, words) for x in texts) if len(t)]
                 sid = [hashlib.blake2b(t.tobytes(), digest_size=16).digest() for t in found]
                 # The upper halves; sorted like the whole.
                 sets = [np.unique((t >> np.uint64(32)).astype("<u4")).tobytes() for t in found]
@@ -141,38 +147,70 @@ def _full_sets(words):
     return rows, "sid binary, set binary"
 
 
-def _leaves(sets: DataFrame, small: int, depth: int, alike: float, split: float, pool: int):
+def _leaves(sets: DataFrame, small: int, depth: int, threshold: float, pool: int):
     """Buckets to compare: leaf, sid, m (sets in the leaf)."""
+    known = sets.select("sid", "n", "pool")
     paths = sets.select(F.explode("chosen").alias("path"), "sid")
-    leaves = None
-    for level in range(1, depth + 1):
-        sizes = paths.groupBy("path").agg(F.count("*").alias("m")).where("m > 1")
-        if level == depth:
-            found = paths.join(sizes, "path")
-            leaves = found if leaves is None else leaves.unionByName(found)
+    leaves = []
+    for level in range(depth):
+        paths = _sized(paths)
+        leaves.append(paths.where(F.col("m") <= small))
+        # Sets that can link are in the same or neighbouring bands of size. A bucket holds
+        # the sets of its band, if there are any, and those of the band below.
+        band = F.floor(F.log("n") / float(-math.log(threshold)))
+        hot = paths.where(F.col("m") > small).join(known, "sid").select(
+            F.explode(F.array(band, band + 1)).alias("band"), band.alias("own"), "path", "sid")
+        hot = _sized(hot.select(
+            F.xxhash64("path", "band").alias("path"), "sid", "band",
+            (F.col("band") == F.col("own")).alias("home")), "band", "home")
+        leaves.append(hot.where(F.col("m") <= small).select("path", "sid", "m"))
+        hot = hot.where(F.col("m") > small)
+        if hot.isEmpty():
+            paths = None
             break
-        members = cut_lineage(paths.join(sizes, "path"))
-        hot = members.where(F.col("m") > small).join(
-            sets.select("sid", "n", "pool", "chosen"), "sid")
-        # Mean share of a bucket that chose a token which one of its sets chose.
-        shares = (
-            hot.select("path", "m", F.explode("chosen").alias("token"))
+        hot = cut_lineage(hot.join(known, "sid"))
+        # Tokens of over half of a bucket's sets: at most two pools of them.
+        common = (
+            hot.select("path", "m", F.explode("pool").alias("token"))
             .groupBy("path", "m", "token").agg(F.count("*").alias("c"))
-            .groupBy("path", "m")
-            .agg((F.sum(F.col("c") * F.col("c")) / F.sum("c") / F.col("m")).alias("share"))
+            .where(F.col("c") > F.col("m") / 2)
+            .groupBy("path").agg(F.collect_list("token").alias("common"))
         )
-        open_paths = shares.where(F.col("share") < alike).select("path")
-        closed = members.join(
-            open_paths.withColumn("open", F.lit(True)), "path", "left"
-        ).where(F.col("open").isNull()).drop("open")
-        leaves = closed if leaves is None else leaves.unionByName(closed)
-        # A longer path takes tokens by a hash of path and token.
-        rate = F.lit(split) / F.least(F.lit(pool), F.col("n"))
+        hot = cut_lineage(hot.join(common, "path", "left").select(
+            "path", "sid", "band", F.array_min("common").alias("first"),
+            F.array_except("pool", F.coalesce("common", F.array().cast("array<int>")))
+            .alias("rest"), F.size("pool").alias("size"),
+        ))
+        # A group of alike sets has many paths, but the same first common token on most.
+        alike = hot.where(F.size("rest") <= (1 - ALIKE) * F.col("size")).select(
+            F.xxhash64("first", "band", F.lit(-1 - level)).alias("path"), "sid").distinct()
+        leaves.append(_sized(alike))
+        # A longer path takes one of the other tokens, by a hash of path and token. A set
+        # with over nine tenths of common tokens can link to alike sets only.
+        rate = F.lit(SPLIT_TOKENS) / F.size("rest")
         draw = lambda t: F.pmod(F.xxhash64(F.col("path"), t), F.lit(1 << 30)) / float(1 << 30)
-        paths = hot.join(open_paths, "path").select(
-            F.explode(F.filter("pool", lambda t: draw(t) < rate)).alias("token"), "path", "sid",
+        split = hot.where(F.size("rest") >= 0.1 * F.col("size"))
+        paths = split.select(
+            F.explode(F.filter("rest", lambda t: draw(t) < rate)).alias("token"), "path", "sid",
         ).select(F.xxhash64("path", "token", F.lit(level)).alias("path"), "sid")
-    return leaves.select(F.col("path").alias("leaf"), "sid", "m")
+    if paths is not None:
+        leaves.append(_sized(paths))
+    every = leaves[0]
+    for more in leaves[1:]:
+        every = every.unionByName(more)
+    return every.select(F.col("path").alias("leaf"), "sid", "m")
+
+
+def _sized(paths: DataFrame, *more: str) -> DataFrame:
+    """Rows of paths that two sets or more have, with their number m.
+
+    Where rows say if they are at home, one set at least has to be.
+    """
+    paths = cut_lineage(paths)
+    home = F.max("home") if "home" in more else F.lit(True)
+    sizes = paths.groupBy("path").agg(F.count("*").alias("m"), home.alias("_any"))
+    sizes = sizes.where("m > 1 and _any").select("path", "m")
+    return paths.join(sizes, "path").select("path", "sid", "m", *[c for c in more if c != "home"])
 
 
 def _dealt(leaves: DataFrame, chunk: int) -> DataFrame:
@@ -322,13 +360,23 @@ def _all_pairs(table: pa.Table, threshold: float) -> Iterator[tuple[np.ndarray,
         lists, threshold)
 
 
-def _needed_rows(threshold):
+def _needed_rows(threshold, pool):
+    """Rows of sets that have a pair to compare in their group; drops the samples."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups_in(batches, 3):
             used = np.zeros(table.num_rows, dtype=bool)
-            for a, b in _all_pairs(table, threshold):
-                used[a] = used[b] = True
-            yield from table.filter(pa.array(used)).combine_chunks().to_batches()
+            samples = [np.frombuffer(x, "<u2") for x in table.column("sample").to_pylist()]
+            least = SAMPLE_SHARE * np.minimum(_numbers(table, "n"), pool)
+            group = _group_ids(table)
+            for pairs in _all_pairs(table, threshold):
+                for a, b in _by_group(group, *pairs):
+                    first = int(min(a.min(), b.min()))
+                    last = int(max(a.max(), b.max())) + 1
+                    common = overlaps(samples[first:last], a - first, b - first)
+                    near = common >= np.maximum(least[a], least[b])
+                    used[a[near]] = used[b[near]] = True
+            kept = table.drop_columns(["sample"]).filter(pa.array(used))
+            yield from kept.combine_chunks().to_batches()
 
     return rows
 
@@ -402,17 +450,18 @@ def similarity_classes(
     sets = cut_lineage(
         base.where("sid is not null").groupBy("sid").agg(
             F.count("*").alias("copies"), F.min("_key").alias("lead"), F.min("n").alias("n"),
-            F.min("pool").alias("pool"), F.min("chosen").alias("chosen"))
+            F.min("pool").alias("pool"), F.min("chosen").alias("chosen"),
+            F.min("sample").alias("sample"))
     )
-    leaves = cut_lineage(_leaves(sets, small_bucket, max_depth, ALIKE, SPLIT_TOKENS, POOL))
-    lists = leaves.groupBy("sid").agg(F.sort_array(F.collect_list("leaf")).alias("leaves"))
-    known = lists.join(sets.select("sid", "copies", "n"), "sid")
+    leaves = cut_lineage(_leaves(sets, small_bucket, max_depth, threshold, POOL))
+    lists = leaves.groupBy("sid").agg(F.sort_array(F.collect_set("leaf")).alias("leaves"))
+    known = lists.join(sets.select("sid", "copies", "n", "sample"), "sid")
     rows = _dealt(leaves, chunk).join(known, "sid").select(
-        "leaf", "i", "j", "own", "sid", "n", "copies", "leaves")
+        "leaf", "i", "j", "own", "sid", "n", "copies", "leaves", "sample")
     order = ["leaf", "i", "j"]
     needed = cut_lineage(
         rows.repartition(parts, *order).sortWithinPartitions(*order)
-        .mapInArrow(_needed_rows(threshold), rows.schema)
+        .mapInArrow(_needed_rows(threshold, POOL), rows.drop("sample").schema)
     )
     work, schema = _full_sets(words)
     whole = source.select("_text").mapInArrow(work, schema)
@@ -420,7 +469,7 @@ def similarity_classes(
     whole = whole.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.first("set").alias("set"))
     found = cut_lineage(
         needed.join(whole, "sid")
-        .select(*rows.columns, "set")
+        .select(*needed.columns, "set")
         .repartition(parts, *order).sortWithinPartitions(*order)
         .mapInArrow(_linked_rows(threshold), "sid binary, hub binary, links long")
     )

@@ -157,10 +157,8 @@ def compression_bands(
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratios = Ratios(bands, chunk_bytes)
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            for part in by_size(texts):
-                found = [verdict(t, ratios) for t in texts[part]]
-                piece = batch.slice(part.start, part.stop - part.start)
+            for piece, texts in by_size(batch):
+                found = [verdict(t, ratios) for t in texts]
                 columns = [piece.column(i) for i in range(len(carried))]
                 columns += [
                     pa.array(c, type=kind)

@@ -312,10 +312,8 @@ def extract_main_text(
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            for part in by_size(texts):
-                found = [main_text(t) for t in texts[part]]
-                piece = batch.slice(part.start, part.stop - part.start)
+            for piece, texts in by_size(batch):
+                found = [main_text(t) for t in texts]
                 columns = [piece.column(i) for i in range(len(keep))]
                 columns += [pa.array(found, pa.string()),
                             pa.array([len(t) for t in found], pa.int64())]

@@ -196,11 +196,11 @@ def _train(x: np.ndarray, langs: np.ndarray) -> Machines:
         for a, b in combinations(members, 2):
             rows = np.flatnonzero((langs == a) | (langs == b))
             pair_column[a, b] = add(rows, np.where(langs[rows] == a, 1.0, -1.0))
-    table = np.array([w for w, _, _ in columns], np.float32).reshape(len(columns), -1).T * _SCALE
-    if not columns:
-        table = np.zeros((1 << SLOT_BITS, 0), np.float32)
+    table = np.zeros((1 << SLOT_BITS, len(columns)), np.float32)
+    for column, (w, _, _) in enumerate(columns):
+        table[:, column] = w * _SCALE
     return Machines(
-        np.ascontiguousarray(table), np.array([b for _, b, _ in columns]),
+        table, np.array([b for _, b, _ in columns]),
         np.array([s for _, _, s in columns]), tuple(families), family_column, pair_column,
         families,
     )
@@ -228,10 +228,8 @@ def predict_language(
             return machines.decide(sums / max(len(at), 1) + machines.bias)
 
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            for part in by_size(texts):
-                found = [one(t) for t in texts[part]]
-                piece = batch.slice(part.start, part.stop - part.start)
+            for piece, texts in by_size(batch):
+                found = [one(t) for t in texts]
                 columns = [piece.column(i) for i in range(len(keep))]
                 columns += [pa.array([f[0] for f in found], pa.string()),
                             pa.array([f[1] for f in found], pa.float64())]

@@ -40,7 +40,7 @@ EPOCHS = 2
 POPULATION = 4
 GENERATIONS = 6
 CACHED_WORDS = 400_000
-BATCH_CHARS = 4 << 20
+BATCH_BYTES = 4 << 20
 
 
 _BLANKS = np.zeros(256, dtype=bool)
@@ -216,10 +216,9 @@ def token_pieces(
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = kept_in_worker(f"words {tokenizer_path}", lambda: WordIds(tokenizer_path))
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for part in by_size(texts, BATCH_CHARS):
+            for texts_of, texts in by_size(batch, BATCH_BYTES):
                 at, piece, start, length, crc = [], [], [], [], []
-                for row, found in zip(range(part.start, part.stop), words.encode(texts[part])):
+                for row, found in enumerate(words.encode(texts)):
                     ids = found + closing
                     for i, cut in enumerate(range(0, len(ids), 4 * capacity)):
                         own = ids[cut : cut + 4 * capacity]
@@ -229,7 +228,7 @@ def token_pieces(
                         length.append(len(own) // 4)
                         crc.append(zlib.crc32(own))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()),
+                    [texts_of.column(0).take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()),
                      pa.array(start, pa.int64()), pa.array(length, pa.int64()),
                      pa.array(crc, pa.int64())],
                     names=[key, "piece", "start", "length", "ids_crc32"],

@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableprofile.functions.checkpoints import cut_lineage
 
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 # The characters of [\x09-\x0D] and ASCII punctuation, read as spaces.
 _BLANK = bytes.maketrans(
@@ -37,17 +39,23 @@ def unused(name: str, columns: Iterable[str]) -> str:
     return name
 
 
-def by_size(texts: list[str | None], limit: int = BATCH_BYTES) -> Iterator[slice]:
-    """Slices of the list of about ``limit`` characters; a longer text is a slice of its own."""
+def by_size(
+    batch: pa.RecordBatch, limit: int = BATCH_BYTES
+) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """Slices of about ``limit`` bytes of the texts in the last column, and those texts.
+
+    A longer text is a slice of its own, so Python holds few texts at a time.
+    """
+    texts = batch.column(batch.num_columns - 1)
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     start = held = 0
-    for i, text in enumerate(texts):
-        size = len(text) if text else 0
+    for i, size in enumerate(sizes.tolist()):
         if i > start and held + size > limit:
-            yield slice(start, i)
+            yield batch.slice(start, i - start), texts.slice(start, i - start).to_pylist()
             start, held = i, 0
         held += size
     if start < len(texts):
-        yield slice(start, len(texts))
+        yield batch.slice(start), texts.slice(start).to_pylist()
 
 
 def plain_bytes(text: str | None) -> bytes:

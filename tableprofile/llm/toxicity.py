@@ -210,10 +210,8 @@ def score_toxicity(
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            for part in by_size(texts):
-                score = model.scores(presence(texts[part], model.slots))
-                piece = batch.slice(part.start, part.stop - part.start)
+            for piece, texts in by_size(batch):
+                score = model.scores(presence(texts, model.slots))
                 columns = [piece.column(i) for i in range(len(keep))]
                 columns += [pa.array(score), pa.array((score >= 0.5).astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, "score", "predicted"])
