@@ -12,10 +12,11 @@ by one), leaving out those that over half of the bucket has, as a line or passag
 many texts share would keep the bucket together. Sets that consist mostly of such tokens
 are alike; they are compared with each other there. (If only one of a linked pair is alike,
 or none, at least a fifth of their tokens are common but not shared by half.) What is left
-after ``max_depth`` splits is compared whatever its size. Pairs whose samples of tokens
-overlap by far less than a linked pair's can are left out of the exact comparison, five
-standard deviations below. Buckets of more than ``chunk`` sets are compared in pairs of chunks, each a
-group of its own, so no task holds a bucket. All comparisons are exact on the whole sets.
+after ``max_depth`` splits is compared whatever its size. Pairs whose samples of about 64
+tokens overlap by over four standard deviations less than a linked pair's are expected to
+are left out of the exact comparison, which takes the whole sets. Buckets of more than
+``chunk`` sets are compared in pairs of chunks, each a group of its own, so no task holds
+a bucket.
 
 A pair that shares several buckets belongs to the one with the least id, so each pair is
 compared and counted once. Buckets put out, for each set, how many texts it links to and
@@ -44,7 +45,7 @@ from pyspark.sql import functions as F
 
 from tableprofile.functions.checkpoints import cut_lineage
 from tableprofile.llm.components import connected_components
-from tableprofile.llm.shared import by_size, mixed
+from tableprofile.llm.shared import by_size, groups_in, mixed
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -225,41 +226,6 @@ def _dealt(leaves: DataFrame, chunk: int) -> DataFrame:
     )
 
 
-def groups_in(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """Tables of the rows of each group, from batches sorted by the first ``keys`` columns.
-
-    Consecutive small groups of a batch come together; a group never comes in two.
-    """
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        change = _changes(batch, keys)
-        if held and not _same(held[-1], batch, keys):
-            yield pa.Table.from_batches(held)
-            held = []
-        last = int(change[-1]) if len(change) else 0
-        if last:
-            yield pa.Table.from_batches([*held, batch.slice(0, last)])
-            held = []
-        held.append(batch.slice(last))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def _changes(batch: pa.RecordBatch, keys: int) -> np.ndarray:
-    """Rows that begin a group, other than the first."""
-    new = np.zeros(batch.num_rows, dtype=bool)
-    for column in batch.columns[:keys]:
-        values = column.to_numpy(zero_copy_only=False)
-        new[1:] |= values[1:] != values[:-1]
-    return np.flatnonzero(new)
-
-
-def _same(a: pa.RecordBatch, b: pa.RecordBatch, keys: int) -> bool:
-    return all(a.column(k)[a.num_rows - 1] == b.column(k)[0] for k in range(keys))
-
-
 def candidate_pairs(
     group: np.ndarray, own: np.ndarray, i: np.ndarray, j: np.ndarray, size: np.ndarray,
     leaf: np.ndarray, lists: list[np.ndarray], threshold: float,

@@ -34,8 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableprofile.functions.checkpoints import cut_lineage
-from tableprofile.llm.chosen_path import groups_in
-from tableprofile.llm.shared import numbered
+from tableprofile.llm.shared import groups_in, numbered
 
 NEIGHBOURS = 26
 LEAF = 1024
