@@ -118,7 +118,10 @@ def reply_conversations(
         *[F.col(c).alias(n) for c, n in zip(scope, names)], F.col(key).alias("_id"),
         F.col(text).alias("_text"),
     )
-    rows = rows.withColumn("_blocks", passages(quoted_lines(F.col("_text"))))
+    # A column of its own: inside the lambdas of the next one it would be split again for
+    # every line.
+    rows = rows.withColumn("_lines", quoted_lines(F.col("_text")))
+    rows = rows.withColumn("_blocks", passages(F.col("_lines")))
     own = F.filter("_blocks", lambda b: b["depth"] == 0)
     body = F.flatten(F.transform(own, lambda b: b["lines"]))
     rows = cut_lineage(rows.select(
@@ -186,22 +189,24 @@ def reply_conversations(
 
 
 def _rooted(tree: DataFrame, names: list[str]) -> DataFrame:
-    """Jump to the ancestor's ancestor until every pointer is a root."""
+    """Jump to the ancestor's ancestor until every pointer is a root.
+
+    Only rows that do not point to a root yet take part in a round.
+    """
+    tree = tree.withColumn("_open", F.col("reply_depth") > 0)
     while True:
         above = tree.select(
             *names, F.col("_id").alias("root"), F.col("root").alias("_next"),
             F.col("reply_depth").alias("_more"),
         )
-        tree = cut_lineage(
-            tree.join(above, [*names, "root"]).select(
-                *names, "_id", "parent", "n_linked", F.col("_next").alias("root"),
-                (F.col("reply_depth") + F.col("_more")).alias("reply_depth"),
-                (F.col("_more") > 0).alias("_moved"),
-            )
+        moved = tree.where("_open").join(above, [*names, "root"]).select(
+            *names, "_id", "parent", "n_linked", F.col("_next").alias("root"),
+            (F.col("reply_depth") + F.col("_more")).alias("reply_depth"),
+            (F.col("_more") > 0).alias("_open"),
         )
-        if not tree.where("_moved").limit(1).count():
-            return tree.drop("_moved")
-        tree = tree.drop("_moved")
+        tree = cut_lineage(tree.where("not _open").unionByName(moved))
+        if not tree.where("_open").limit(1).count():
+            return tree.drop("_open")
 
 
 def as_mail(turns: DataFrame, scope: str = "conv_id", key: str = "turn", text: str = "text"):
