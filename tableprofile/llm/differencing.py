@@ -4,14 +4,17 @@ A partial partition is a tuple of subset sums, one for each shard. Starting from
 partial partition for each group, the two with the largest spread are combined again and
 again, the largest subset of one with the smallest of the other, until one is left.
 
-Groups are dealt into blocks of bounded size by hash; every block is differenced by one
-task and leaves one partial partition. Those are differenced the same way, level by level,
-until one is left, so no task sees more than a block. On the way down each level's
-permutation is joined to the one below, which gives every group its shard.
-
-Rows of one group stay together whatever their number; a group of a third of all bytes
-makes its shard that large. Null text has no bytes and forms one group with empty text.
-Ids may be null or repeated. An empty table gives no rows. Only id and text are read.
+Groups are differenced in three steps, each in tasks of bounded size. First the heavy ones,
+those that a block of others could not balance; there are at most ``HEAVY_SHARE`` per shard
+and block, and never more than for 1024 blocks. Then all others, dealt into blocks by hash;
+every block is differenced together with its part of the heavy groups' sums, so that it
+makes up for them. A last small block is kept back until the sums of all the others are
+known, and differenced together with those, which takes away what they leave over.
+
+Rows of one group stay together whatever their number; a group of more than a shard's part
+of all bytes makes its shard that large, and the others near equal. Null text has no bytes
+and forms one group with empty text. Ids may be null or repeated. An empty table gives no
+rows. Only id and text are read.
 """
 
 from __future__ import annotations
@@ -28,6 +31,8 @@ from tableprofile.llm.shared import numbered
 
 SHARDS = 24
 BLOCK_GROUPS = 1024
+HEAVY_SHARE = 4
+_LAST = -1
 
 
 def difference(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -69,6 +74,18 @@ def difference(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return held[root], went
 
 
+def beside(weights: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """Shards of the weights, differenced together with given sums of all shards."""
+    rows = np.zeros((len(weights) + 1, len(sums)), dtype=np.int64)
+    rows[:-1, 0] = weights
+    rows[-1] = sums
+    _, went = difference(rows)
+    # Where each given sum went is that shard.
+    shard = np.empty(len(sums), dtype=np.int64)
+    shard[went[-1]] = np.arange(len(sums))
+    return shard[went[:-1, 0]]
+
+
 def balanced_shards(
     rows: DataFrame,
     group: str,
@@ -80,65 +97,42 @@ def balanced_shards(
     if "shard" in rows.columns:
         rows = rows.drop("shard")
     groups = cut_lineage(rows.groupBy(group).agg(F.sum(size).cast("long").alias("_weight")))
-    blocks = max(1, -(-groups.count() // block_groups))
-
-    def leaves(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values(["_weight", "_group"], ascending=[False, True], ignore_index=True)
-        sums = np.zeros((len(df), shards), dtype=np.int64)
-        sums[:, 0] = df["_weight"]
-        total, went = difference(sums)
-        out = df[["_group"]].assign(_slot=went[:, 0].astype(np.int32), _sums=None, _node=key[0])
-        out = out.astype({"_sums": object})
-        out.at[0, "_sums"] = total
-        return out
-
+    count, total = groups.agg(F.count("*"), F.coalesce(F.sum("_weight"), F.lit(0))).first()
+    blocks = max(1, -(-count // block_groups))
+    heavy = F.col("_weight") > total / (HEAVY_SHARE * shards * min(blocks, 1024))
     kind = groups.schema[group].dataType.simpleString()
-    dealt = groups.select(
-        F.col(group).alias("_group"), "_weight",
-        F.pmod(F.xxhash64(group), F.lit(blocks)).alias("_node"),
-    )
-    slots = cut_lineage(dealt.groupBy("_node").applyInPandas(
-        leaves, f"_group {kind}, _slot int, _sums array<long>, _node long"
-    ))
-
-    def combine(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values("_node", ignore_index=True)
-        total, went = difference(np.stack(df["_sums"].to_list()))
-        out = pd.DataFrame({"_node": df["_node"], "_up": key[0], "_went": list(went)})
-        out["_sums"] = None
-        out["_sums"] = out["_sums"].astype(object)
-        out.at[0, "_sums"] = total
-        return out
-
-    levels = []
-    current = slots.where(F.col("_sums").isNotNull()).select("_node", "_sums")
-    left = blocks
-    while left > 1:
-        left = -(-left // block_groups)
-        level = cut_lineage(
-            current.withColumn("_up", F.floor(F.col("_node") / block_groups).cast("long"))
-            .groupBy("_up").applyInPandas(
-                combine, "_node long, _up long, _went array<long>, _sums array<long>")
-        )
-        levels.append(level)
-        current = level.where(F.col("_sums").isNotNull()).select(
-            F.col("_up").alias("_node"), "_sums")
-    path = None  # node of the lowest level -> shard of each of its subsets
-    for level in reversed(levels):
-        own = level.select("_node", "_up", "_went")
-        if path is None:
-            path = own.select("_node", F.col("_went").alias("_final"))
-        else:
-            above = path.select(F.col("_node").alias("_up"), F.col("_final").alias("_above"))
-            path = own.join(above, "_up").select(
-                "_node", F.transform("_went", lambda s: F.get("_above", s.cast("int"))).alias("_final")
-            )
-    found = slots.select("_group", "_slot", "_node")
-    if path is None:
-        found = found.select("_group", F.col("_slot").alias("shard"))
-    else:
-        found = found.join(path, "_node").select(
-            "_group", F.get("_final", F.col("_slot")).cast("int").alias("shard"))
+    named = groups.select(F.col(group).alias("_group"), "_weight")
+    block = F.pmod(F.xxhash64("_group", F.lit(7)), F.lit(blocks + 1)) + _LAST
+    light = named.where(~heavy).withColumn("_block", block)
+
+    def assigned(df: DataFrame, sums: list[int], whole: int) -> DataFrame:
+        """Shards of the groups of every block, beside the block's part of ``sums``."""
+        def work(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+            part = part.sort_values(
+                ["_weight", "_group"], ascending=[False, True], ignore_index=True)
+            weights = part["_weight"].to_numpy()
+            share = int(weights.sum()) / max(whole, 1)
+            given = np.array([round(s * share) for s in sums], dtype=np.int64)
+            return part[["_group", "_weight"]].assign(
+                shard=beside(weights, given).astype(np.int32))
+
+        return cut_lineage(df.groupBy("_block").applyInPandas(
+            work, f"_group {kind}, _weight long, shard int"))
+
+    def sums_of(df: DataFrame) -> tuple[list[int], int]:
+        found = {r["shard"]: r["s"] for r in
+                 df.groupBy("shard").agg(F.sum("_weight").alias("s")).collect()}
+        return [found.get(i, 0) for i in range(shards)], sum(found.values())
+
+    large = assigned(named.where(heavy).withColumn("_block", F.lit(0)), [0] * shards, 1)
+    first, heavy_bytes = sums_of(large)
+    early = light.where(F.col("_block") != _LAST)
+    weight = early.agg(F.coalesce(F.sum("_weight"), F.lit(0))).first()[0]
+    middle = assigned(early, first, weight)
+    both = [a + b for a, b in zip(first, sums_of(middle)[0])]
+    late = light.where(F.col("_block") == _LAST)
+    closing = assigned(late, both, total - heavy_bytes - weight)
+    found = large.unionByName(middle).unionByName(closing).select("_group", "shard")
     return rows.join(found, rows[group] == found["_group"]).drop("_group")
 
 
