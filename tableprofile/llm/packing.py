@@ -40,7 +40,7 @@ EPOCHS = 2
 POPULATION = 4
 GENERATIONS = 6
 CACHED_WORDS = 400_000
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 _BLANKS = np.zeros(256, dtype=bool)
