@@ -223,42 +223,32 @@ def weigh(body: Node) -> list[Node]:
 def main_nodes(body: Node) -> list[Node]:
     """Subtrees of main text in page order."""
     nodes = weigh(body)
-    best = max(nodes, key=lambda n: n.total)
-    if not best.total:
-        return [body]
-    threshold, node = best.density, best
-    while node is not None:
-        threshold = min(threshold, node.density)
-        node = node.parent
     # Largest density sum within each subtree, children before parents.
     largest = {id(n): n for n in nodes}
     for n in reversed(nodes):
         for child in n.children():
             if not child.dropped and largest[id(child)].total > largest[id(n)].total:
                 largest[id(n)] = largest[id(child)]
-    # The paper marks, within every node at or above the threshold, the subtree of the
-    # largest sum. From the body down that is the best node, then what lies beside its path.
-    chosen, stack = {id(best)}, [body]
+    best = largest[id(body)]
+    if not best.total:
+        return [body]
+    threshold, node = best.density, best
+    while node is not None:
+        threshold = min(threshold, node.density)
+        node = node.parent
+    # In every node at or above the threshold the subtree of the largest sum is marked, from
+    # the body down. A node without such sums below it, as a paragraph, is its own subtree.
+    chosen, stack = set(), [body]
     while stack:
         node = stack.pop()
-        if id(node) in chosen:
+        if id(node) in chosen or node.density < threshold:
             continue
-        for child in node.children():
-            if child.dropped or child.density < threshold:
-                continue
-            if _holds(child, best):
-                stack.append(child)
-            elif largest[id(child)].total >= 0.5 * best.total:
-                chosen.add(id(largest[id(child)]))
+        chosen.add(id(largest[id(node)]))
+        if largest[id(node)] is not node:
+            stack.extend(c for c in node.children() if not c.dropped)
     return [n for n in _page_order(body) if id(n) in chosen]
 
 
-def _holds(node: Node, inner: Node) -> bool:
-    while inner is not None and inner is not node:
-        inner = inner.parent
-    return inner is node
-
-
 def _page_order(root: Node) -> Iterator[Node]:
     stack = [root]
     while stack:

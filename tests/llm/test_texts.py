@@ -293,6 +293,36 @@ def test_deep_and_long_pages():
     assert len(main_text("<p>" + "word " * 100000)) == 499999
 
 
+def sentences(n, size):
+    """``n`` texts of ``size`` characters without spaces, each unlike the others."""
+    return [f"{i:04d}" + "x" * (size - 4) for i in range(n)]
+
+
+def tags(name, texts):
+    return "".join(f"<{name}>{t}</{name}>" for t in texts)
+
+
+LEADS, ITEMS = sentences(3, 425), sentences(100, 50)
+PARTS = [[f"{k}{t}" for t in sentences(6, 300)] for k in "abc"]
+CELLS = [[f"{i:03d}{k}{'y' * 16}" for k in "abcde"] for i in range(400)]
+LINKS = "<div><ul>" + '<li><a href="/">Elsewhere on these pages</a></li>' * 20 + "</ul></div>"
+
+
+@pytest.mark.parametrize("inside, blocks", [
+    (tags("p", LEADS) + f"<ul>{tags('li', ITEMS)}</ul>", LEADS + ITEMS),
+    (f"<ul>{tags('li', ITEMS)}</ul>" + tags("blockquote", LEADS), ITEMS + LEADS),
+    (tags("section", [tags("p", p) for p in PARTS]), [t for p in PARTS for t in p]),
+    (tags("p", LEADS) + tags("section", [tags("p", PARTS[0])]) + tags("pre", LEADS[:1]),
+     LEADS + PARTS[0] + LEADS[:1]),
+    (tags("p", LEADS) + f"<table><tbody>{tags('tr', [tags('td', r) for r in CELLS])}</tbody></table>",
+     LEADS + [c for r in CELLS for c in r]),
+    (tags("div", [tags("p", LEADS) + f"<ol>{tags('li', ITEMS)}</ol>", tags("p", PARTS[1])]),
+     LEADS + ITEMS + PARTS[1]),
+])
+def test_parts_beside_the_best_node(inside, blocks):
+    assert main_text(f"<body>{LINKS}<article>{inside}</article>{LINKS}").split("\n") == blocks
+
+
 def test_page_rows(spark):
     pages = spark.createDataFrame([(1, "u", PAGE), (1, "u", PAGE), (2, None, None)],
                                   "page_id long, url string, html string")
