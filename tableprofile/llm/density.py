@@ -14,8 +14,11 @@ threshold are searched from the body down; in each the subtree of the largest su
 text and is taken whole.
 
 Elements that never hold main text are left out before counting: scripts, styles, forms,
-navigation, asides, page headers and footers, hidden parts, and elements whose class, id
-or role names an advert, menu, notice, share bar or reader comments.
+navigation, asides, page headers and footers, hidden parts, and elements of which a whole
+class, id or role is the name of an advert, menu, notice, share bar or reader comments. No
+name, and no form, takes the main text along: an element that holds an article, main or h1
+element stays, or in a page without article and main text one that holds over half of the
+body's characters outside links, and density decides.
 
 Null or empty html gives empty text. Unclosed and misplaced tags are closed as browsers
 do in the cases that matter: a block ends an open paragraph, list items and table cells
@@ -47,7 +50,7 @@ _BLOCK = frozenset(
     "main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 _DROPPED = frozenset(
-    "script style noscript template iframe object svg canvas form button select option input "
+    "script style noscript template iframe object svg canvas button select option input "
     "textarea nav aside footer head title menu dialog audio video map".split()
 )
 _RAW = frozenset("script style textarea title noscript iframe template xmp".split())
@@ -59,7 +62,7 @@ _CLOSES = {
 }
 _SCOPES = frozenset("ul ol dl table select body html div section article".split())
 
-# Words of class, id and role that name what is not main text.
+# Whole classes, ids and roles that name what is not main text.
 _NOISE = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox adsense banner promo promoted "
     "promotion sponsor sponsored sponsorship nav navbar navigation menu menubar breadcrumb "
@@ -67,8 +70,15 @@ _NOISE = frozenset(
     "footer header masthead topbar toolbar comment comments commentlist disqus respond reply "
     "replies cookie cookies consent gdpr notice notices alert popup modal overlay newsletter "
     "subscribe subscription signup login share sharing social pagination pager search skip "
-    "copyright contentinfo complementary hidden".split()
+    "copyright contentinfo complementary hidden "
+    "site-header site-footer page-header page-footer main-nav main-menu nav-menu navigation-menu "
+    "ad-banner ad-container ad-slot ad-wrapper cookie-banner cookie-consent cookie-notice "
+    "comment-list comment-form comments-area comments-section share-bar share-buttons "
+    "social-links social-share related-posts related-articles related-links newsletter-signup "
+    "skip-link".split()
 )
+# Elements that hold the main text where a page has them.
+_OWNERS = frozenset("article main h1".split())
 # Beside one of these, "header" names the head of the main text.
 _OWN_HEADER = frozenset("post entry article content story".split())
 _TAG = re.compile(
@@ -78,16 +88,15 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(
     r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S
 )
-_NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACES = re.compile(r"\s+")
 
 
 class Node:
     __slots__ = ("tag", "parent", "parts", "chars", "tags", "link_chars", "link_tags",
-                 "density", "total", "dropped")
+                 "density", "total", "dropped", "named")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: Node | None, dropped: bool, named: bool = False):
+        self.tag, self.parent, self.dropped, self.named = tag, parent, dropped, named
         self.parts: list = []  # strings and nodes in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
@@ -96,31 +105,33 @@ class Node:
         return (p for p in self.parts if isinstance(p, Node))
 
 
-def _is_noise(tag: str, attributes: str, inside_article: bool) -> bool:
+def _is_noise(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bool]:
+    """Whether an element is left out whatever it holds, and whether only by its name."""
     if tag in _DROPPED or (tag == "header" and not inside_article):
-        return True
+        return True, False
+    named = tag == "form"
     if not attributes.strip() or tag in ("body", "html", "article", "main"):
-        return False
+        return False, named
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return True, False
         if name == "style" and "display:none" in value.replace(" ", "").lower():
-            return True
+            return True, False
         if name in ("class", "id", "role"):
-            words = {word.lower() for word in _NAMES.findall(value)}
+            words = set(value.lower().split())
             if words & _OWN_HEADER:
                 words.discard("header")
-            if words & _NOISE:
-                return True
-    return False
+            named = named or bool(words & _NOISE)
+    return False, named
 
 
 def parse(page: str) -> Node:
-    """The element tree below the body; elements left out keep no text."""
+    """The element tree below the body, with the elements left out marked."""
     body = current = Node("body", None, False)
     at, size = 0, len(page)
     articles = 0
+    any_named = False
     lowered = None
     while at < size:
         found = _TAG.search(page, at)
@@ -164,21 +175,49 @@ def parse(page: str) -> Node:
                 node = node.parent
             if last is not None:
                 current = last.parent
-        dropped = current.dropped or _is_noise(tag, found.group(3), articles > 0)
+        dropped, named = _is_noise(tag, found.group(3), articles > 0)
+        dropped = dropped or current.dropped
+        any_named = any_named or named
         if tag in _RAW:
             if lowered is None:
                 lowered = page.lower() if len(page.lower()) == size else page
             stop = lowered.find(f"</{tag}", at)
             at = size if stop < 0 else (page.find(">", stop) + 1 or size)
             continue
-        node = Node(tag, current, dropped)
+        node = Node(tag, current, dropped, named)
         current.parts.append(node)
         if tag not in _VOID and not found.group(3).endswith("/"):
             current = node
             articles += tag == "article"
+    if any_named:
+        _drop_named(body)
     return body
 
 
+def _drop_named(body: Node) -> None:
+    """Leave out what a name says is not main text, but nothing that holds the main text."""
+    nodes = _in_order(body)
+    plain: dict[int, int] = {}  # characters outside links
+    owners: set[int] = set()
+    for node in reversed(nodes):
+        count = 0
+        for part in node.parts:
+            if isinstance(part, str):
+                count += sum(map(len, part.split()))
+            elif not part.dropped:
+                count += plain[id(part)]
+                if part.tag in _OWNERS or id(part) in owners:
+                    owners.add(id(node))
+        plain[id(node)] = 0 if node.tag == "a" else count
+    # Where the page itself marks its main text, a long advert beside it is still an advert.
+    least = plain[id(body)] / 2
+    if any(node.tag in ("article", "main") and plain[id(node)] for node in nodes):
+        least = plain[id(body)]
+    for node in nodes:
+        if node.named and id(node) not in owners and plain[id(node)] <= least:
+            node.dropped = True
+
+
 def _in_order(root: Node) -> list[Node]:
     """Nodes that count, parents before children."""
     found, stack = [], [root]

@@ -323,6 +323,31 @@ def test_parts_beside_the_best_node(inside, blocks):
     assert main_text(f"<body>{LINKS}<article>{inside}</article>{LINKS}").split("\n") == blocks
 
 
+@pytest.mark.parametrize("wrapper", [
+    "div class='content-sidebar-wrap'", "div class=has-sidebar", "div class='page with-comments'",
+    "div id=page-no-header", "div class=hidden-print", "div class='related-story'",
+    "div class='widget'", "div id=notice", "section role=search class=overlay", "form id=aspnetForm",
+])
+@pytest.mark.parametrize("holder", ["article", "main", "div", "div class=story"])
+def test_names_do_not_take_the_article_along(wrapper, holder):
+    page = (
+        f"<body>{LINKS}<{wrapper}><{holder}>{tags('p', LEADS)}</{holder.split()[0]}>"
+        f"<div class='sidebar'><p>{PARTS[0][0]}</p></div></{wrapper.split()[0]}>"
+        f"<div class='cookie-notice'><p>{PARTS[1][0]}</p></div><form><p>{PARTS[2][0]}</p></form>"
+    )
+    assert main_text(page).split("\n") == LEADS
+
+
+def test_a_long_advert_beside_a_short_article():
+    page = f"<body><div class=ad>{LEADS[0]}</div><article><h1>Head</h1><p>Short.</article>"
+    assert main_text(page) == "Head\nShort."
+
+
+def test_a_heading_keeps_its_wrapper():
+    page = f"<div class=banner><h1>Head</h1><p>{LEADS[0]}</p></div><p>{LEADS[1]}</p><p>{LEADS[2]}</p>"
+    assert main_text(page).split("\n")[:2] == ["Head", LEADS[0]]
+
+
 def test_page_rows(spark):
     pages = spark.createDataFrame([(1, "u", PAGE), (1, "u", PAGE), (2, None, None)],
                                   "page_id long, url string, html string")
