@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableprofile.functions.checkpoints import scratch_path
+from tableprofile.functions.checkpoints import cut_lineage, scratch_path
 from tableprofile.llm.chosen_path import similarity_classes
 from tableprofile.llm.compression import compression_bands
 from tableprofile.llm.languages import UNKNOWN, fit_languages, predict_language
@@ -43,18 +43,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the least id, of each group of near duplicates.
+    """One document of each group of near duplicates: the least id, then the least text.
 
-    Of rows with equal ids one stays, the one with the least text. Rows without an id
-    cannot be named in a group, and stay.
+    Rows are told apart by a key of their own, so ids may be missing or repeated. As Spark
+    sorts, a row without an id comes before one with an id.
     """
-    classes = similarity_classes(docs)
-    leads = classes.where("doc_id = class_id").select("doc_id").distinct()
-    chosen = docs.join(leads, "doc_id", "left_semi").groupBy("doc_id").agg(
-        F.min_by(F.struct(*docs.columns), "text").alias("row"),
-        F.first(F.struct(*docs.columns)).alias("any"),
-    ).select(F.coalesce("row", "any").alias("row")).select("row.*")
-    return chosen.unionByName(docs.where("doc_id is null"))
+    own = unused("_row", docs.columns)
+    group = unused("_class", docs.columns)
+    # Written once, so that a row has the same key wherever it is read.
+    keyed = cut_lineage(docs.withColumn(own, F.monotonically_increasing_id()))
+    classes = similarity_classes(keyed, key=own).select(own, F.col("class_id").alias(group))
+    first = ("doc_id", "text", own)
+    rest = [c for c in docs.columns if c not in first]
+    chosen = keyed.join(classes, own).groupBy(group).agg(
+        F.min(F.struct(*first, *rest)).alias(own))
+    return chosen.select(f"{own}.*").select(*docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -390,5 +390,20 @@ def test_pipeline_odd_rows(spark):
         assert stage(spark, docs.limit(0), FOLDER).count() == 0
 
 
+def test_one_document_of_each_group(spark):
+    words = [f"word{i}" for i in range(60)]
+    x, near, y = " ".join(words), " ".join([*words, "more"]), " ".join(reversed(words))
+    z = " ".join(words[::2])
+    rows = [(1, x), (5, near), (5, y), (None, z), (None, z), (7, z), (9, ""), (9, None), (6, y)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    docs = docs.withColumn("source", F.concat(F.lit("of "), F.coalesce("text", F.lit("none"))))
+    kept = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    got = {(r["doc_id"], r["text"], r["source"]) for r in kept.collect()}
+    want = [(1, x), (5, y), (None, z), (9, ""), (9, None)]
+    assert got == {(i, t, "of " + ("none" if t is None else t)) for i, t in want}
+    assert kept.count() == len(want)
+
+
 def test_pipeline_runs(spark):
     assert corpus_pipeline.run(spark, FOLDER).count() > 50
