@@ -5,13 +5,14 @@ starts from brute force inside small leaves of random hyperplanes. A round then
 node's neighbours with their vectors and bounds, and with the nodes that it is a neighbour
 of: neighbours of a node, and their neighbours, are compared where at least one of the two
 links is new, and a pair is passed on if it beats the worst neighbour of one of its ends.
-Every node keeps its best ``neighbours``. Rounds go on until few lists change.
+Every node keeps its best ``neighbours``. Rounds go on until few links are new: they end, as
+a list only ever gets better. Widths grow with the number of vectors (``widths_for``).
 
 Queries search the graph greedily. A query holds the best ``beam`` nodes that it has seen;
 in a step it visits the best ones not yet visited, all queries at once by a join with the
 graph, until none of its beam is left to visit. A query whose vector is a node starts
-there. The best nodes are compared again in double precision on the original vectors and
-replaced by the rows that hold them.
+there. The whole beam is compared again in double precision on the original vectors and
+its nodes are replaced by the rows that hold them.
 
 Vectors travel as signed bytes with a scale. A list of nodes that a node is a neighbour of
 is dealt over several groups where it is long (hubs), each with the node's own neighbours,
@@ -26,6 +27,7 @@ out. Only id and vector are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,16 +38,27 @@ from pyspark.sql import functions as F
 from tableprofile.functions.checkpoints import cut_lineage
 from tableprofile.llm.shared import groups_in, numbered
 
+# Least widths, for MEASURED nodes or fewer; see ``widths_for``.
 NEIGHBOURS = 26
+BEAM = 400
+VISITS = 64
+MEASURED = 51282
 LEAF = 1024
 TABLES = 6
-ROUNDS = 4
 STOP_SHARE = 0.02
 HUB_LINKS = 2048
-BEAM = 400
-VISITS = 64
-STEPS = 10
-RERANKED = 24
+
+
+def widths_for(count: int) -> tuple[int, int, int]:
+    """Neighbours, beam and visits for a number of distinct vectors.
+
+    With each doubling beyond MEASURED there are 2.6 more neighbours, and the beam grows by
+    2 ** 0.71, as from 20 and 128 on 10,256 vectors to 26 and 400 on 51,282, which had about
+    the same recall. Visits grow with the beam, so that steps do not.
+    """
+    doublings = max(0.0, math.log2(max(count, 1) / MEASURED))
+    beam = math.ceil(BEAM * 2 ** (0.71 * doublings))
+    return NEIGHBOURS + math.ceil(2.6 * doublings), beam, VISITS * beam // BEAM
 
 
 def packed(vectors: np.ndarray) -> list[bytes]:
@@ -237,7 +250,6 @@ def neighbour_graph(
     neighbours: int = NEIGHBOURS,
     leaf: int = LEAF,
     tables: int = TABLES,
-    rounds: int = ROUNDS,
     stop_share: float = STOP_SHARE,
 ) -> DataFrame:
     """u and nbrs of every node that has another; see ``_best_links``."""
@@ -245,7 +257,7 @@ def neighbour_graph(
     width = len(nodes.select("packed").first()[0]) - 4 if count else 0
     first = _leaf_links(nodes, count, width, neighbours, leaf, tables)
     graph = cut_lineage(_best_links(first.withColumn("old", F.lit(False)), neighbours))
-    for _ in range(rounds):
+    while True:
         links = graph.select("u", F.explode("nbrs").alias("n")).select(
             "u", "n.v", (-F.col("n.far")).cast("float").alias("s"), "n.fresh")
         hubs = links.groupBy("v").agg(
@@ -284,8 +296,7 @@ def neighbour_graph(
             before.unionByName(found.withColumn("old", F.lit(False))), neighbours))
         changed = graph.agg(F.sum(F.size(F.filter("nbrs", lambda n: n["fresh"])))).first()[0]
         if (changed or 0) <= stop_share * count * neighbours:
-            break
-    return graph
+            return graph
 
 
 def _visited(beam: int, visits: int):
@@ -347,18 +358,20 @@ def nearest(
     key: str = "vec_id",
     vector: str = "embedding",
     k: int = 5,
-    neighbours: int = NEIGHBOURS,
-    beam: int = BEAM,
-    visits: int = VISITS,
-    steps: int = STEPS,
+    neighbours: int | None = None,
+    beam: int | None = None,
+    visits: int | None = None,
 ) -> DataFrame:
     """query_id, rank, id, score: the ``k`` nearest others of each row where ``asks`` holds.
 
-    ``asks`` is a condition on the key.
+    ``asks`` is a condition on the key. Widths not given follow from the number of vectors.
     """
     if k > 5:
         raise ValueError("A node keeps six rows, enough for five others")
     nodes = vector_nodes(rows, key, vector)
+    usual = widths_for(nodes.count())
+    neighbours, beam, visits = (
+        own or wide for own, wide in zip((neighbours, beam, visits), usual))
     graph = neighbour_graph(nodes, neighbours)
     # The graph with its neighbours' vectors, which is all that a visit needs.
     near = graph.select("u", F.posexplode("nbrs").alias("at", "n")).select("u", "at", "n.v")
@@ -378,7 +391,7 @@ def nearest(
         F.array("node").alias("todo"),
     )
     state = cut_lineage(state)
-    for _ in range(steps):
+    while state.where(F.size("todo") > 0).limit(1).count():
         visit = state.select("query", F.explode("todo").alias("u")).join(inline, "u")
         visit = visit.select(
             "query", F.lit(1).alias("role"),
@@ -391,9 +404,7 @@ def nearest(
             held.unionByName(visit).repartition(_parts(nodes), "query")
             .sortWithinPartitions("query", "role").mapInArrow(_visited(beam, visits), _BEAM)
         )
-        if not state.where(F.size("todo") > 0).limit(1).count():
-            break
-    best = state.select("query", F.explode(F.slice("ids", 1, RERANKED)).alias("node"))
+    best = state.select("query", F.explode("ids").alias("node"))
     full = nodes.select("node", "vec", "members")
     scored = (
         best.join(full, "node")

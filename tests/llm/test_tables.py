@@ -18,7 +18,7 @@ from tableprofile.llm.chosen_path import (
     similarity_classes,
 )
 from tableprofile.llm.components import connected_components
-from tableprofile.llm.descent import nearest
+from tableprofile.llm.descent import nearest, neighbour_graph, vector_nodes, widths_for
 from tableprofile.llm.differencing import difference, shard_documents
 from tableprofile.llm.packing import best_fit, crossover, evolve, fill_of, pack_pieces, token_pieces
 from tableprofile.llm.quotations import reply_conversations
@@ -299,6 +299,37 @@ def test_nearest_recall(spark):
     assert hits / (5 * len(asked)) >= 0.95
 
 
+def normal_vectors(spark, n, width):
+    x = np.random.default_rng(5).normal(size=(n, width))
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    return x, spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+
+def test_search_goes_on_until_the_beam_is_visited(spark):
+    x, df = normal_vectors(spark, 1500, 12)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    found = nearest(df, F.col("vec_id") < 40, neighbours=6, beam=60, visits=3).toPandas()
+    hits = 0
+    for i in range(40):
+        sims = x @ x[i]
+        sims[i] = -2
+        hits += len(set(np.argsort(-sims)[:5]) & set(found[found.query_id == i]["vec_id"]))
+    assert hits / 200 >= 0.95
+
+
+def test_rounds_go_on_until_few_links_are_new(spark):
+    _, df = normal_vectors(spark, 1500, 12)
+    graph = neighbour_graph(vector_nodes(df, "vec_id", "embedding"), 6, leaf=16, tables=1)
+    new = graph.agg(F.sum(F.size(F.filter("nbrs", lambda n: n["fresh"])))).first()[0]
+    assert new <= 0.02 * 6 * 1500
+
+
+def test_widths_grow_with_the_vectors():
+    assert widths_for(0) == widths_for(500) == widths_for(51282) == (26, 400, 64)
+    wide = [widths_for(51282 * 4**k) for k in range(4)]
+    assert all(a < b for one, two in zip(wide, wide[1:]) for a, b in zip(one, two))
+
+
 def test_nearest_of_odd_rows(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 2.0]), (4, None),
             (5, [0.0, 0.0]), (6, [1.0, None]), (7, [float("nan"), 1.0]), (None, [1.0, 1.0]),
