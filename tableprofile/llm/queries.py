@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tableprofile.llm.alignment import align_tokenizers
 from tableprofile.llm.chosen_path import similarity_classes
 from tableprofile.llm.compression import compression_bands
+from tableprofile.llm.decontamination import find_benchmark
 from tableprofile.llm.density import extract_main_text
 from tableprofile.llm.descent import nearest
 from tableprofile.llm.differencing import shard_documents
@@ -18,6 +20,7 @@ from tableprofile.llm.pieces import encoding_digest
 from tableprofile.llm.quotations import as_mail, reply_conversations
 from tableprofile.llm.shared import fold_of
 from tableprofile.llm.toxicity import fit_toxicity, score_toxicity
+from tableprofile.llm.whitening import whiten
 
 
 def tokenizer_file(name: str) -> str:
@@ -88,6 +91,25 @@ def op10_suffix_array_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return encoding_digest(docs, tokenizer_file("piece_bpe_32k.model"))
 
 
+def op11_suffix_automaton_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+    return find_benchmark(docs, items).select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op12_spectrum_slicing_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(_table(spark, folder, "embeddings"))
+
+
+def op13_arrow_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    first, second = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    return align_tokenizers(docs, first, second).documents
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     run.__name__: run
     for run in (
@@ -101,6 +123,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_nn_descent,
         op9_chosen_path_join,
         op10_suffix_array_pieces,
+        op11_suffix_automaton_decontamination,
+        op12_spectrum_slicing_whitening,
+        op13_arrow_token_alignment,
     )
 }
 
@@ -142,4 +167,48 @@ from turns c
 join links l on l.conv_id = c.conv_id and l.turn = c.turn
 join tree t on t.conv_id = c.conv_id and t.turn = c.turn
 """
-SQL: dict[str, str] = {"op3_quotation_linking": OP3_SQL}
+# Windows are compared as texts of words.
+OP11_SQL = r"""
+with d as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from documents
+),
+i as (
+    select item_id, w, least(10, len(w)) as t
+    from (select item_id, regexp_extract_all(
+              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                        'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark)
+    where len(w) > 0
+),
+windows as (
+    select distinct item_id, t, array_to_string(w[k : k + t - 1], ' ') as s
+    from (select *, unnest(range(1, len(w) - t + 2)) as k from i)
+),
+runs as (
+    select doc_id, t, k, array_to_string(w[k : k + t - 1], ' ') as s
+    from (select doc_id, w, t, unnest(range(1, len(w) - t + 2)) as k
+          from d, (select distinct t from i))
+),
+hits as materialized (
+    select doc_id, k, r.t as t, item_id from runs r join windows v on v.t = r.t and v.s = r.s
+),
+marks as (
+    select doc_id, count(distinct p) as n_hit
+    from (select doc_id, unnest(range(k, k + t)) as p from hits) group by doc_id
+),
+names as (
+    select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+    from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id
+)
+select d.doc_id, len(d.w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+       coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256,
+       n_hit is not null as contaminated
+from d left join marks m on m.doc_id = d.doc_id left join names n on n.doc_id = d.doc_id
+"""
+SQL: dict[str, str] = {
+    "op3_quotation_linking": OP3_SQL,
+    "op11_suffix_automaton_decontamination": OP11_SQL,
+}
