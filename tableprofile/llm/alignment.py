@@ -1,22 +1,23 @@
 """Alignment of two tokenizers over a corpus, as Arrow tables inside Spark tasks.
 
-Both tokenizers encode the same bytes (a space and the text). Token ends inside a document
-are segmented running sums of token widths over the flattened id lists; the ends both
-tokenizers share, found by an Acero hash join on (document, end), cut a document into
-groups. Ids of one group are linked. Links of a block of documents are a join of the
-counted ids of each group, so equal tokens are never paired one by one, and a join is
-done in slices of at most ``JOINED`` rows, whatever the size of a group.
+Both tokenizers encode the same bytes (a space and the text). Neither joins across a single
+space between other characters, so a text is cut there into parts, and each different part
+of a block of documents is encoded and aligned once. Token ends inside a part are segmented
+running sums of token widths over the flattened id lists; the ends both tokenizers share,
+found by an Acero hash join on (part, end), cut a part into groups. Ids of one group are
+linked. Links of a part are a join of the counted ids of each group, so equal tokens are
+never paired one by one, and a join is done in slices of about ``JOINED`` rows, whatever
+the size of a group. A second hash join takes the links from parts to documents.
 
 How many documents link a pair of ids is counted per block by ``Table.group_by`` and the
 partial counts are added up by Spark. The counts go back to the blocks that asked for
 them: what crosses the network is one row per block and different pair, not per link.
 
 Texts that are null, empty, or that a tokenizer does not give back byte for byte have no
-tokens: zeros, and '' as digest. Texts of any length go through whole; long ones are
-encoded in parts cut at single spaces between other characters, where neither tokenizer
-joins. A text without such a space is one part. Repeated rows and repeated ids are
-documents of their own; keys may be null. An empty table gives no rows. Kept columns may
-have any names; they come back under the same names.
+tokens: zeros, and '' as digest. Texts of any length go through whole; a text without a
+single space is one part. Repeated rows and repeated ids are documents of their own; keys
+may be null. An empty table gives no rows. Kept columns may have any names; they come back
+under the same names.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ import json
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +41,6 @@ from tableprofile.functions.checkpoints import cut_lineage
 from tableprofile.llm.shared import by_size, kept_in_worker, unused
 
 BLOCK_BYTES = 4 << 20
-PART_CHARACTERS = 1 << 15
 JOINED = 1 << 21
 SPACE = "▁"
 
@@ -50,17 +51,15 @@ FIGURES = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_s
     "groups_sha256 string"
 
 
-def parts_of(text: str, size: int = PART_CHARACTERS) -> list[str]:
-    """Parts of about ``size`` characters that give the text when joined by spaces."""
-    parts, start = [], 0
-    while len(text) - start > size:
-        seam = _SEAM.search(text, start + size)
-        if seam is None:
-            break
-        parts.append(text[start : seam.start()])
-        start = seam.end()
-    parts.append(text[start:])
-    return parts
+# Where a space stands beside white space, an end of the text, or what means a space.
+_BLURRED = re.compile(rf" [\s{SPACE}]|[\s{SPACE}] |^ | $")
+
+
+def parts_of(text: str | None) -> list[str]:
+    """The parts between seams, which give the text when joined by spaces."""
+    if not text:
+        return []
+    return _SEAM.split(text) if _BLURRED.search(text) else text.split(" ")
 
 
 class ByteTokens:
@@ -93,11 +92,11 @@ class ByteTokens:
             self.slow = Tokenizer.from_file(path)
             self.slow.encode_special_tokens = True
 
-    def encode(self, parts: list[str]) -> list[np.ndarray]:
+    def encode(self, parts: list[str]) -> list[list[int]]:
         if self.fast is not None:
-            return [np.asarray(self.fast.encode_ordinary(" " + p), np.int32) for p in parts]
+            return [self.fast.encode_ordinary(" " + p) for p in parts]
         found = self.slow.encode_batch([" " + p for p in parts], add_special_tokens=False)
-        return [np.asarray(x.ids, np.int32) for x in found]
+        return [x.ids for x in found]
 
 
 # Fixed value: how the byte-level vocabulary splits a text into words.
@@ -126,8 +125,8 @@ class PieceTokens:
                 else piece.replace(SPACE, " ").encode())
         self.bytes = pa.array(spelled, pa.large_binary())
 
-    def encode(self, parts: list[str]) -> list[np.ndarray]:
-        return [np.asarray(x, np.int32) for x in self.model.encode(parts, num_threads=1)]
+    def encode(self, parts: list[str]) -> list[list[int]]:
+        return self.model.encode(parts, num_threads=1)
 
 
 def _tokenizer(path: str):
@@ -136,19 +135,16 @@ def _tokenizer(path: str):
     return kept_in_worker(f"alignment:{path}", lambda: kind(path))
 
 
-def _encoded(tokens, parts: list[list[str]]) -> pa.LargeListArray:
-    """The ids of each document, one list per document."""
-    every = [p for own in parts for p in own]
-    ids = tokens.encode(every)
-    sizes = np.array([len(x) for x in ids], dtype=np.int64)
-    per_document = np.cumsum([0, *map(len, parts)])
-    offsets = np.concatenate([[0], np.cumsum(sizes)])[per_document]
-    flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
-    return pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
+def _encoded(tokens, parts: list[str]) -> pa.LargeListArray:
+    """The ids of each part, one list per part."""
+    ids = tokens.encode(parts)
+    offsets = np.cumsum([0, *map(len, ids)], dtype=np.int64)
+    flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=offsets[-1])
+    return pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
 def _joined_bytes(lists: pa.LargeListArray, spelled: pa.Array) -> pa.Array:
-    """The bytes of the tokens of each document, one value per document."""
+    """The bytes of the tokens of each part, one value per part."""
     taken = spelled.take(lists.flatten())
     widths = pc.binary_length(taken).to_numpy(zero_copy_only=False)
     ends = np.concatenate([[0], np.cumsum(widths, dtype=np.int64)])
@@ -160,30 +156,30 @@ def _joined_bytes(lists: pa.LargeListArray, spelled: pa.Array) -> pa.Array:
 
 @dataclass
 class _Side:
-    """The tokens of one tokenizer over a block, flattened in order of documents."""
+    """The tokens of one tokenizer over some parts, flattened in order."""
 
     ids: pa.Array
-    doc: pa.Array
+    part: pa.Array
     end: pa.Array
     group: np.ndarray | None = None
     first: np.ndarray | None = None  # where each group begins
 
 
 def _side(lists: pa.LargeListArray, spelled: pa.Array) -> _Side:
-    ids, doc = lists.flatten(), pc.list_parent_indices(lists).cast(pa.int64())
+    ids, part = lists.flatten(), pc.list_parent_indices(lists).cast(pa.int32())
     width = pc.binary_length(spelled).cast(pa.int64()).take(ids)
     run = pc.cumulative_sum(width) if len(ids) else width
-    # The running sum before a document is taken off its tokens.
+    # The running sum before a part is taken off its tokens.
     before = np.concatenate([[0], run.to_numpy()])[lists.offsets.to_numpy()[:-1]]
-    return _Side(ids, doc, pc.subtract(run, pa.array(before).take(doc)))
+    return _Side(ids, part, pc.subtract(run, pa.array(before).take(part)))
 
 
 def _cut(a: _Side, b: _Side) -> None:
-    """Number the groups over the block; they end where a token of both sides ends."""
-    tables = [pa.table({"doc": s.doc, "end": s.end, "at": np.arange(len(s.ids))}) for s in (a, b)]
+    """Number the groups over all parts; they end where a token of both sides ends."""
+    tables = [pa.table({"part": s.part, "end": s.end, "at": np.arange(len(s.ids))}) for s in (a, b)]
     for side, own, other in ((a, *tables), (b, *tables[::-1])):
         shared = own.join(
-            other.select(["doc", "end"]), ["doc", "end"], join_type="left semi",
+            other.select(["part", "end"]), ["part", "end"], join_type="left semi",
             use_threads=False)
         last = np.zeros(len(side.ids), dtype=np.int64)
         last[shared["at"].to_numpy()] = 1
@@ -193,17 +189,21 @@ def _cut(a: _Side, b: _Side) -> None:
 
 
 @dataclass
-class Block:
-    """The aligned tokens of some documents."""
+class Parts:
+    """The aligned tokens of some parts."""
 
     rows: int
     a: _Side
     b: _Side
-    doc_of_group: np.ndarray
+    right: np.ndarray  # whether both tokenizers give the part back
+    part_of_group: np.ndarray
 
     @property
     def n_groups(self) -> int:
-        return len(self.doc_of_group)
+        return len(self.part_of_group)
+
+    def count(self, at: np.ndarray) -> np.ndarray:
+        return np.bincount(at, minlength=self.rows)
 
     def lists(self, side: _Side, values: pa.Array) -> pa.LargeListArray:
         """Values of the tokens of a side, one list per group."""
@@ -218,7 +218,7 @@ class Block:
         return pc.binary_join_element_wise(*sides, "|")
 
     def links(self, pairs_b: int, joined: int = JOINED) -> pa.Table:
-        """Links of each document and pair of ids, a pair being ``a * pairs_b + b``."""
+        """Links of each part and pair of ids, a pair being ``a * pairs_b + b``."""
         counted = []
         for name, side in (("a", self.a), ("b", self.b)):
             table = pa.table({"group": side.group, name: side.ids})
@@ -240,64 +240,112 @@ class Block:
                 right.slice(low, high - low), "group", join_type="inner", use_threads=False)
             pair = pc.add(
                 pc.multiply(both["a"].cast(pa.int64()), pairs_b), both["b"].cast(pa.int64()))
-            doc = pa.array(self.doc_of_group[both["group"].to_numpy()])
+            part = pa.array(self.part_of_group[both["group"].to_numpy()], pa.int32())
             times = pc.multiply(both["n_a"], both["n_b"])
-            found.append(_summed(pa.table({"doc": doc, "pair": pair, "links": times})))
+            found.append(_summed(pa.table({"part": part, "pair": pair, "links": times})))
         if not found:
-            return pa.table({k: pa.array([], pa.int64()) for k in ("doc", "pair", "links")})
+            return pa.table({
+                "part": pa.array([], pa.int32()), "pair": pa.array([], pa.int64()),
+                "links": pa.array([], pa.int64())})
         return found[0] if len(found) == 1 else _summed(pa.concat_tables(found))
 
 
 def _summed(table: pa.Table) -> pa.Table:
-    return table.group_by(["doc", "pair"], use_threads=False).aggregate(
-        [("links", "sum")]).rename_columns(["doc", "pair", "links"])
+    """Links of equal (place, pair) rows added up; the place is the first column."""
+    keys = table.column_names[:2]
+    return table.group_by(keys, use_threads=False).aggregate(
+        [("links", "sum")]).rename_columns([*keys, "links"])
 
 
-def align(texts: Sequence[str | None], first, second) -> Block:
-    """Align the tokens of two tokenizers over some texts."""
-    parts = [parts_of(t) if t else [] for t in texts]
+def align(parts: list[str], first, second) -> Parts:
+    """Align the tokens of two tokenizers over some parts."""
     lists = [_encoded(t, parts) for t in (first, second)]
-    wanted = pa.array([(" " + t).encode() if t else b"" for t in texts], pa.large_binary())
+    space, plain = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
+    wanted = pc.binary_join_element_wise(space, pa.array(parts, pa.large_string()), plain)
+    wanted = wanted.cast(pa.large_binary())
     right = np.ones(len(parts), dtype=bool)
     for own, tokens in zip(lists, (first, second)):
         right &= pc.equal(_joined_bytes(own, tokens.bytes), wanted).to_numpy(zero_copy_only=False)
     if not right.all():
-        parts = [p if ok else [] for p, ok in zip(parts, right)]
-        kept = pa.array(right)
-        lists = [_without(own, kept) for own in lists]
+        lists = [_without(own, pa.array(right)) for own in lists]
     a, b = (_side(own, tokens.bytes) for own, tokens in zip(lists, (first, second)))
     _cut(a, b)
-    doc_of_group = a.doc.to_numpy()[a.first[:-1]]
-    return Block(len(parts), a, b, doc_of_group)
+    return Parts(len(parts), a, b, right, a.part.to_numpy()[a.first[:-1]])
 
 
 def _without(lists: pa.LargeListArray, kept: pa.Array) -> pa.LargeListArray:
-    """Empty lists where a document is not kept."""
-    doc = pc.list_parent_indices(lists)
+    """Empty lists where a part is not kept."""
+    part = pc.list_parent_indices(lists)
     sizes = np.diff(lists.offsets.to_numpy()) * kept.to_numpy(zero_copy_only=False)
     offsets = np.concatenate([[0], np.cumsum(sizes)])
     return pa.LargeListArray.from_arrays(
-        pa.array(offsets), lists.flatten().filter(kept.take(doc)))
+        pa.array(offsets), lists.flatten().filter(kept.take(part)))
+
+
+@dataclass
+class Block:
+    """Some documents as numbers of their parts, and the aligned parts."""
+
+    rows: int
+    at: np.ndarray  # the part at each place of the documents
+    offsets: np.ndarray  # where the places of each document begin
+    parts: Parts
+
+    def doc_of_place(self) -> np.ndarray:
+        return np.repeat(np.arange(self.rows, dtype=np.int32), np.diff(self.offsets))
+
+    def total(self, per_part: np.ndarray) -> np.ndarray:
+        """Sums over the places of each document."""
+        return np.diff(np.concatenate([[0], np.cumsum(per_part[self.at])])[self.offsets])
+
+    def links(self, pairs_b: int) -> pa.Table:
+        """Links of each document and pair of ids."""
+        placed = pa.table({"doc": self.doc_of_place(), "part": self.at})
+        placed = placed.group_by(["doc", "part"], use_threads=False).aggregate(
+            [([], "count_all")]).rename_columns(["doc", "part", "times"])
+        both = placed.join(
+            self.parts.links(pairs_b), "part", join_type="inner", use_threads=False)
+        return _summed(pa.table({
+            "doc": both["doc"], "pair": both["pair"],
+            "links": pc.multiply(both["times"], both["links"])}))
+
+
+def aligned_block(texts: Sequence[str | None], first, second) -> Block:
+    """The documents of a block; those a tokenizer does not give back have no parts."""
+    lists = [parts_of(t) for t in texts]
+    offsets = np.cumsum([0, *map(len, lists)], dtype=np.int64)
+    coded = pa.array(list(chain.from_iterable(lists)), pa.large_string()).dictionary_encode()
+    parts = align(coded.dictionary.to_pylist(), first, second)
+    block = Block(len(texts), coded.indices.to_numpy(), offsets, parts)
+    if not parts.right.all():
+        wrong = block.total(~parts.right) > 0
+        sizes = np.where(wrong, 0, np.diff(offsets))
+        block.at = block.at[~np.repeat(wrong, np.diff(offsets))]
+        block.offsets = np.concatenate([[0], np.cumsum(sizes)])
+    return block
 
 
 def _figures(block: Block, links: pa.Table) -> dict[str, pa.Array]:
     """What a document's own tokens tell, without the counts of the corpus."""
-    count = lambda at, weights=None: np.bincount(
-        at, weights=weights, minlength=block.rows).astype(np.int64)
-    per_document = count(block.doc_of_group)
-    offsets = np.concatenate([[0], np.cumsum(per_document)])
+    parts = block.parts
+    groups = parts.count(parts.part_of_group)
+    texts = pc.binary_join(
+        pa.ListArray.from_arrays(
+            pa.array(np.concatenate([[0], np.cumsum(groups)]), pa.int32()), parts.group_texts()),
+        ";")
     whole = pc.binary_join(
-        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), block.group_texts()), ";")
+        pa.ListArray.from_arrays(pa.array(block.offsets, pa.int32()), texts.take(pa.array(block.at))),
+        ";")
     digests = [
         hashlib.sha256(memoryview(text.as_buffer())).hexdigest() if n else ""
-        for text, n in zip(whole, per_document.tolist())
+        for text, n in zip(whole, np.diff(block.offsets).tolist())
     ]
     times = np.zeros(block.rows, dtype=np.int64)
     np.add.at(times, links["doc"].to_numpy(), links["links"].to_numpy())
     return {
-        "n_a": pa.array(count(block.a.doc.to_numpy())),
-        "n_b": pa.array(count(block.b.doc.to_numpy())),
-        "n_groups": pa.array(per_document),
+        "n_a": pa.array(block.total(parts.count(parts.a.part.to_numpy()))),
+        "n_b": pa.array(block.total(parts.count(parts.b.part.to_numpy()))),
+        "n_groups": pa.array(block.total(groups)),
         "n_links": pa.array(times),
         "groups_sha256": pa.array(digests),
     }
@@ -349,7 +397,7 @@ def align_tokenizers(
         task, number = TaskContext.get().partitionId(), 0
         for batch in batches:
             for own, texts in by_size(batch, block_bytes):
-                block = align(texts, a, b)
+                block = aligned_block(texts, a, b)
                 links = block.links(wide)
                 kept = {f"k{i}": own.column(i) for i in range(len(keep))}
                 figures = pa.table(kept | _figures(block, links))
@@ -359,7 +407,7 @@ def align_tokenizers(
                 numbers = coded.indices.to_numpy()
                 held = np.bincount(numbers, minlength=len(pairs))
                 small = pa.table({
-                    "doc": links["doc"].cast(pa.int32()), "pair": pa.array(numbers, pa.int32()),
+                    "doc": links["doc"], "pair": pa.array(numbers, pa.int32()),
                     "links": links["links"]})
                 counted = pa.StructArray.from_arrays(
                     [pa.array(pairs // wide, pa.int32()), pa.array(pairs % wide, pa.int32()),
@@ -433,13 +481,20 @@ def aligned_groups(
         a, b = _tokenizer(first), _tokenizer(second)
         for batch in batches:
             for rows, texts in by_size(batch, block_bytes):
-                block = align(texts, a, b)
-                if not block.n_groups:
+                block = aligned_block(texts, a, b)
+                parts = block.parts
+                if not parts.n_groups:
                     continue
-                doc = block.doc_of_group
+                # The groups of the part at each place, one after the other.
+                size = parts.count(parts.part_of_group)
+                sizes, first_group = size[block.at], (np.cumsum(size) - size)[block.at]
+                shift = first_group - (np.cumsum(sizes) - sizes)
+                chosen_groups = pa.array(np.repeat(shift, sizes) + np.arange(sizes.sum()))
+                doc = np.repeat(block.doc_of_place(), sizes)
                 number = np.arange(len(doc)) - np.searchsorted(doc, doc)
                 lists = [
-                    block.lists(s, s.ids).cast(pa.list_(pa.int32())) for s in (block.a, block.b)]
+                    parts.lists(s, s.ids).cast(pa.list_(pa.int32())).take(chosen_groups)
+                    for s in (parts.a, parts.b)]
                 kept = [rows.column(i).take(pa.array(doc)) for i in range(len(keep))]
                 table = pa.table([*kept, pa.array(number), *lists], names=names)
                 yield from table.to_batches(max_chunksize=1 << 14)

@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 from tableprofile.llm.alignment import (
     ByteTokens,
     PieceTokens,
-    align,
+    aligned_block,
     align_tokenizers,
     aligned_groups,
     parts_of,
@@ -117,7 +117,7 @@ def test_random_texts_in_parts():
     letters = "ab  \n.,'日é▁0\t\x1c　-"
     for _ in range(300):
         text = "".join(random.choices(letters, k=random.randint(1, 60)))
-        whole = parts_of(text, size=5)
+        whole = parts_of(text)
         assert " ".join(whole) == text
         assert [i for x in a.encode(whole) for i in x] == first.encode(
             " " + text, add_special_tokens=False).ids, repr(text)
@@ -132,16 +132,16 @@ def test_vocabulary_without_ranks_uses_the_library(monkeypatch):
 
     slow.fast, slow.slow = None, Tokenizer.from_file(FIRST)
     slow.slow.encode_special_tokens = True
-    assert [x.tolist() for x in slow.encode(texts)] == [x.tolist() for x in quick]
+    assert slow.encode(texts) == quick
 
 
 def test_links_in_slices():
     a, b = ByteTokens(FIRST), PieceTokens(SECOND)
     texts = [t for t in ODD if t] + ["日本語の" * 40]
-    block = align(texts, a, b)
-    whole = block.links(len(b.bytes))
-    cut = block.links(len(b.bytes), joined=7)
-    order = lambda t: sorted(zip(*(t[c].to_pylist() for c in ("doc", "pair", "links"))))
+    parts = aligned_block(texts, a, b).parts
+    whole = parts.links(len(b.bytes))
+    cut = parts.links(len(b.bytes), joined=7)
+    order = lambda t: sorted(zip(*(t[c].to_pylist() for c in ("part", "pair", "links"))))
     assert order(whole) == order(cut)
 
 
