@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import tableprofile as tp
+from tableprofile.operators.patterns import conditional_itemsets
 
 
 def brute_force(table, columns, support):
@@ -148,3 +149,35 @@ def test_rare_support_counts_candidates(spark):
     df = spark.range(4000).select((F.col("id") % 1000).alias("k"))
     assert len(collected(tp.frequent_itemsets(df, min_support=0.001))) == 1000
     assert collected(tp.frequent_itemsets(df, min_support=0.0011)) == {}
+
+
+@pytest.mark.parametrize("table_rows", [1, 7])
+def test_large_tables_are_divided_without_change(spark, table_rows):
+    rng = random.Random(9)
+    table = [tuple(rng.choice(["u", "v", "w", None]) for _ in range(6)) for _ in range(400)]
+    df = spark.createDataFrame(table, ", ".join(f"{c} string" for c in "abcdef")).repartition(3)
+    expected, baskets = brute_force(table, "abcdef", 0.02)
+    found = tp.frequent_itemsets(df, min_support=0.02, table_rows=table_rows)
+    assert (collected(found), found.baskets) == (expected, baskets)
+    assert max(map(len, expected)) >= 3
+
+
+def test_conditional_itemsets_of_weighted_rows():
+    rng = random.Random(2)
+    rows = Counter(tuple(sorted(rng.sample(range(9), rng.randint(1, 6)))) for _ in range(200))
+    expected = Counter()
+    for row, weight in rows.items():
+        for size in range(1, len(row) + 1):
+            for part in combinations(row, size):
+                expected[part] += weight
+    found = list(conditional_itemsets(dict(rows), 12))
+    assert len(found) == len(dict(found))
+    assert dict(found) == {s: n for s, n in expected.items() if n >= 12}
+
+
+def test_an_item_of_two_columns_counts_once(spark):
+    # Both columns spell o_b_x, and 6 rows spell it twice; 10 of 20 rows hold it.
+    rows = [("b_x", "x")] * 6 + [("b_x", None)] * 2 + [(None, "x")] * 2 + [("c", "y")] * 10
+    df = spark.createDataFrame(rows, "o string, o_b string")
+    assert collected(tp.frequent_itemsets(df, min_support=0.55)) == {}
+    assert collected(tp.frequent_itemsets(df, min_support=0.5))[("o_b_x",)] == 10
