@@ -6,7 +6,9 @@ the typed operators and ``profile`` share them. The others need a shuffle.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -273,6 +275,10 @@ def correlation_columns(
 # A side whose squared deviations are this small beside its squares is constant.
 _NO_SPREAD = 1e-12
 _PAIR_SUMS = ("n", "odd", "sx", "sy", "sxx", "syy", "sxy")
+_PAIR_FIELDS = ", ".join(f"{name} double" for name in _PAIR_SUMS)
+# Sums of a scan, below the bound from which Spark generates no code, and scans at most.
+_SCAN_FIELDS = 90
+_SCANS = 4
 
 
 def _pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,6 +309,100 @@ def _pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
+@dataclass(frozen=True)
+class _Side:
+    """A numeric column as the factors of its sums; None stands for ones or zeros."""
+
+    mean: float
+    value: Column
+    present: Column | None
+    odd: Column | None
+
+
+@dataclass(frozen=True)
+class _Centred:
+    """Numeric columns, taken relative to the mean of their finite values."""
+
+    numbers: DataFrame
+    rows: int
+    sides: tuple[_Side, ...]
+
+    @classmethod
+    def of(cls, numbers: DataFrame) -> _Centred:
+        """One scan finds the means, and which columns hold NULL, NaN or infinity at all."""
+        finite = lambda c: ~F.isnan(c) & (F.abs(c) != float("inf"))
+        cells = [F.count(F.lit(1))]
+        for name in numbers.columns:
+            c = F.col(name)
+            cells += [F.avg(F.when(finite(c), c)), F.count(c), F.count_if(~finite(c))]
+        row = numbers.agg(*[c.alias(f"a{k}") for k, c in enumerate(cells)]).first()
+        sides = []
+        for k, name in enumerate(numbers.columns):
+            mean, present, odd = row[3 * k + 1 : 3 * k + 4]
+            mean = mean if mean is not None and math.isfinite(mean) else 0.0
+            c = F.col(name)
+            value = c - F.lit(mean)
+            if odd:
+                value = F.when(finite(c), value)
+            if odd or present < row[0]:
+                value = F.coalesce(value, F.lit(0.0))
+            here = None if present == row[0] else c.isNotNull().cast("double")
+            strange = F.coalesce(~finite(c), F.lit(False)).cast("double") if odd else None
+            sides.append(_Side(mean, value, here, strange))
+        return cls(numbers, row[0], tuple(sides))
+
+    def narrow_sums(self) -> DataFrame | None:
+        """The sums of each pair as plain aggregates; None if they take more than a few scans.
+
+        Each sum is an entry of the Gramian of values, squares and marks. Marks of columns
+        without NULL are ones, so many entries are equal, and each is summed once.
+        """
+        wanted: dict[tuple[str, ...], Column] = {}
+
+        def entry(*factors: tuple[str, Column | None]) -> tuple[str, ...]:
+            real = sorted(((n, c) for n, c in factors if c is not None), key=lambda x: x[0])
+            key = tuple(n for n, _ in real)
+            if key and key not in wanted:
+                wanted[key] = reduce(lambda a, b: a * b, [c for _, c in real])
+            return key
+
+        pairs = []
+        for j, y in enumerate(self.sides):
+            for i, x in enumerate(self.sides[:j]):
+                px, py = (f"p{i}", x.present), (f"p{j}", y.present)
+                vx, vy = (f"v{i}", x.value), (f"v{j}", y.value)
+                odd = [entry((f"o{i}", x.odd), py)] if x.odd is not None else []
+                odd += [entry((f"o{j}", y.odd), px)] if y.odd is not None else []
+                sums = (
+                    entry(px, py), entry(vx, py), entry(vy, px), entry(vx, vx, py),
+                    entry(vy, vy, px), entry(vx, vy))
+                pairs.append((i, j, sums, odd))
+                if len(wanted) > _SCANS * _SCAN_FIELDS:
+                    return None
+        keys, scans = list(wanted), []
+        for at in range(0, len(keys), _SCAN_FIELDS):
+            own = [F.sum(wanted[k]).alias(f"t{n}") for n, k in enumerate(keys[at : at + _SCAN_FIELDS])]
+            names = F.array(*[f"t{n}" for n in range(len(own))])
+            scans.append(self.numbers.agg(*own).select(F.lit(at).alias("at"), names.alias("sums")))
+        found = {(): float(self.rows)}
+        for row in reduce(DataFrame.unionByName, scans).collect():
+            found.update(zip(keys[row["at"] :], (x or 0.0 for x in row["sums"])))
+        rows = [
+            (i, j, found[n], float(sum(found[k] for k in odd)), *[found[k] for k in rest])
+            for i, j, (n, *rest), odd in pairs
+        ]
+        return self.numbers.sparkSession.createDataFrame(sorted(rows), f"i long, j long, {_PAIR_FIELDS}")
+
+    def wide_sums(self) -> DataFrame:
+        """The sums of each pair by products of matrices, a row for each pair and task."""
+        columns = zip(self.numbers.columns, self.sides)
+        shifted = self.numbers.select(*[(F.col(c) - F.lit(s.mean)).alias(c) for c, s in columns])
+        return (
+            shifted.mapInArrow(_pair_sums, f"i long, j long, {_PAIR_FIELDS}")
+            .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in _PAIR_SUMS])
+        )
+
+
 def correlation(
     df: DataFrame,
     columns: Sequence[str] | None = None,
@@ -315,8 +415,9 @@ def correlation(
     ``nulls="pairwise"`` uses the rows where both values are present, ``nulls="zero"``
     reads NULL as 0. A constant column gives NULL, NaN or infinity among the rows NaN.
 
-    A first scan finds a middle value of each column, to which values are taken relative
-    so that sums of squares lose no digits; a second one sums up all pairs at once. A
+    A first scan finds the mean of each column, to which values are taken relative so
+    that sums of squares lose no digits. The sums of all pairs then take one scan to a
+    few; where a table has too many columns for that, tasks multiply matrices, and a
     task shuffles a row for each pair, whatever its number of rows.
     """
     if nulls not in ("pairwise", "zero"):
@@ -329,16 +430,15 @@ def correlation(
     if nulls == "zero":
         values = [F.coalesce(v, F.lit(0.0)) for v in values]
     numbers = df.select(*[v.alias(f"c{k}") for k, v in enumerate(values)])
-    finite = lambda c: F.when(~F.isnan(c) & (F.abs(c) != float("inf")), c)
-    middle = numbers.agg(
-        *[F.percentile_approx(finite(F.col(c)), 0.5, 100).alias(c) for c in numbers.columns]
-    ).first()
-    shifted = numbers.select(*[(F.col(c) - F.lit(middle[c] or 0.0)).alias(c) for c in numbers.columns])
-    sums = ", ".join(f"{name} double" for name in _PAIR_SUMS)
-    found = (
-        shifted.mapInArrow(_pair_sums, f"i long, j long, {sums}")
-        .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in _PAIR_SUMS])
-    )
+    centred = _Centred.of(numbers)
+    found = centred.narrow_sums()
+    if found is None:
+        # Tasks without rows give no sums, so the pairs are named apart.
+        many = len(chosen)
+        pairs = spark.range(many * many).select(
+            F.floor(F.col("id") / many).alias("i"), (F.col("id") % many).alias("j")
+        ).where("i < j")
+        found = pairs.join(centred.wide_sums(), ["i", "j"], "left").orderBy("i", "j")
     spread = lambda s, ss: F.col(ss) - F.col(s) * F.col(s) / F.col("n")
     vx, vy = spread("sx", "sxx"), spread("sy", "syy")
     pearson = (F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")) / F.sqrt(vx * vy)
@@ -346,13 +446,9 @@ def correlation(
         (F.col("n") > 0) & (vx > _NO_SPREAD * F.col("sxx")) & (vy > _NO_SPREAD * F.col("syy")),
         F.greatest(F.lit(-1.0), F.least(F.lit(1.0), pearson)),
     )
-    many = len(chosen)
-    pairs = spark.range(many * many).select(
-        F.floor(F.col("id") / many).alias("i"), (F.col("id") % many).alias("j")
-    ).where("i < j")
     names = F.array(*[F.lit(c) for c in chosen])
     name = lambda c: F.get(names, F.col(c).cast("int"))
-    return pairs.join(found, ["i", "j"], "left").orderBy("i", "j").select(
+    return found.select(
         F.concat(name("i"), F.lit(" vs "), name("j")).alias("pair"),
         rounded(value, digits).alias("correlation"),
     )

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 from datetime import date
 from decimal import Decimal
 
@@ -88,6 +89,25 @@ def test_correlation_equals_the_built_in_one(spark):
         assert value is None if built_in is None else value == pytest.approx(built_in, abs=1e-9)
 
 
+def test_correlation_by_sums_equals_that_by_matrices(spark, monkeypatch):
+    rng = random.Random(3)
+    odd = [None, float("nan"), float("inf")]
+    rows = [
+        tuple(
+            rng.choice(odd) if k == 1 and rng.random() < 0.01 else
+            None if k in (2, 3) and rng.random() < 0.2 else rng.gauss(k * 1e6, 1 + k) + len(str(k))
+            for k in range(6)
+        )
+        for _ in range(500)
+    ]
+    df = spark.createDataFrame(rows, ", ".join(f"c{k} double" for k in range(6))).repartition(3)
+    for chosen in (None, ["c0", "c4"], ["c2", "c3", "c5"]):
+        by_sums = tp.correlation(df, columns=chosen, digits=8).collect()
+        with monkeypatch.context() as patch:
+            patch.setattr("tableprofile.operators.describe._SCANS", 0)
+            assert str(tp.correlation(df, columns=chosen, digits=8).collect()) == str(by_sums)
+
+
 def test_correlation_of_large_values_keeps_its_digits(spark):
     df = spark.range(100).select(
         (F.col("id") % 7 + 1e12).alias("a"), (F.col("id") % 5 + 1e12).alias("b")
