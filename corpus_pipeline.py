@@ -6,10 +6,11 @@ and read again as the next stage's docs. Stages but the last return the columns
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableprofile.functions.checkpoints import cut_lineage, scratch_path
+from tableprofile.functions.checkpoints import scratch_path
 from tableprofile.llm.chosen_path import similarity_classes
 from tableprofile.llm.compression import compression_bands
 from tableprofile.llm.languages import UNKNOWN, fit_languages, predict_language
@@ -19,6 +20,8 @@ from tableprofile.llm.shared import fold_of, unused
 
 # A text whose language is this uncertain is in none of the learned ones.
 LEAST_SCORE = 0.3
+# Rows of one file are fewer than 2 to this power.
+FILE_BITS = 40
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,22 +45,43 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.where(f"{own}kept").select(*docs.columns)
 
 
+def numbered_rows(docs: DataFrame, column: str) -> DataFrame:
+    """The rows with a number of their own, which stays the same wherever they are read.
+
+    It is made of the row's file and its place in it. Rows that do not come straight from
+    files are written first. The driver holds a list of the files.
+    """
+    spark, path = docs.sparkSession, unused("_path", docs.columns)
+    try:
+        place = docs.metadataColumn("_metadata")
+        placed = docs.select("*", place.getField("file_path").alias(path),
+                             place.getField("row_index").alias(column))
+    except AnalysisException:
+        folder = scratch_path(spark, "rows")
+        docs.write.parquet(folder)
+        return numbered_rows(spark.read.parquet(folder), column)
+    files = sorted(row[0] for row in placed.select(path).distinct().collect())
+    numbers = spark.createDataFrame(
+        [(name, number << FILE_BITS) for number, name in enumerate(files)],
+        f"{path} string, {column}_file long")
+    return placed.join(numbers, path).withColumn(
+        column, F.col(column) + F.col(f"{column}_file")).select(*docs.columns, column)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the least id, then the least text.
+    """One document of each group of near duplicates: the least id, then the least hash of
+    the text, then the first row.
 
-    Rows are told apart by a key of their own, so ids may be missing or repeated. As Spark
-    sorts, a row without an id comes before one with an id.
+    Rows are told apart by their place, so ids may be missing or repeated. As Spark sorts, a
+    row without an id comes before one with an id. Groups are led by the row that stays, so
+    only keys are compared; whole rows are shuffled once, to take those that stay.
     """
     own = unused("_row", docs.columns)
-    group = unused("_class", docs.columns)
-    # Written once, so that a row has the same key wherever it is read.
-    keyed = cut_lineage(docs.withColumn(own, F.monotonically_increasing_id()))
-    classes = similarity_classes(keyed, key=own).select(own, F.col("class_id").alias(group))
-    first = ("doc_id", "text", own)
-    rest = [c for c in docs.columns if c not in first]
-    chosen = keyed.join(classes, own).groupBy(group).agg(
-        F.min(F.struct(*first, *rest)).alias(own))
-    return chosen.select(f"{own}.*").select(*docs.columns)
+    rows = numbered_rows(docs, own)
+    rank = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"), F.col(own).alias("row"))
+    classes = similarity_classes(rows.select("text", rank.alias(own)), key=own)
+    lead = classes.where(F.col(own) == F.col("class_id")).select(F.col(f"{own}.row").alias(own))
+    return rows.join(lead, own, "left_semi").select(*docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
