@@ -20,6 +20,8 @@ REGRESSION_ELASTIC_NET = 0.8
 KMEANS_K = 3
 KMEANS_MAX_ITER = 20
 KMEANS_TOL = 1e-4
+KMEANS_ROUNDS = 4
+KMEANS_OVERSAMPLING = 2
 TREE_MAX_DEPTH = 5
 TREE_MAX_BINS = 32
 MEDIAN_RELATIVE_ERROR = 0.01

@@ -166,6 +166,35 @@ def test_lloyd_does_not_depend_on_partitions_and_skips_copies(spark):
         tp.lloyd_kmeans(only.limit(0))
 
 
+def test_oversampled_start_does_not_depend_on_partitions(spark, points):
+    found = [
+        tp.lloyd_kmeans(points.repartition(n), ["a", "b"], k=4, seeding="oversampled", tol=0.0)
+        for n in (2, 4, 16)
+    ]
+    for other in found[1:]:
+        assert other.sizes == found[0].sizes and other.iterations == found[0].iterations
+        assert np.allclose(other.centres, found[0].centres, rtol=1e-12)
+    facts = [
+        sorted(map(str, tp.run_model(points.repartition(n), "kmeans", k=3).collect())) for n in (2, 16)
+    ]
+    assert facts[0] == facts[1]
+
+
+def test_oversampled_start_finds_far_clusters(spark):
+    """Ten points far away among thousands; copies hold most rows."""
+    rows = [(0.0, 0.0)] * 3000 + [(float(i % 50), float(i % 7)) for i in range(2000)]
+    rows += [(1e6, float(i)) for i in range(10)] + [(-1e6, 1e6)]
+    df = spark.createDataFrame(rows, "a double, b double").repartition(5)
+    found = tp.lloyd_kmeans(df, k=3, seeding="oversampled")
+    assert sorted(found.sizes) == [1, 10, 5000]
+    only = spark.createDataFrame([(1.0,), (1.0,), (None,)], "a double")
+    assert sorted(tp.lloyd_kmeans(only, k=3, seeding="oversampled").centres) == [(0.0,), (1.0,)]
+    with pytest.raises(ValueError):
+        tp.lloyd_kmeans(only.limit(0), seeding="oversampled")
+    with pytest.raises(ValueError):
+        tp.lloyd_kmeans(only, seeding="unknown")
+
+
 def test_kmeans_sizes_and_cost(points):
     fit = tp.fit_kmeans(points, ["a", "b"], k=4, digits=None)
     assert sum(fit.fact("size", f"cluster {i}") for i in range(4)) == 900
