@@ -137,13 +137,20 @@ def baskets(
 
 
 @contextmanager
-def working_set(df: DataFrame) -> Iterator[DataFrame]:
+def working_set(df: DataFrame, partitions: int | None = None) -> Iterator[DataFrame]:
     """Rows a fit reads several times, kept in memory and beyond it on disk meanwhile.
 
-    ``df`` should hold the needed columns only. Partitions stay as they are.
+    ``df`` should hold the needed columns only. Rows that lie in fewer partitions than the
+    session has cores (or than ``partitions``) are spread once, so that every pass uses all
+    cores; a large scan has more partitions than that and stays as it is.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
+    kept = [df.persist(StorageLevel.MEMORY_AND_DISK)]
     try:
-        yield kept
+        held = kept[0].select(F.spark_partition_id().alias("at")).distinct().count()
+        if 0 < held < wanted:
+            kept.append(kept[0].repartition(wanted).persist(StorageLevel.MEMORY_AND_DISK))
+        yield kept[-1]
     finally:
-        kept.unpersist()
+        for own in kept:
+            own.unpersist()

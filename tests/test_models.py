@@ -9,6 +9,7 @@ from pyspark.mllib.clustering import KMeans, KMeansModel
 from pyspark.sql import functions as F
 
 import tableprofile as tp
+from tableprofile.operators.features import working_set
 from tableprofile.operators.fitted import NoTrainingRowsError
 
 
@@ -224,3 +225,15 @@ def test_lloyd_with_many_centres_and_copies(spark):
     assert sum(found.sizes) == 2000
     few = tp.lloyd_kmeans(df.limit(3).union(df.filter("x > 1998")), ["x", "y"], k=10)
     assert len(few.centres) == 2 and few.cost == 0.0
+
+
+def test_working_set_uses_all_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    few = spark.range(100).coalesce(1)
+    with working_set(few) as rows:
+        assert rows.count() == 100
+        assert rows.select(F.spark_partition_id()).distinct().count() == cores
+    with working_set(spark.range(100).repartition(cores + 3)) as rows:
+        assert rows.select(F.spark_partition_id()).distinct().count() == cores + 3
+    with working_set(few.where("id < 0")) as rows:
+        assert rows.count() == 0
