@@ -20,8 +20,6 @@ from tableprofile.llm.shared import fold_of, unused
 
 # A text whose language is this uncertain is in none of the learned ones.
 LEAST_SCORE = 0.3
-# Rows of one file are fewer than 2 to this power.
-FILE_BITS = 40
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,27 +43,28 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.where(f"{own}kept").select(*docs.columns)
 
 
-def numbered_rows(docs: DataFrame, column: str) -> DataFrame:
-    """The rows with a number of their own, which stays the same wherever they are read.
+def placed_rows(docs: DataFrame, column: str) -> DataFrame:
+    """The rows with a key of their own, which stays the same wherever they are read.
 
-    It is made of the row's file and its place in it. Rows that do not come straight from
-    files are written first. The driver holds a list of the files.
+    It is a hash of the row's file and its place in it. Rows that do not come straight from
+    files are written first.
     """
-    spark, path = docs.sparkSession, unused("_path", docs.columns)
+    spark = docs.sparkSession
     try:
         place = docs.metadataColumn("_metadata")
-        placed = docs.select("*", place.getField("file_path").alias(path),
-                             place.getField("row_index").alias(column))
+        path = place.getField("file_path")
+        files = docs.select(path.alias("path")).distinct()
     except AnalysisException:
         folder = scratch_path(spark, "rows")
         docs.write.parquet(folder)
-        return numbered_rows(spark.read.parquet(folder), column)
-    files = sorted(row[0] for row in placed.select(path).distinct().collect())
-    numbers = spark.createDataFrame(
-        [(name, number << FILE_BITS) for number, name in enumerate(files)],
-        f"{path} string, {column}_file long")
-    return placed.join(numbers, path).withColumn(
-        column, F.col(column) + F.col(f"{column}_file")).select(*docs.columns, column)
+        return placed_rows(spark.read.parquet(folder), column)
+    seed = 0
+    # No two files may share a hash; the first seed does, bar a chance of 2 ** -64 a pair.
+    while files.groupBy(F.xxhash64("path", F.lit(seed))).count().where("count > 1").count():
+        seed += 1
+    key = F.struct(
+        F.xxhash64(path, F.lit(seed)).alias("file"), place.getField("row_index").alias("at"))
+    return docs.select("*", key.alias(column))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,7 +76,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     only keys are compared; whole rows are shuffled once, to take those that stay.
     """
     own = unused("_row", docs.columns)
-    rows = numbered_rows(docs, own)
+    rows = placed_rows(docs, own)
     rank = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"), F.col(own).alias("row"))
     classes = similarity_classes(rows.select("text", rank.alias(own)), key=own)
     lead = classes.where(F.col(own) == F.col("class_id")).select(F.col(f"{own}.row").alias(own))
