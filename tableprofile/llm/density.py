@@ -32,6 +32,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -81,10 +82,8 @@ _NOISE = frozenset(
 _OWNERS = frozenset("article main h1".split())
 # Beside one of these, "header" names the head of the main text.
 _OWN_HEADER = frozenset("post entry article content story".split())
-_TAG = re.compile(
-    r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>",
-    re.S,
-)
+_NAME = re.compile(r"/?[a-zA-Z][^\s/>]*")
+_MARKS = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(
     r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S
 )
@@ -92,11 +91,12 @@ _SPACES = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "chars", "tags", "link_chars", "link_tags",
+    __slots__ = ("tag", "parent", "depth", "parts", "chars", "tags", "link_chars", "link_tags",
                  "density", "total", "dropped", "named")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool, named: bool = False):
         self.tag, self.parent, self.dropped, self.named = tag, parent, dropped, named
+        self.depth = 0 if parent is None else parent.depth + 1
         self.parts: list = []  # strings and nodes in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
@@ -126,69 +126,141 @@ def _is_noise(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bo
     return False, named
 
 
+def _tag_ends(page: str) -> tuple[list[int], list[int]]:
+    """Places of > and quotes, and for each the > that ends a tag read on from there.
+
+    A quote is skipped to its partner; -1 stands for a tag that never ends. Read backwards,
+    every place is looked at once.
+    """
+    places = [found.start() for found in _MARKS.finditer(page)]
+    ends = [-1] * (len(places) + 1)
+    partner: dict[str, int] = {}
+    for k in range(len(places) - 1, -1, -1):
+        mark = page[places[k]]
+        if mark == ">":
+            ends[k] = places[k]
+        else:
+            if mark in partner:
+                ends[k] = ends[partner[mark] + 1]
+            partner[mark] = k
+    return places, ends
+
+
+def _tokens(page: str) -> Iterator[tuple[str, str, str, int]]:
+    """(text before, name with / for an end tag, attributes, place behind) of each tag.
+
+    Comments and declarations have no name. Raw elements are left to the caller, who sends
+    the place to go on from.
+    """
+    places, ends = _tag_ends(page)
+    at = start = 0
+    while True:
+        at = page.find("<", at)
+        if at < 0:
+            yield page[start:], "", "", len(page)
+            return
+        if page.startswith("<!--", at):
+            name, stop = "", page.find("-->", at + 4)
+            behind = len(page) if stop < 0 else stop + 3
+        elif page.startswith(("<!", "<?"), at):
+            name, stop = "", page.find(">", at)
+            if stop < 0:
+                yield page[start:], "", "", len(page)
+                return
+            behind = stop + 1
+        else:
+            found = _NAME.match(page, at + 1)
+            stop = ends[bisect_left(places, found.end())] if found else -1
+            if stop < 0:
+                at += 1  # not a tag, so text
+                continue
+            name, behind = found.group(), stop + 1
+        attributes = page[found.end() : stop] if name else ""
+        moved = yield page[start:at], name, attributes, behind
+        at = start = behind if moved is None else moved
+
+
+class _Open:
+    """The elements that are open, by depth and by name."""
+
+    def __init__(self, body: Node):
+        self.stack = [body]
+        self.named: dict[str, list[Node]] = {}
+        self.blocks, self.scopes = [body], [body]
+
+    def push(self, node: Node) -> None:
+        self.stack.append(node)
+        self.named.setdefault(node.tag, []).append(node)
+        if node.tag in _BLOCK:
+            self.blocks.append(node)
+        if node.tag in _SCOPES:
+            self.scopes.append(node)
+
+    def close(self, node: Node) -> None:
+        """Close the element and all inside it."""
+        while self.stack[-1].depth >= node.depth:
+            gone = self.stack.pop()
+            self.named[gone.tag].pop()
+            for held in (self.blocks, self.scopes):
+                if held[-1] is gone:
+                    held.pop()
+
+    def last(self, tag: str) -> Node | None:
+        held = self.named.get(tag)
+        return held[-1] if held else None
+
+    def outermost(self, tags: tuple[str, ...]) -> Node | None:
+        """The outermost open element of these names inside the last scope."""
+        scope, found = self.scopes[-1], None
+        for tag in tags:
+            held = self.named.get(tag, [])
+            k = bisect_left(held, scope.depth + 1, key=lambda node: node.depth)
+            if k < len(held) and (found is None or held[k].depth < found.depth):
+                found = held[k]
+        return found
+
+
 def parse(page: str) -> Node:
     """The element tree below the body, with the elements left out marked."""
-    body = current = Node("body", None, False)
-    at, size = 0, len(page)
-    articles = 0
-    any_named = False
-    lowered = None
-    while at < size:
-        found = _TAG.search(page, at)
-        text = page[at : found.start()] if found else page[at:]
+    body = Node("body", None, False)
+    held = _Open(body)
+    any_named, moved = False, None
+    tokens = _tokens(page)
+    while True:
+        try:
+            text, tag, attributes, behind = tokens.send(moved)
+        except StopIteration:
+            break
+        moved, current = None, held.stack[-1]
         if text and not current.dropped:
             current.parts.append(text)
-        if not found:
-            break
-        at = found.end()
-        closing, tag = found.group(1), found.group(2)
-        if tag is None:
-            continue
-        tag = tag.lower()
-        if tag in ("html", "body"):
+        closing, tag = tag.startswith("/"), tag.lstrip("/").lower()
+        if tag in ("", "html", "body"):
             continue
         if closing:
-            node = current
-            while node is not body and node.tag != tag:
-                if tag not in _BLOCK and node.tag in _BLOCK:
-                    node = body  # an inline end tag does not reach outside its block
-                else:
-                    node = node.parent
-            if node is not body:
-                while current is not node:
-                    articles -= current.tag == "article"
-                    current = current.parent
-                articles -= current.tag == "article"
-                current = node.parent
+            node = held.last(tag)
+            # An inline end tag does not reach outside its block.
+            if node is not None and (tag in _BLOCK or node.depth > held.blocks[-1].depth):
+                held.close(node)
             continue
-        if tag in _ENDS_PARAGRAPH:
-            node = current
-            while node is not body and node.tag != "p" and node.tag not in _BLOCK:
-                node = node.parent
-            if node.tag == "p":
-                current = node.parent
+        if tag in _ENDS_PARAGRAPH and held.blocks[-1].tag == "p":
+            held.close(held.blocks[-1])
         if tag in _CLOSES:
-            node, last = current, None
-            while node is not body and (node.tag not in _SCOPES):
-                if node.tag in _CLOSES[tag]:
-                    last = node
-                node = node.parent
-            if last is not None:
-                current = last.parent
-        dropped, named = _is_noise(tag, found.group(3), articles > 0)
+            node = held.outermost(_CLOSES[tag])
+            if node is not None:
+                held.close(node)
+        current = held.stack[-1]
+        dropped, named = _is_noise(tag, attributes, held.last("article") is not None)
         dropped = dropped or current.dropped
         any_named = any_named or named
         if tag in _RAW:
-            if lowered is None:
-                lowered = page.lower() if len(page.lower()) == size else page
-            stop = lowered.find(f"</{tag}", at)
-            at = size if stop < 0 else (page.find(">", stop) + 1 or size)
+            stop = re.compile(f"</{tag}", re.I | re.A).search(page, behind)
+            moved = (page.find(">", stop.end()) + 1 or len(page)) if stop else len(page)
             continue
         node = Node(tag, current, dropped, named)
         current.parts.append(node)
-        if tag not in _VOID and not found.group(3).endswith("/"):
-            current = node
-            articles += tag == "article"
+        if tag not in _VOID and not attributes.endswith("/"):
+            held.push(node)
     if any_named:
         _drop_named(body)
     return body
