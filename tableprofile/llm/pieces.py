@@ -36,6 +36,7 @@ SPACE = "▁"
 SHORT = 64
 CACHED_PARTS = 500_000
 BATCH_BYTES = 4 << 20
+NUL = "\udc00"  # stands for U+0000 between parts; no text of Spark holds half a surrogate
 
 
 class Pieces:
@@ -291,8 +292,8 @@ class Encoder:
             self.known[part] = b"".join([ids[x] for x in own])
 
     def _index(self, new: list[str]) -> None:
-        joined = "\0".join(part.replace("\0", "￾") for part in new) + "\0"
-        codes = np.frombuffer(joined.encode("utf-32-le", "replace"), dtype=np.uint32)
+        joined = "\0".join(part.replace("\0", NUL) for part in new) + "\0"
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         ends = np.flatnonzero(codes == 0)
         starts = np.r_[0, ends[:-1] + 1]
         relaxer = Relaxer(codes, self.pieces)
@@ -317,7 +318,7 @@ class Encoder:
         if not len(lost):
             return ids, left
         spelled = [
-            (b"\0" if c == 0xFFFE else chr(c).encode("utf-8", "replace"))
+            (b"\0" if c == ord(NUL) else chr(c).encode("utf-8", "replace"))
             for c in codes[left[lost]].tolist()
         ]
         count = np.ones(len(ids), dtype=np.int64)

@@ -368,3 +368,34 @@ def test_pages_of_the_tables_are_articles(spark):
             for b in re.split(r"</?(?:p|h1)>", inside)
         ]
         assert row["text"] == "\n".join(b for b in blocks if b)
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 100_000, '<a b="' * 60_000, "<b>" * 50_000 + "</i>" * 50_000,
+    "<b>" * 40_000 + "<hr>" * 40_000, "<ul>" + "<b>" * 40_000 + "<li>" * 40_000,
+    "<!--" * 100_000, "<p '" * 50_000 + '"' + ">" * 50_000,
+])
+def test_malformed_pages_take_linear_time(page):
+    import time
+
+    start = time.process_time()
+    main_text(page)
+    # Times are far from the minutes that a quadratic reader takes.
+    assert time.process_time() - start < 20
+
+
+def test_raw_elements_end_whatever_the_case():
+    inside = "Some words of the page that stay where they are. " * 3
+    page = f"<p>İ {inside}</p><SCRIPT>var x = '<p>';</Script ><p>{inside}</p>"
+    assert main_text(page).count("Some words") == 6
+    assert "var" not in main_text(page)
+
+
+def test_odd_characters_have_the_ids_of_the_library():
+    import sentencepiece
+
+    path = tokenizer_file("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = ["a￾b", "￾", "x\0y ￾\0 z", "￿", "\0\0", "￾ ￾word"]
+    found = Encoder(path).encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [library.encode(t) for t in texts]
