@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
@@ -17,9 +18,11 @@ from checks.query import (
     md5_train_sql,
     rounded_doubles,
     table,
+    union_sql,
 )
 from tableprofile.operators.clustering import cluster_sizes
 from tableprofile.operators.features import FEATURES, choose_features, feature_stages
+from tableprofile.operators.quantiles import exact_quantiles
 
 # Features
 
@@ -447,6 +450,125 @@ select {picks}, cast(label as double) as prediction, cast(sum(n) as bigint) as n
 from scored group by all"""
 
 
+HISTOGRAM_FEATURES = (
+    "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+)
+
+
+def _histogram_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """The default tree, split by order: 32 bins a feature, five levels, pruned."""
+    facts = tp.run_model(table(spark, folder, "lineitem"), "decision_tree", key=["l_orderkey"])
+    return _numbers(facts, (*TREE_METRICS, "depth", "num_nodes"))
+
+
+def _histogram_tree_sql(depth: int = 5, bins: int = 32) -> str:
+    """Edges from running counts of values, then the levels over binned rows."""
+    columns = [f"b{j}" for j in range(len(HISTOGRAM_FEATURES))]
+    keys, steps = ", ".join(columns), bins - 1
+    ctes = [
+        f"""middle as (select quantile_disc(l_orderkey, 0.5) as threshold from lineitem),
+base as materialized (
+  select {", ".join(f"cast({f} as double) as f{j}" for j, f in enumerate(HISTOGRAM_FEATURES))},
+         case when l_orderkey > threshold then 1 else 0 end as y,
+         {md5_train_sql("l_orderkey")} as is_train from lineitem, middle
+)"""
+    ]
+    for j in range(len(columns)):
+        ctes.append(
+            f"""running_{j} as (
+  select x, n, sum(n) over (order by x) as upto, sum(n) over () as total,
+         count(*) over () as different, max(x) over () as most
+  from (select f{j} as x, count(*) as n from base where is_train group by 1)
+), edges_{j} as materialized (
+  select coalesce(list(distinct x), []) as edges from running_{j}, range({steps}) as s(i)
+  where case when different <= {bins} then x < most
+             else greatest(1, (i * total + {steps - 1}) // {steps}) between upto - n + 1 and upto end
+)"""
+        )
+    placed = ", ".join(
+        f"len([e for e in (select edges from edges_{j}) if e < f{j}]) as b{j}"
+        for j in range(len(columns))
+    )
+    ctes.append(
+        f"""binned as materialized (select {placed}, y, is_train from base),
+level0 as materialized (
+  select {keys}, is_train, count(*) as n, sum(y) as pos, 1 as node
+  from binned group by {keys}, is_train
+)"""
+    )
+    purity = lambda n, p: f"(1e0 * {p} * {p} + 1e0 * ({n} - {p}) * ({n} - {p})) / {n}"
+    for level in range(depth):
+        branches = union_sql([
+            f"select node, {j} as j, {c} as b, sum(n) as n, sum(pos) as pos"
+            f" from level{level} where is_train group by node, {c}"
+            for j, c in enumerate(columns)
+        ])
+        went_left = " ".join(f"when {j} then {c} <= s.b" for j, c in enumerate(columns))
+        ctes.append(
+            f"""sums{level} as (
+  select node, j, b, cast(sum(n) over w as bigint) as ln, cast(sum(pos) over w as bigint) as lp,
+         cast(sum(n) over (partition by node, j) as bigint) as n,
+         cast(sum(pos) over (partition by node, j) as bigint) as p
+  from ({branches}) window w as (partition by node, j order by b)
+), split{level} as materialized (
+  select node, j, b from sums{level} where ln < n and lp * n <> p * ln
+  qualify row_number() over (partition by node order by
+    {purity("ln", "lp")} + {purity("(n - ln)", "(p - lp)")} desc, j, b) = 1
+), level{level + 1} as materialized (
+  select {", ".join(f"l.{c}" for c in columns)}, l.is_train, l.n, l.pos,
+         case when s.node is null then l.node * 2
+              when case s.j {went_left} end then l.node * 2 else l.node * 2 + 1 end as node
+  from level{level} l left join split{level} s on s.node = l.node
+)"""
+        )
+    divided = union_sql([
+        f"select {level} as level from split{level} s join leaves on leaves.node // {2 ** (depth - level)} = s.node"
+        f" group by s.node having min(label) <> max(label)"
+        for level in range(depth)
+    ])
+    cells = [(None, metric, metric) for metric in (*TREE_METRICS, "depth", "num_nodes")]
+    return f"""with {", ".join(ctes)},
+leaves as materialized (
+  select node, case when 2 * sum(pos) > sum(n) then 1 else 0 end as label
+  from level{depth} where is_train group by node
+), shape as (
+  select coalesce(max(level) + 1, 0) as depth, 1 + 2 * count(*) as num_nodes from ({divided})
+), confusion as (
+  select sum(n) as total,
+         sum(case when label = 1 then pos else 0 end) as tp,
+         sum(case when label = 1 then n - pos else 0 end) as fp,
+         sum(case when label = 0 then pos else 0 end) as fn,
+         sum(case when label = 0 then n - pos else 0 end) as tn
+  from level{depth} l join leaves on leaves.node = l.node where not is_train
+), facts as (
+  select threshold, (select count(*) from base where is_train) as training_rows,
+         total as test_rows, 0 as dropped_rows, depth, num_nodes,
+         round((tp + tn) * 1e0 / total, 4) as accuracy,
+         round(((tp + fn) * coalesce(2e0 * tp / nullif(2 * tp + fp + fn, 0), 0)
+                + (tn + fp) * coalesce(2e0 * tn / nullif(2 * tn + fp + fn, 0), 0)) / total, 4) as f1
+  from confusion, middle, shape
+)
+{_facts_sql(cells, 4, "facts")}"""
+
+
+def _quantiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Nine tenths of three columns, one of them with NULLs, from the same scans."""
+    df = lineitem_with_nulls(spark, folder)
+    names = ["l_extendedprice", "l_partkey", "l_tax"]
+    found = exact_quantiles(df, names, [Fraction(i, 10) for i in range(1, 10)])
+    rows = [(n, i + 1, x) for n in names for i, x in enumerate(found[n])]
+    return spark.createDataFrame(rows, "column string, tenth int, value double")
+
+
+QUANTILES_SQL = union_sql([
+    f"""select '{c}' as "column", cast(i as int) as tenth, min(x) as value from (
+  select cast({c} as double) as x, row_number() over (order by {c}) as place, count(*) over () as n
+  from ({LINEITEM_NULLS_SQL}) where {c} is not null), range(1, 10) as s(i)
+where place >= (i * n + 9) // 10 group by i"""
+    for c in ("l_extendedprice", "l_partkey", "l_tax")
+])
+
+
 def _classification_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """Three classes: the line number's remainder guessed from the quantity's."""
     df = table(spark, folder, "lineitem").select(
@@ -468,6 +590,8 @@ TREE_QUERIES = {
        count(*) as test_rows, true as accuracy_matches, true as shape_fits
 from lineitem where not {md5_train_sql("l_orderkey")}""",
     ),
+    "decision_tree_histogram": Query(_histogram_tree, _histogram_tree_sql()),
+    "quantiles_lineitem_nulls": Query(_quantiles, QUANTILES_SQL),
     "decision_tree_default": Query(
         lambda s, d: tp.run_model(table(s, d, "lineitem"), "decision_tree")
     ),

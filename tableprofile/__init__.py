@@ -22,7 +22,7 @@ from tableprofile.operators.patterns import (
     top_itemsets,
     top_rules,
 )
-from tableprofile.operators.quantiles import approx_median, exact_median
+from tableprofile.operators.quantiles import approx_median, exact_median, exact_quantiles
 from tableprofile.operators.regression import fit_linear_regression
 from tableprofile.operators.scaling import (
     performance_by_workers,
@@ -59,6 +59,7 @@ __all__ = [
     "copy_table",
     "correlation",
     "exact_median",
+    "exact_quantiles",
     "expired_jobs",
     "fill_missing",
     "fit_decision_tree",

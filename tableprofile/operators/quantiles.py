@@ -1,10 +1,13 @@
-"""The median of a column, exact or approximate."""
+"""Medians and quantiles of columns, exact or approximate."""
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
 from decimal import Decimal
+from fractions import Fraction
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +16,8 @@ from tableprofile.functions.columns import as_double, is_missing_number, named,
 
 _ACCURACY = 10_000
 _MARGIN = 2.0 / _ACCURACY
+# Parts a bracket is divided into by a round of exact quantiles.
+_PARTS = 1024
 
 
 def approx_median(
@@ -80,3 +85,101 @@ def exact_median(df: DataFrame, column: str) -> float | int | Decimal | None:
             inside = inside.filter((value > low) & (value < high))
             rank -= seen["to_low"]
             total = seen["under_high"] - seen["to_low"]
+
+
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], shares: Sequence[float | Fraction]
+) -> dict[str, list[float]]:
+    """The lower quantiles of several columns at once, as doubles, by rising share.
+
+    For a share ``s`` of ``n`` values, the smallest value with at least ``s * n`` of them
+    below or at it. NULL and NaN are ignored; a column without values has no quantiles.
+
+    Each round counts the rows of 1024 parts of the brackets that still hold a wanted rank,
+    for all columns in one aggregate, and goes on in the parts that hold one, within their
+    least and largest value. Counts merge in any order, so the result does not depend on
+    partitioning; state is bounded by columns times shares, whatever the rows.
+    """
+    names = require_columns(df, columns)
+    if not names:
+        return {}
+    places = [Fraction(s) for s in sorted(shares)]
+    cells = [F.struct(F.lit(i).alias("at"), as_double(c).alias("x")) for i, c in enumerate(names)]
+    whole = (
+        df.select(F.inline(F.array(*cells)))
+        .filter(~is_missing_number(F.col("x")))
+        .groupBy("at")
+        .agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+        .collect()
+    )
+    ranks = {r["at"]: [max(1, math.ceil(s * r["n"])) for s in places] for r in whole}
+    # A bracket: the column, its least and largest value and the rows below it.
+    brackets = [(r["at"], r["lo"], r["hi"], 0, r["n"]) for r in whole]
+    found: dict[tuple[int, int], float] = {}
+    while brackets:
+        still = []
+        for at, lo, hi, below, n in brackets:
+            held = sorted({r for r in ranks[at] if below < r <= below + n})
+            if lo == hi:
+                found.update({(at, r): lo for r in held})
+            else:
+                still.append((at, lo, hi, below, held))
+        brackets = [
+            (r["at"], r["lo"], r["hi"], r["below"], r["n"]) for r in _divided(df, names, still)
+        ]
+    return {name: [found[i, r] for r in ranks.get(i, [])] for i, name in enumerate(names)}
+
+
+def count_below(
+    x: Column, edges: Sequence[float], or_equal: bool = False, start: int = 0
+) -> Column:
+    """How many of the rising edges lie below ``x`` (or at it), by halving."""
+    if not edges:
+        return F.lit(start)
+    middle = len(edges) // 2
+    edge = F.lit(edges[middle])
+    return F.when(
+        x >= edge if or_equal else x > edge,
+        count_below(x, edges[middle + 1 :], or_equal, start + middle + 1),
+    ).otherwise(count_below(x, edges[:middle], or_equal, start))
+
+
+def _divided(df: DataFrame, names: list[str], brackets: list[tuple]) -> list[Row]:
+    """The parts of the brackets that hold a wanted rank, one scan for all of them."""
+    if not brackets:
+        return []
+    cells, wanted = [], []
+    for at in sorted({b[0] for b in brackets}):
+        own = sorted(b for b in brackets if b[0] == at)
+        x = as_double(names[at])
+        number = count_below(x, [b[1] for b in own], or_equal=True)
+        cells.append(F.struct(
+            F.lit(at).alias("at"), x.alias("x"), (number - 1).alias("bracket"),
+            F.get(F.lit([b[1] for b in own]), number - 1).alias("low"),
+            F.get(F.lit([b[2] for b in own]), number - 1).alias("high"),
+        ))
+        wanted += [(at, i, below, held) for i, (_, _, _, below, held) in enumerate(own)]
+    spark = df.sparkSession
+    open_ones = spark.createDataFrame(wanted, "at int, bracket int, under long, held array<long>")
+    inside = df.select(F.inline(F.array(*cells))).filter("x <= high and not isnan(x)")
+    parts = inside.groupBy("at", "bracket", _part().alias("part")).agg(
+        F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    before = F.sum("n").over(
+        Window.partitionBy("at", "bracket").orderBy("part")) - F.col("n")
+    placed = parts.withColumn("before", before).join(open_ones, ["at", "bracket"])
+    below = F.col("under") + F.col("before")
+    hit = F.exists("held", lambda r: (r > below) & (r <= below + F.col("n")))
+    return placed.filter(hit).select("at", "lo", "hi", below.alias("below"), "n").collect()
+
+
+def _part() -> Column:
+    """The part of its bracket a value lies in; its ends have parts of their own.
+
+    Halves keep the width of a bracket finite. Between infinite ends all finite values
+    lie in one part, whose ends the next round divides.
+    """
+    x, low, high = F.col("x"), F.col("low"), F.col("high")
+    half = F.when(F.abs(high - low) == math.inf, 0.5).otherwise(1.0)
+    share = (x * half - low * half) / (high * half - low * half)
+    part = F.when(F.isnan(share), 0).otherwise(F.least(F.floor(share * _PARTS), F.lit(_PARTS - 1)))
+    return F.when(x == low, -1).when(x == high, _PARTS).otherwise(part)

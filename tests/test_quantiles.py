@@ -68,3 +68,20 @@ def test_whole_numbers_keep_their_digits(spark):
 def test_approximate_median_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert tp.approx_median(df, "v") is None
+
+
+def test_exact_quantiles_of_extreme_numbers(spark):
+    """Huge ranges, infinities, least doubles, ties, NULL, NaN and an empty column."""
+    inf, nan = float("inf"), float("nan")
+    a = [1.7e308, -1.7e308, 5e-324, 1e-323, 0.0, 2.0, 2.0, 2.0, 3.5, -1e-200]
+    b = [inf, -inf, nan, None, 1.0, 1.0, -inf, 7.0, 1e300, 5e-324]
+    df = spark.createDataFrame(
+        [(x, y, None) for x, y in zip(a, b)], "a double, b double, c double")
+    shares = [0, 0.25, 0.5, 0.75, 1.0]
+    found = quantiles.exact_quantiles(df.repartition(3), ["a", "b", "c"], shares)
+    for name, values in (("a", a), ("b", [x for x in b if x is not None and x == x])):
+        ordered = sorted(values)
+        want = [ordered[max(1, math.ceil(s * len(ordered))) - 1] for s in shares]
+        assert found[name] == want
+    assert found["c"] == []
+    assert quantiles.exact_quantiles(df, [], shares) == {}
