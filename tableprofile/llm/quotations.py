@@ -10,6 +10,9 @@ passage comes from; whole passages count before single lines of them (of three w
 more), longer ones before shorter. Passages of no message, or first written later, link to
 nothing.
 
+A line such as "On Monday X wrote:" is left out of the own text where a quotation follows it,
+blank lines between them or not; anywhere else it is a line like others.
+
 The links form trees. Pointer jumping finds each message's root and distance, in as many
 joins as the depth has binary digits. Messages of a conversation are put in reply order:
 every message after the one it answers, answers of the same depth by position. Numbers
@@ -68,6 +71,16 @@ def passages(lines: Column) -> Column:
     )
 
 
+def _without_announcement(block: Column, before_quote: Column) -> Column:
+    """Own lines of a passage, without a last one that announces the quotation after it."""
+    lines = block["lines"]
+    last = F.array_max(F.transform(lines, lambda x, i: F.when(x.rlike(r"\S"), i)))
+    announces = lambda x, i: before_quote & (i == last) & x.rlike(_ATTRIBUTION)
+    return F.when(
+        block["depth"] == 0, F.filter(lines, lambda x, i: ~F.coalesce(announces(x, i), F.lit(False)))
+    ).otherwise(F.slice(lines, 1, 0))
+
+
 def normalised(text: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(text, r"\s+", " ")))
 
@@ -123,13 +136,11 @@ def reply_conversations(
     rows = rows.withColumn("_lines", quoted_lines(F.col("_text")))
     rows = rows.withColumn("_blocks", passages(F.col("_lines")))
     own = F.filter("_blocks", lambda b: b["depth"] == 0)
-    body = F.flatten(F.transform(own, lambda b: b["lines"]))
+    body = F.flatten(F.transform("_blocks", lambda b, i: _without_announcement(
+        b, i < F.size("_blocks") - 1)))
     rows = cut_lineage(rows.select(
         *names, "_id",
-        F.regexp_replace(
-            F.array_join(F.filter(body, lambda x: ~x.rlike(_ATTRIBUTION)), "\n"),
-            r"^\s+|\s+$", "",
-        ).alias("_own"),
+        F.regexp_replace(F.array_join(body, "\n"), r"^\s+|\s+$", "").alias("_own"),
         own.alias("_own_blocks"),
         F.filter("_blocks", lambda b: b["depth"] > 0).alias("_quotes"),
     ))

@@ -341,6 +341,22 @@ def test_nearest_of_odd_rows(spark):
     assert nearest(df.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+def test_nearest_of_extreme_numbers(spark):
+    """Cosines of tiny and huge vectors equal those of the same directions of usual size."""
+    plain = [[1.0, 1.0], [10.0, 1.0], [1.0, 0.0], [-3.0, 7.0], [1.0, 9.0], [0.0, -2.0]]
+    by = [1e-200, 1e199, 5e-324, 1e-300, 1.0, 8e307]
+    rows = [(i, [x * f for x in v]) for i, (v, f) in enumerate(zip(plain, by))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = nearest(df, F.col("vec_id") >= 0).orderBy("query_id", "rank").collect()
+    unit = np.array(plain) / np.linalg.norm(plain, axis=1, keepdims=True)
+    for q in range(len(plain)):
+        cosines = unit @ unit[q]
+        order = sorted((i for i in range(len(plain)) if i != q), key=lambda i: (-cosines[i], i))
+        own = [r for r in got if r["query_id"] == q]
+        assert [r["vec_id"] for r in own] == order
+        assert [r["score"] for r in own] == pytest.approx([cosines[i] for i in order], abs=1e-12)
+
+
 def test_nearest_of_many_copies(spark):
     rows = [(i, [1.0, 1.0, 0.0]) for i in range(200)] + [(200 + i, [1.0, float(i), 2.0]) for i in range(40)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
@@ -375,6 +391,22 @@ def test_replies(spark):
     assert (got[1, 3]["n_quotes"], got[1, 3]["n_linked"]) == (3, 2)
 
 
+def test_own_lines_that_announce_nothing_stay(spark):
+    rows = [
+        (0, "On Monday my sister wrote:\nthree long letters"),
+        (1, "On Monday X wrote:\nOn Tuesday Y wrote:\n\n> three long letters\nOn Sunday he wrote:"),
+        (2, "> three long letters\nEl lunes escribió:"),
+        (3, "On Monday X wrote:"), (4, "On Monday X wrote:\n> a\n>> b\n> c\nOn it Z wrote:\n> d"),
+    ]
+    got = reply_conversations(spark.createDataFrame(rows, "turn long, text string"), scope=())
+    assert {r["turn"]: r["text"] for r in got.collect()} == {
+        0: "On Monday my sister wrote:\nthree long letters",
+        1: "On Monday X wrote:\n\nOn Sunday he wrote:",
+        2: "El lunes escribió:",
+        3: "On Monday X wrote:", 4: "",
+    }
+
+
 def test_replies_without_scope(spark):
     df = spark.createDataFrame([(0, "some first words"), (9, "yes\n> some first words")],
                                "turn long, text string")
