@@ -81,7 +81,11 @@ def _column(batch, name: str) -> pa.Array:
 
 
 def vector_nodes(rows: DataFrame, key: str, vector: str) -> DataFrame:
-    """Distinct usable vectors: node, vec, packed, members (its six least ids), n_members."""
+    """Distinct usable vectors, scaled by a power of two: node, vec, packed, members.
+
+    Members are the six least ids. Vectors that differ by a power of two alone are one node;
+    all their cosines are equal.
+    """
     vec = F.col(vector).cast("array<double>")
     usable = (
         rows.select(F.col(key).alias("id"), vec.alias("vec"))
@@ -92,6 +96,7 @@ def vector_nodes(rows: DataFrame, key: str, vector: str) -> DataFrame:
     )
     widths = usable.groupBy("width").count().orderBy(F.desc("count"), "width").limit(1).collect()
     usable = usable.where(F.col("width") == (widths[0]["width"] if widths else 0)).drop("width")
+    usable = usable.withColumn("vec", _scaled(F.col("vec")))
     usable = usable.withColumn("h1", F.xxhash64("vec")).withColumn(
         "h2", F.xxhash64(F.lit(1), "vec"))
     ranked = numbered(
@@ -116,6 +121,17 @@ def vector_nodes(rows: DataFrame, key: str, vector: str) -> DataFrame:
         .withColumn("node", F.monotonically_increasing_id()))
 
 
+def _scaled(vec: Column) -> Column:
+    """Times the power of two that brings its largest component near one, in two halves.
+
+    That changes no cosine by a bit, and products neither overflow nor vanish.
+    """
+    power = -F.floor(F.log2(F.array_max(F.transform(vec, F.abs))))
+    half = F.floor(power / 2)
+    one, two = F.pow(F.lit(2.0), half), F.pow(F.lit(2.0), power - half)
+    return F.transform(vec, lambda x: x * one * two)
+
+
 def best_of(
     owner: np.ndarray, other: np.ndarray, sims: np.ndarray, most: int
 ) -> np.ndarray:
@@ -382,7 +398,7 @@ def nearest(
     )
     # Queries of equal vectors search once: a query is a node.
     own = rows.where(asks).select(F.col(key).alias("query_id"),
-                                  F.col(vector).cast("array<double>").alias("vec"))
+                                  _scaled(F.col(vector).cast("array<double>")).alias("vec"))
     asked = cut_lineage(own.join(nodes.select("vec", "node"), "vec").select(
         "query_id", "node").distinct())
     state = nodes.join(asked.select("node").distinct(), "node").select(
