@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,8 @@ from checks.query import (
     table,
     union_sql,
 )
+from tableprofile.functions.checkpoints import scratch_path
+from tableprofile.operators.sketches import DISTINCT_ERROR, RANK_ERROR
 
 LINEITEM_NUMERIC = LINEITEM_COLUMNS[:8]
 ORDERS_COLUMNS = (
@@ -420,4 +423,90 @@ from orders""",
     ),
 }
 
-QUERIES = {**BASIC, **SUMMARY, **MISSING, **UNIQUE, **CORRELATION, **VALUES}
+def _top_values_sql(source: str, columns: Sequence[str], top_n: int = 10) -> str:
+    return union_sql([
+        f"""select * from (select '{c}' as "column", cast(row_number() over (
+  order by n desc, v nulls first) as integer) as rank, cast(v as varchar) as value, n as count
+  from (select {c} as v, count(*) as n from ({source}) group by 1)) where rank <= {top_n}"""
+        for c in columns
+    ])
+
+
+def _month_states(spark: SparkSession, folder: str) -> DataFrame:
+    df = lineitem_with_nulls(spark, folder)
+    return tp.sketch_states(df.withColumn("month", F.trunc("l_shipdate", "month")), ["month"])
+
+
+def _sketched_unique(spark: SparkSession, folder: str) -> DataFrame:
+    """Months merged: rows and missing values exact, distinct values within three errors."""
+    df = lineitem_with_nulls(spark, folder)
+    merged = tp.merge_states(_month_states(spark, folder))
+    exact = tp.unique_values(df).select("column", "unique_count")
+    off = F.abs(F.col("unique_estimate") - F.col("unique_count"))
+    within = off <= 3 * DISTINCT_ERROR * F.col("unique_count") + 0.5
+    return tp.state_estimates(merged).join(exact, "column").select(
+        "column", "rows", "missing", within.alias("within"))
+
+
+def _sketched_median(spark: SparkSession, folder: str) -> DataFrame:
+    """Months merged: the rank of the sketched median is within its error of the middle."""
+    merged = tp.merge_states(_month_states(spark, folder).where("column = 'l_extendedprice'"))
+    value = tp.state_estimates(merged).first()["quantiles"][0]
+    price = F.col("l_extendedprice")
+    share = lambda c: F.avg(c.cast("double"))
+    return table(spark, folder, "lineitem").agg(
+        ((share(price < value) <= 0.5 + RANK_ERROR) & (share(price <= value) >= 0.5 - RANK_ERROR))
+        .alias("within"),
+        F.count(F.lit(1)).alias("rows"))
+
+
+def _stored_states(spark: SparkSession, folder: str) -> DataFrame:
+    """Days of events stored one half after the other, the second half twice, then merged."""
+    uri, by = scratch_path(spark, "states"), ["day"]
+    df = table(spark, folder, "events").withColumn("day", F.to_date("ts"))
+    late = F.dayofmonth("day") > 15
+    for half in (~late, late, late):
+        states = tp.sketch_states(df.where(half), by, ["event_type", "user_id", "value"])
+        tp.save_states(states, uri, by)
+    merged = tp.merge_states(tp.load_states(spark, uri, "day date"))
+    return tp.state_estimates(merged, ranks=()).select(
+        "column", "rows", "missing", F.when(F.col("column") == "event_type", F.col("unique_estimate"))
+        .alias("types"))
+
+
+SKETCHES = {
+    "top_values_lineitem": Query(
+        lambda s, d: tp.top_values(table(s, d, "lineitem")),
+        _top_values_sql("select * from lineitem", LINEITEM_COLUMNS),
+    ),
+    "top_values_lineitem_nulls": Query(
+        lambda s, d: tp.top_values(lineitem_with_nulls(s, d), top_n=3, buckets=64),
+        _top_values_sql(LINEITEM_NULLS_SQL, LINEITEM_COLUMNS, 3),
+    ),
+    "top_values_documents": Query(
+        lambda s, d: tp.top_values(table(s, d, "documents"), ["text", "lang", "source"]),
+        _top_values_sql("select * from documents", ("text", "lang", "source")),
+    ),
+    "sketched_unique_lineitem": Query(
+        _sketched_unique,
+        union_sql([
+            f"""select '{c}' as "column", count(*) as rows, count(*) - count({c}) as missing,
+       true as within from ({LINEITEM_NULLS_SQL})"""
+            for c in LINEITEM_COLUMNS
+        ]),
+    ),
+    "sketched_median_lineitem": Query(
+        _sketched_median, "select true as within, count(*) as rows from lineitem"
+    ),
+    "stored_states_events": Query(
+        _stored_states,
+        union_sql([
+            f"""select '{c}' as "column", count(*) as rows, count(*) - count({c}) as missing,
+       {"count(distinct event_type)" if c == "event_type" else "cast(null as bigint)"} as types
+from events"""
+            for c in ("event_type", "user_id", "value")
+        ]),
+    ),
+}
+
+QUERIES = {**BASIC, **SUMMARY, **MISSING, **UNIQUE, **CORRELATION, **VALUES, **SKETCHES}

@@ -143,7 +143,46 @@ def _rewritten(spark: SparkSession, folder: str) -> DataFrame:
     return tp.load_results(spark, target).drop("created_at", "name")
 
 
+def _transferred(spark: SparkSession, folder: str) -> DataFrame:
+    """A table of several files, copied as files and read from the copy."""
+    source, target = (scratch_path(spark, n) for n in ("files", "copies"))
+    table(spark, folder, "customer").repartition(4, "c_custkey").write.partitionBy("c_mktsegment").parquet(source)
+    tp.transfer_files(spark, source, target)
+    return spark.read.parquet(target)
+
+
+def _published(spark: SparkSession, folder: str) -> tuple[str, int]:
+    """Two jobs published, one of them twice, then retention; the version before it is returned."""
+    uri = scratch_path(spark, "versions")
+    for name, column, when in (
+        ("orders", "o_orderstatus", datetime(2024, 1, 1)),
+        ("orders", "o_orderpriority", datetime(2024, 1, 2)),
+        ("events", "event_type", datetime(2024, 1, 20)),
+    ):
+        found = tp.profile(table(spark, folder, name), ["value_counts"], value_count_columns=[column])
+        before = tp.publish_results(found, uri, name, created_at=when)
+    tp.publish_retained(spark, uri, days=7, as_of=datetime(2024, 1, 21))
+    return uri, before
+
+
+def _pinned_version(spark: SparkSession, folder: str) -> DataFrame:
+    return tp.read_version(spark, *_published(spark, folder)).drop("created_at", "name")
+
+
+def _retained_version(spark: SparkSession, folder: str) -> DataFrame:
+    return tp.read_version(spark, _published(spark, folder)[0]).drop("created_at", "name")
+
+
+_RESULT_COLUMNS = "section, subject, metric, num_value, str_value, job_id"
+_EVENT_COUNTS_SQL = _counts_sql("events", "events", "event_type", _RESULT_COLUMNS)
+_ORDER_COUNTS_SQL = _counts_sql("orders", "orders", "o_orderpriority", _RESULT_COLUMNS)
+
 QUERIES = {
+    "transferred_files": Query(_transferred, "select * from customer"),
+    "version_pinned_before_retention": Query(
+        _pinned_version, f"{_ORDER_COUNTS_SQL}\nunion all\n{_EVENT_COUNTS_SQL}"
+    ),
+    "version_after_retention": Query(_retained_version, _EVENT_COUNTS_SQL),
     "rewritten_results": Query(
         _rewritten,
         _counts_sql(

@@ -16,6 +16,7 @@ from tableprofile.operators.describe import (
 )
 from tableprofile.operators.evaluation import classification_metrics, regression_metrics
 from tableprofile.operators.features import baskets, binarise, fill_missing, split_by_key
+from tableprofile.operators.heavy import top_values
 from tableprofile.operators.patterns import (
     association_rules,
     frequent_itemsets,
@@ -31,6 +32,13 @@ from tableprofile.operators.scaling import (
     scalability_detail,
     speedup,
 )
+from tableprofile.operators.sketches import (
+    load_states,
+    merge_states,
+    save_states,
+    sketch_states,
+    state_estimates,
+)
 from tableprofile.operators.trees import fit_decision_tree
 from tableprofile.plans.analysis import analyze
 from tableprofile.plans.jobs import MODEL_JOBS, run_model
@@ -45,6 +53,14 @@ from tableprofile.sources.results import (
     storage_inventory,
 )
 from tableprofile.sources.tables import copy_table, load_table, object_uri, save_table
+from tableprofile.sources.transfer import transfer_files
+from tableprofile.sources.versions import (
+    latest_version,
+    publish_results,
+    publish_retained,
+    published_versions,
+    read_version,
+)
 
 __all__ = [
     "MODEL_JOBS",
@@ -66,14 +82,21 @@ __all__ = [
     "fit_kmeans",
     "fit_linear_regression",
     "frequent_itemsets",
+    "latest_version",
     "lloyd_kmeans",
     "load_results",
+    "load_states",
     "load_table",
+    "merge_states",
     "missing_overall",
     "missing_values",
     "object_uri",
     "performance_by_workers",
     "profile",
+    "publish_results",
+    "publish_retained",
+    "published_versions",
+    "read_version",
     "regression_metrics",
     "retained_results",
     "rewrite_retained",
@@ -81,15 +104,20 @@ __all__ = [
     "run_summary",
     "save_results",
     "save_run_metrics",
+    "save_states",
     "save_table",
     "scalability",
     "scalability_detail",
+    "sketch_states",
     "speedup",
     "split_by_key",
+    "state_estimates",
     "storage_inventory",
     "summary_statistics",
     "top_itemsets",
     "top_rules",
+    "top_values",
+    "transfer_files",
     "unique_values",
     "value_counts",
 ]
