@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableprofile.functions.checkpoints import cut_lineage
-from tableprofile.llm.shared import numbered
+from tableprofile.llm.shared import HOT_PARTS, join_hot, numbered
 
 SHARDS = 24
 BLOCK_GROUPS = 1024
@@ -96,8 +96,10 @@ def balanced_shards(
     """The input with ``shard``: rows equal in ``group`` together, sums of ``size`` near equal."""
     if "shard" in rows.columns:
         rows = rows.drop("shard")
-    groups = cut_lineage(rows.groupBy(group).agg(F.sum(size).cast("long").alias("_weight")))
-    count, total = groups.agg(F.count("*"), F.coalesce(F.sum("_weight"), F.lit(0))).first()
+    groups = cut_lineage(rows.groupBy(group).agg(
+        F.sum(size).cast("long").alias("_weight"), F.count("*").alias("_n")))
+    count, total, held = groups.agg(
+        F.count("*"), F.coalesce(F.sum("_weight"), F.lit(0)), F.coalesce(F.sum("_n"), F.lit(0))).first()
     blocks = max(1, -(-count // block_groups))
     heavy = F.col("_weight") > total / (HEAVY_SHARE * shards * min(blocks, 1024))
     kind = groups.schema[group].dataType.simpleString()
@@ -132,8 +134,9 @@ def balanced_shards(
     both = [a + b for a, b in zip(first, sums_of(middle)[0])]
     late = light.where(F.col("_block") == _LAST)
     closing = assigned(late, both, total - heavy_bytes - weight)
-    found = large.unionByName(middle).unionByName(closing).select("_group", "shard")
-    return rows.join(found, rows[group] == found["_group"]).drop("_group")
+    found = large.unionByName(middle).unionByName(closing).select(F.col("_group").alias(group), "shard")
+    many = F.broadcast(groups.where(F.col("_n") * HOT_PARTS > held).select(group))
+    return join_hot(rows, found, found.join(many, group, "left_semi"), group)
 
 
 def shard_documents(

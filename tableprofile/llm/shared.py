@@ -142,6 +142,24 @@ def numbered(df: DataFrame, groups: list[str], column: str) -> DataFrame:
     )
 
 
+# A key is hot if it holds more than this part of the rows of a join; fewer keys than that are.
+HOT_PARTS = 1024
+
+
+def join_hot(many: DataFrame, few: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    """Inner join with ``few``, which has a row per key; ``hot`` are its rows of hot keys.
+
+    Keys with more than one in ``HOT_PARTS`` of the rows of ``many`` are fewer than that, so
+    ``hot`` is sent to every task and their rows stay where they are. Rows of the other keys
+    are shuffled, and no key brings a task more than that part of them.
+    """
+    values = [F.col(c) for c in few.columns if c != key]
+    sent = unused("_hot", [*many.columns, *few.columns])
+    marked = many.join(F.broadcast(hot.select(key, F.struct(*values).alias(sent))), key, "left")
+    near = marked.where(F.col(sent).isNotNull()).select("*", f"{sent}.*").drop(sent)
+    return near.unionByName(marked.where(F.col(sent).isNull()).drop(sent).join(few, key))
+
+
 def kept_in_worker(name: str, make):
     """What ``make()`` gives, made once in a Python worker and kept for its later tasks."""
     import sys

@@ -23,7 +23,7 @@ from tableprofile.llm.differencing import difference, shard_documents
 from tableprofile.llm.packing import best_fit, crossover, evolve, fill_of, pack_pieces, token_pieces
 from tableprofile.llm.quotations import reply_conversations
 from tableprofile.llm.queries import tokenizer_file
-from tableprofile.llm.shared import numbered
+from tableprofile.llm.shared import join_hot, numbered
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -259,6 +259,7 @@ def test_components_equal_union_find(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)]
     edges += [(i, i + 1) for i in range(1000, 1100)] + [(7, 7)]
+    edges += [(3000, i) for i in range(2000, 4000, 2)] + [(i, 9000) for i in range(5000, 6000)]
     got = connected_components(spark.createDataFrame(edges, "a long, b long"))
     got = {r["node"]: r["root"] for r in got.collect()}
     root = {x: x for e in edges for x in e}
@@ -275,6 +276,20 @@ def test_components_equal_union_find(spark):
     assert got == {x: find(x) for x in linked}
 
 
+def test_join_of_hot_keys_equals_a_join(spark):
+    many = spark.createDataFrame(
+        [(i, 7 if i % 3 else i, str(i)) for i in range(6000)] + [(-1, None, "n")],
+        "id long, key long, _hot string").repartition(5)
+    few = spark.createDataFrame([(k, k * 2) for k in range(5000)], "key long, twice long")
+    counts = many.groupBy("key").count().where("count > 100").select("key")
+    hot = few.join(counts, "key", "left_semi")
+    want = sorted(map(tuple, many.join(few, "key").select("id", "key", "_hot", "twice").collect()))
+    got = join_hot(many, few, hot, "key")
+    assert sorted(map(tuple, got.select("id", "key", "_hot", "twice").collect())) == want
+    none = join_hot(many, few, hot.limit(0), "key")
+    assert sorted(map(tuple, none.select("id", "key", "_hot", "twice").collect())) == want
+
+
 # Neighbours.
 
 
