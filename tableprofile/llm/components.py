@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableprofile.functions.checkpoints import cut_lineage
+from tableprofile.llm.shared import HOT_PARTS, join_hot
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root`` (least node of its component) of every node with an edge.
 
     ``edges`` has columns a and b; loops and repeats do no harm. A node's neighbours are
-    never gathered: only their least is, by a partial aggregate, and joined back.
+    never gathered: only their least is, by a partial aggregate, and joined back. The least
+    neighbours of hubs are sent to every task, so that the edges of a hub are not shuffled.
     """
     now = cut_lineage(
         edges.where("a <> b")
@@ -21,12 +23,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
     mark = _mark(now)
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
-        least = least.select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), "m")
+        # Large-star gives at most these many edges too.
+        hub = F.col("n") * HOT_PARTS > 2 * mark[0]
+        counted = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        least = counted.select("u", F.least("u", "m").alias("m"))
+        hubs = counted.where(hub).select("u", F.least("u", "m").alias("m"))
+        large = join_hot(both, least, hubs, "u").where("v > u").select(F.col("v").alias("u"), "m")
         large = large.select("u", F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), "m")
+        counted = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        low, hubs = counted.select("u", "m"), counted.where(hub).select("u", "m")
+        moved = join_hot(large, low, hubs, "u").where("v <> m").select(F.col("v").alias("u"), "m")
         small = moved.unionByName(low).select(
             F.greatest("u", "m").alias("u"), F.least("u", "m").alias("v")).where("u <> v")
         now = cut_lineage(small.distinct())
