@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import tableprofile as tp
 from checks.query import (
+    LINEITEM_COLUMNS,
     LINEITEM_NULLS_SQL,
     Query,
     lineitem_with_nulls,
@@ -282,6 +283,53 @@ moments as (
 {_facts_sql(_regression_cells(features), digits, "facts")}"""
 
 
+# The default fit of lineitem: the first numeric column by the others.
+LINEITEM_NUMERIC = LINEITEM_COLUMNS[:8]
+DEFAULT_LABEL, *DEFAULT_FEATURES = LINEITEM_NUMERIC
+# Steps of proximal gradient descent; on correlations like these, far more than it takes.
+STEPS = 400
+
+
+def _default_optimum(spark: SparkSession, folder: str) -> DataFrame:
+    """The coefficients of the default fit, in standard deviations of label and feature."""
+    df = table(spark, folder, "lineitem")
+    fit = tp.fit_linear_regression(df, key=["l_orderkey"], digits=None)
+    train = tp.split_by_key(df, ["l_orderkey"]).filter("is_train")
+    spread = train.agg(*[F.stddev_pop(c).alias(c) for c in LINEITEM_NUMERIC])
+    weights = {
+        c: F.lit(fit.fact("coefficient", c)) * F.col(c) / F.col(DEFAULT_LABEL) for c in DEFAULT_FEATURES}
+    cells = [
+        F.struct(F.lit(c).alias("feature"), F.round(w, 5).alias("weight")) for c, w in weights.items()]
+    return spread.select(F.inline(F.array(*cells)))
+
+
+def _default_optimum_sql() -> str:
+    """Minimise the penalised loss by proximal gradient steps on the correlations alone."""
+    names = [f"cast({c} as double)" for c in DEFAULT_FEATURES]
+    rows = ", ".join("[" + ", ".join(f"corr({a}, {b})" for b in names) + "]" for a in names)
+    label = f"cast({DEFAULT_LABEL} as double)"
+    sides = ", ".join(f"corr({a}, {label})" for a in names)
+    count = len(names)
+    return f"""with recursive base as materialized (
+  select * from lineitem where {md5_train_sql("l_orderkey")}
+), problem as materialized (
+  select [{rows}] as g, [{sides}] as c, 0.3e0 / stddev_pop({label}) as lam, 0.8e0 as a from base
+), scaled as materialized (
+  select *, 1 / (lam + list_max(list_transform(g, lambda r: list_sum(list_transform(r, lambda x: abs(x)))))) as s
+  from problem
+), steps as (
+  select 0 as step, list_transform(range({count}), lambda i: 0e0) as w
+  union all
+  select step + 1, list_transform(
+    list_transform(range(1, {count + 1}), lambda i:
+      w[i] + s * (c[i] - list_dot_product(g[i], w) - lam * (1 - a) * w[i])),
+    lambda z: sign(z) * greatest(abs(z) - s * lam * a, 0))
+  from steps, scaled where step < {STEPS}
+)
+select unnest({list(DEFAULT_FEATURES)}) as feature, round(unnest(w), 5) as weight
+from steps where step = {STEPS}"""
+
+
 def _regression_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """Metrics of predictions by a fixed formula."""
     df = table(spark, folder, "lineitem").select(
@@ -315,6 +363,7 @@ REGRESSION_QUERIES = {
        count(*) filter (where t) as training_rows, true as rmse_matches, true as r2_matches
 from (select {md5_train_sql("l_orderkey")} as t from lineitem)""",
     ),
+    "linear_regression_default_optimum": Query(_default_optimum, _default_optimum_sql()),
     "linear_regression_trimmed": Query(
         lambda s, d: tp.run_model(table(s, d, "lineitem"), "linear_regression", top_n=2)
         .filter("metric in ('coefficient', 'feature')").groupBy("metric")
