@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ from pyspark.mllib.clustering import KMeans, KMeansModel
 from pyspark.sql import functions as F
 
 import tableprofile as tp
+from tableprofile.operators import clustering
 from tableprofile.operators.features import working_set
 from tableprofile.operators.fitted import NoTrainingRowsError
 
@@ -237,3 +239,24 @@ def test_working_set_uses_all_cores(spark):
         assert rows.select(F.spark_partition_id()).distinct().count() == cores + 3
     with working_set(few.where("id < 0")) as rows:
         assert rows.count() == 0
+
+
+def test_passes_of_kmeans_take_blocks_of_points(spark, monkeypatch):
+    """A pass hands few blocks to the Python workers, not each point by itself."""
+    held = []
+
+    @contextmanager
+    def counted(df):
+        with working_set(df) as rows:
+            held.append(rows.count())
+            yield rows
+
+    monkeypatch.setattr(clustering, "working_set", counted)
+    x = ((F.col("id") * 37) % 1009).cast("double")
+    df = spark.range(50_000).select(F.when(F.col("id") % 50 != 0, x).alias("x"))
+    found = tp.lloyd_kmeans(df, ["x"], k=3, seeding="oversampled")
+    assert sum(found.sizes) == 50_000
+    assert held[0] <= 20
+    values = np.array([r["x"] or 0.0 for r in df.collect()])
+    centres = np.array(found.centres)[:, 0]
+    assert found.cost == pytest.approx(((values[:, None] - centres) ** 2).min(axis=1).sum())
