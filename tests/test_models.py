@@ -10,7 +10,7 @@ from pyspark.mllib.clustering import KMeans, KMeansModel
 from pyspark.sql import functions as F
 
 import tableprofile as tp
-from tableprofile.operators import clustering
+from tableprofile.operators import clustering, quantiles, trees
 from tableprofile.operators.features import working_set
 from tableprofile.operators.fitted import NoTrainingRowsError
 
@@ -241,8 +241,8 @@ def test_working_set_uses_all_cores(spark):
         assert rows.count() == 0
 
 
-def test_passes_of_kmeans_take_blocks_of_points(spark, monkeypatch):
-    """A pass hands few blocks to the Python workers, not each point by itself."""
+def counted_sets(monkeypatch, module):
+    """The rows of each working set a module keeps, as they come."""
     held = []
 
     @contextmanager
@@ -251,7 +251,13 @@ def test_passes_of_kmeans_take_blocks_of_points(spark, monkeypatch):
             held.append(rows.count())
             yield rows
 
-    monkeypatch.setattr(clustering, "working_set", counted)
+    monkeypatch.setattr(module, "working_set", counted)
+    return held
+
+
+def test_passes_of_kmeans_take_blocks_of_points(spark, monkeypatch):
+    """A pass hands few blocks to the Python workers, not each point by itself."""
+    held = counted_sets(monkeypatch, clustering)
     x = ((F.col("id") * 37) % 1009).cast("double")
     df = spark.range(50_000).select(F.when(F.col("id") % 50 != 0, x).alias("x"))
     found = tp.lloyd_kmeans(df, ["x"], k=3, seeding="oversampled")
@@ -260,3 +266,19 @@ def test_passes_of_kmeans_take_blocks_of_points(spark, monkeypatch):
     values = np.array([r["x"] or 0.0 for r in df.collect()])
     centres = np.array(found.centres)[:, 0]
     assert found.cost == pytest.approx(((values[:, None] - centres) ** 2).min(axis=1).sum())
+
+
+def test_levels_of_a_tree_take_blocks_of_rows(spark, monkeypatch):
+    """Rows reach the Python workers in blocks; groups of few columns find the same tree."""
+    held = counted_sets(monkeypatch, trees)
+    df = spark.range(50_000).select(
+        F.col("id").alias("key"), (F.col("id") % 997).alias("y"),
+        ((F.col("id") * 37) % 1009).alias("a"), ((F.col("id") % 997) / 7.0).alias("b"),
+        (F.col("id") % 5).alias("c"), F.when(F.col("id") % 3 > 0, F.col("id") % 211).alias("d"),
+    )
+    fit = lambda: tp.fit_decision_tree(df, "y", ["a", "b", "c", "d"], key=["key"], digits=None)
+    facts = fit().facts
+    assert held[0] == 50_000 and max(held[1:]) <= 20
+    monkeypatch.setattr(trees, "_CELLS", 1)
+    monkeypatch.setattr(quantiles, "_BRACKETS", 3)
+    assert fit().facts == facts
