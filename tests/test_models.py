@@ -10,6 +10,7 @@ from pyspark.mllib.clustering import KMeans, KMeansModel
 from pyspark.sql import functions as F
 
 import tableprofile as tp
+from checks.modelling import FEATURE_QUERIES
 from tableprofile.operators import clustering, quantiles, trees
 from tableprofile.operators.features import working_set
 from tableprofile.operators.fitted import NoTrainingRowsError
@@ -282,3 +283,16 @@ def test_levels_of_a_tree_take_blocks_of_rows(spark, monkeypatch):
     monkeypatch.setattr(trees, "_CELLS", 1)
     monkeypatch.setattr(quantiles, "_BRACKETS", 3)
     assert fit().facts == facts
+
+
+def test_a_content_split_is_checked_without_shuffling_rows(spark, tmp_path):
+    """Copies and rows with a NULL (which equal none) aside, each row counts once."""
+    rows = [(i % 900, f"{i % 900} " + "x" * 50, None if i % 900 == 7 else 0.5) for i in range(1200)]
+    spark.createDataFrame(rows, "a long, b string, c double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = FEATURE_QUERIES["split_by_content_stable"].run(spark, str(tmp_path))
+    assert found.first()["different_rows"] == 899
+    assert found.first()["copies_together"] and found.first()["same_again"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    keys = [line for line in plan.splitlines() if "Aggregate [" in line and "hash1" in line]
+    assert len(keys) == 1 and "Aggregate [hash1" in keys[0]
