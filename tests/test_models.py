@@ -4,6 +4,7 @@ import math
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.mllib.clustering import KMeans, KMeansModel
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 import tableprofile as tp
 from checks.modelling import FEATURE_QUERIES
+from tableprofile.functions.blocks import over_blocks
 from tableprofile.operators import clustering, quantiles, trees
 from tableprofile.operators.features import working_set
 from tableprofile.operators.fitted import NoTrainingRowsError
@@ -285,6 +287,27 @@ def test_levels_of_a_tree_take_blocks_of_rows(spark, monkeypatch):
     assert fit().facts == facts
 
 
+def test_blocks_reach_workers_a_few_at_a_time(spark):
+    """No batch of many blocks is gathered, on either side."""
+    blocks = spark.range(48, numPartitions=1).select(
+        F.expr("cast(repeat('abcdefgh', 131072) as binary)").alias("block"))
+
+    def held(arrays):
+        for own in arrays:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([own.size]), pa.array([pa.total_allocated_bytes()])], names=["n", "held"])
+
+    found = over_blocks(blocks, 2, np.int64, held, "n long, held long").collect()
+    assert [r["n"] for r in found] == [131072] * 48
+    assert max(r["held"] for r in found) < 8 << 20
+    for made in (
+        trees.binned(blocks, [[0.5]], np.dtype(np.uint8)),
+        trees._level_counts(blocks, {1: trees.Node(4, 2)}, 0, 2, 4, np.dtype(np.int64)),
+        quantiles._counted_parts(blocks, 2, {1: [(0.0, 1.0)]}),
+    ):
+        assert "MapInArrow" not in made._jdf.queryExecution().toString()
+
+
 def test_a_content_split_is_checked_without_shuffling_rows(spark, tmp_path):
     """Copies and rows with a NULL (which equal none) aside, each row counts once."""
     rows = [(i % 900, f"{i % 900} " + "x" * 50, None if i % 900 == 7 else 0.5) for i in range(1200)]
