@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -30,3 +31,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder once and read them from there."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of what is no longer referred to.
+
+    It drops them (and checkpoints, where ``spark.cleaner.referenceTracking.cleanCheckpoints``
+    is set) when the driver's JVM collects its garbage, which a loop of large rounds may not
+    bring about for long.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -9,10 +9,13 @@ Every node keeps its best ``neighbours``. Rounds go on until few links are new:
 a list only ever gets better. Widths grow with the number of vectors (``widths_for``).
 
 Queries search the graph greedily. A query holds the best ``beam`` nodes that it has seen;
-in a step it visits the best ones not yet visited, all queries at once by a join with the
-graph, until none of its beam is left to visit. A query whose vector is a node starts
-there. The whole beam is compared again in double precision on the original vectors and
-its nodes are replaced by the rows that hold them.
+in a step it visits the best ones not yet visited, until none of its beam is left to visit.
+The vector of a query travels to the nodes it visits, which answer with the neighbours that
+are not worse than its whole beam. A query whose vector is a node starts there. All of the
+beam that the error of the bytes leaves a place among the results is compared again in double
+precision on the original vectors, and its nodes are replaced by the rows that hold them.
+
+Rounds and steps read what the one before wrote, whose files are dropped after each.
 
 Vectors travel as signed bytes with a scale. A list of nodes that a node is a neighbour of
 is dealt over several groups where it is long (hubs), each with the node's own neighbours,
@@ -35,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tableprofile.functions.checkpoints import cut_lineage
+from tableprofile.functions.checkpoints import cut_lineage, release
 from tableprofile.llm.shared import groups_in, numbered
 
 # Least widths, for MEASURED nodes or fewer; see ``widths_for``.
@@ -47,6 +50,9 @@ LEAF = 1024
 TABLES = 6
 STOP_SHARE = 0.02
 HUB_LINKS = 2048
+# Rows of a task in a shuffle of links, and visits whose nodes are sent to every task.
+TASK_ROWS = 1 << 20
+FEW_VISITS = 1 << 16
 
 
 def widths_for(count: int) -> tuple[int, int, int]:
@@ -70,7 +76,11 @@ def packed(vectors: np.ndarray) -> list[bytes]:
 
 
 def unpacked(rows: list[bytes]) -> np.ndarray:
-    raw = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1)
+    return _unpacked(b"".join(rows), len(rows))
+
+
+def _unpacked(rows: bytes, count: int) -> np.ndarray:
+    raw = np.frombuffer(rows, np.uint8).reshape(count, -1)
     scale = np.ascontiguousarray(raw[:, :4]).view("<f4")
     return raw[:, 4:].view(np.int8).astype(np.float32) * scale
 
@@ -80,10 +90,16 @@ def _column(batch, name: str) -> pa.Array:
     return found.combine_chunks() if isinstance(found, pa.ChunkedArray) else found
 
 
+def _lists(batch, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where the lists of a column begin and end, and their values."""
+    found = _column(batch, name)
+    return found.offsets.to_numpy(), found.values.to_numpy(zero_copy_only=False)
+
+
 def vector_nodes(rows: DataFrame, key: str, vector: str) -> DataFrame:
-    """Distinct usable vectors, scaled by a power of two: node, vec, packed, members.
+    """Distinct usable vectors, scaled by a power of two: node, vec, packed, error, members.
 
-    Members are the six least ids. Vectors that differ by a power of two alone are one node;
+    Members are the six least ids; the error is the distance of the packed from the unit vector. Vectors that differ by a power of two alone are one node;
     all their cosines are equal.
     """
     vec = F.col(vector).cast("array<double>")
@@ -110,14 +126,17 @@ def vector_nodes(rows: DataFrame, key: str, vector: str) -> DataFrame:
             if not batch.num_rows:
                 continue
             flat = batch.column("vec").flatten().to_numpy().reshape(batch.num_rows, -1)
+            rows = packed(flat)
+            unit = flat / np.linalg.norm(flat, axis=1, keepdims=True)
+            error = np.linalg.norm(unpacked(rows) - unit, axis=1)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(packed(flat), pa.binary())],
-                names=[*batch.schema.names, "packed"])
+                [*batch.columns, pa.array(rows, pa.binary()), pa.array(error)],
+                names=[*batch.schema.names, "packed", "error"])
 
     joined = vectors.join(members, ["h1", "h2"]).select("vec", "members")
     kind = rows.schema[key].dataType.simpleString()
     return cut_lineage(
-        joined.mapInArrow(pack, f"vec array<double>, members array<{kind}>, packed binary")
+        joined.mapInArrow(pack, f"vec array<double>, members array<{kind}>, packed binary, error double")
         .withColumn("node", F.monotonically_increasing_id()))
 
 
@@ -197,23 +216,23 @@ def _leaf_links(nodes: DataFrame, count: int, width: int, k: int, leaf: int, tab
 
     keys = ["leaf", "part"]
     return (
-        spread.repartition(_parts(nodes), *keys).sortWithinPartitions(*keys)
+        spread.repartition(_parts(nodes, count * tables), *keys).sortWithinPartitions(*keys)
         .mapInArrow(compare, _LINKS)
     )
 
 
-def _parts(df: DataFrame) -> int:
+def _parts(df: DataFrame, rows: int = 0) -> int:
     spark = df.sparkSession
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-               2 * spark.sparkContext.defaultParallelism)
+               2 * spark.sparkContext.defaultParallelism, math.ceil(rows / TASK_ROWS))
 
 
-def _best_links(links: DataFrame, k: int) -> DataFrame:
+def _best_links(links: DataFrame, k: int, rows: int) -> DataFrame:
     """u, nbrs: the k best distinct partners as (s, v, fresh), best first.
 
-    ``links`` has u, v, s, old (false for a link that is new in this round).
+    ``links``, about so many rows, has u, v, s, old (false for a link that is new in this round).
     """
-    spread = links.repartition(_parts(links), "u")
+    spread = links.repartition(_parts(links, rows), "u")
     one = spread.groupBy("u", "v").agg(F.max("s").alias("s"), (~F.max("old")).alias("fresh"))
     place = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("s"), "v"))
     return (
@@ -272,86 +291,124 @@ def neighbour_graph(
     count = nodes.count()
     width = len(nodes.select("packed").first()[0]) - 4 if count else 0
     first = _leaf_links(nodes, count, width, neighbours, leaf, tables)
-    graph = cut_lineage(_best_links(first.withColumn("old", F.lit(False)), neighbours))
+    graph = cut_lineage(_best_links(
+        first.withColumn("old", F.lit(False)), neighbours, count * neighbours * tables))
+    release(nodes.sparkSession)
     while True:
-        links = graph.select("u", F.explode("nbrs").alias("n")).select(
-            "u", "n.v", (-F.col("n.far")).cast("float").alias("s"), "n.fresh")
-        hubs = links.groupBy("v").agg(
-            F.ceil(F.count("*") / HUB_LINKS).cast("int").alias("salts"))
-        ends = (
-            nodes.select("node", "packed")
-            .join(graph.select(
-                F.col("u").alias("node"),
-                F.when(F.size("nbrs") >= neighbours, -F.element_at("nbrs", -1)["far"])
-                .otherwise(-2.0).cast("float").alias("bound")), "node")
-            .join(hubs.withColumnRenamed("v", "node"), "node", "left")
-            .withColumn("salts", F.coalesce("salts", F.lit(1)))
-        )
-        ends = cut_lineage(ends)
-        near = ends.select(*[F.col(c).alias(f"v_{c}") for c in ends.columns])
-        joined = (
-            links.join(ends, links["u"] == ends["node"])
-            .join(near, F.col("v") == F.col("v_node"))
-        )
-        side = lambda center, salt, role, end: F.struct(
-            F.col(center).alias("center"), salt.cast("int").alias("salt"),
-            F.lit(role).alias("role"), F.col(end + "node").alias("other"),
-            F.col(end + "packed").alias("packed"), F.col(end + "bound").alias("bound"),
-            F.col("fresh").alias("fresh"))
-        rows = joined.select(F.explode(F.concat(
-            F.transform(F.sequence(F.lit(0), F.col("salts") - 1), lambda i: side("u", i, 0, "v_")),
-            F.array(side("v", F.pmod(F.xxhash64("u"), F.col("v_salts")), 1, "")),
-        )).alias("r")).select("r.*")
-        found = (
-            rows.repartition(_parts(nodes), "center", "salt")
-            .sortWithinPartitions("center", "salt", "role")
-            .mapInArrow(_round_links(neighbours), _LINKS)
-        )
-        before = links.select("u", "v", "s", F.lit(True).alias("old"))
-        graph = cut_lineage(_best_links(
-            before.unionByName(found.withColumn("old", F.lit(False))), neighbours))
+        graph = _next_graph(nodes, graph, neighbours, count)
+        release(nodes.sparkSession)
         changed = graph.agg(F.sum(F.size(F.filter("nbrs", lambda n: n["fresh"])))).first()[0]
         if (changed or 0) <= stop_share * count * neighbours:
             return graph
 
 
+def _next_graph(nodes: DataFrame, graph: DataFrame, neighbours: int, count: int) -> DataFrame:
+    """The graph after another round."""
+    links = graph.select("u", F.explode("nbrs").alias("n")).select(
+        "u", "n.v", (-F.col("n.far")).cast("float").alias("s"), "n.fresh")
+    hubs = links.groupBy("v").agg(
+        F.ceil(F.count("*") / HUB_LINKS).cast("int").alias("salts"))
+    ends = (
+        nodes.select("node", "packed")
+        .join(graph.select(
+            F.col("u").alias("node"),
+            F.when(F.size("nbrs") >= neighbours, -F.element_at("nbrs", -1)["far"])
+            .otherwise(-2.0).cast("float").alias("bound")), "node")
+        .join(hubs.withColumnRenamed("v", "node"), "node", "left")
+        .withColumn("salts", F.coalesce("salts", F.lit(1)))
+    )
+    ends = cut_lineage(ends)
+    near = ends.select(*[F.col(c).alias(f"v_{c}") for c in ends.columns])
+    joined = (
+        links.join(ends, links["u"] == ends["node"])
+        .join(near, F.col("v") == F.col("v_node"))
+    )
+    side = lambda center, salt, role, end: F.struct(
+        F.col(center).alias("center"), salt.cast("int").alias("salt"),
+        F.lit(role).alias("role"), F.col(end + "node").alias("other"),
+        F.col(end + "packed").alias("packed"), F.col(end + "bound").alias("bound"),
+        F.col("fresh").alias("fresh"))
+    rows = joined.select(F.explode(F.concat(
+        F.transform(F.sequence(F.lit(0), F.col("salts") - 1), lambda i: side("u", i, 0, "v_")),
+        F.array(side("v", F.pmod(F.xxhash64("u"), F.col("v_salts")), 1, "")),
+    )).alias("r")).select("r.*")
+    found = (
+        rows.repartition(_parts(nodes, 2 * count * neighbours), "center", "salt")
+        .sortWithinPartitions("center", "salt", "role")
+        .mapInArrow(_round_links(neighbours), _LINKS)
+    )
+    before = links.select("u", "v", "s", F.lit(True).alias("old"))
+    return cut_lineage(_best_links(
+        before.unionByName(found.withColumn("old", F.lit(False))), neighbours,
+        4 * count * neighbours))
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each visit, the neighbours of the visited node that are not below the query's bound.
+
+    Rows are sorted by node and role: the node's neighbours, then the queries that visit it.
+    """
+    for table in groups_in(batches, 1):
+        u, role, query, bound = (
+            _column(table, c).to_numpy() for c in ("u", "role", "query", "bound"))
+        starts, flat = _lists(table, "ids")
+        packs = _column(table, "packed")
+        new = np.flatnonzero(np.r_[True, u[1:] != u[:-1]])
+        ends = np.r_[new[1:], len(u)]
+        who, sizes, ids, sims = [], [], [], []
+        seen = (ends - new > 1) & (role[new] == 0)
+        for a, b in zip(new[seen].tolist(), ends[seen].tolist()):
+            near = flat[starts[a] : starts[a + 1]]
+            own = _unpacked(packs[a].as_py(), len(near))
+            found = unpacked(packs[a + 1 : b].to_pylist()) @ own.T
+            x, y = np.nonzero(found >= bound[a + 1 : b, None])
+            who.append(query[a + 1 : b])
+            sizes.append(np.bincount(x, minlength=b - a - 1))
+            ids.append(near[y])
+            sims.append(found[x, y])
+        if not who:
+            continue
+        sizes = np.concatenate(sizes)
+        some = sizes > 0
+        at = pa.array(np.r_[0, np.cumsum(sizes[some])], pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(who)[some]),
+             pa.ListArray.from_arrays(at, pa.array(np.concatenate(ids), pa.int64())),
+             pa.ListArray.from_arrays(at, pa.array(np.concatenate(sims), pa.float32()))],
+            names=["query", "ids", "sims"])
+
+
 def _visited(beam: int, visits: int):
-    """New beams of the queries from their old ones and what they visited."""
+    """New beams of the queries from their old ones and what their visits met."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups_in(batches, 1):
             query = _column(table, "query").to_numpy()
             role = _column(table, "role").to_numpy()
-            vec = _column(table, "packed").to_pylist()
-            ids = _column(table, "ids").to_pylist()
-            sims = _column(table, "sims").to_pylist()
+            vec = _column(table, "packed")
+            starts, ids = _lists(table, "ids")
+            _, sims = _lists(table, "sims")
+            marks, visited = _lists(table, "visited")
             new = np.flatnonzero(np.r_[True, query[1:] != query[:-1]])
             out = []
             for a, b in zip(new.tolist(), [*new[1:].tolist(), len(query)]):
                 if role[a]:
                     continue
-                have = np.array(ids[a], dtype=np.int64)
-                value = np.array(sims[a], dtype=np.float32)
-                seen = np.zeros(len(have), dtype=bool)
-                seen[:] = table.column("visited")[a].as_py()
-                if b > a + 1:
-                    # The nodes just visited are the best that were not.
-                    more = np.concatenate([np.array(x, np.int64) for x in ids[a + 1 : b]])
-                    packs = b"".join(vec[a + 1 : b])
-                    each = len(packs) // max(len(more), 1)
-                    block = [packs[i : i + each] for i in range(0, len(packs), each)]
-                    more, at = np.unique(more, return_index=True)
-                    fresh = ~np.isin(more, have)
-                    more, at = more[fresh], at[fresh]
-                    if len(more):
-                        near = unpacked([block[i] for i in at]) @ unpacked([vec[a]])[0]
-                        have = np.r_[have, more]
-                        value = np.r_[value, near]
-                        seen = np.r_[seen, np.zeros(len(more), dtype=bool)]
+                held = slice(starts[a], starts[a + 1])
+                have, value = ids[held], sims[held]
+                seen = visited[marks[a] : marks[a + 1]].copy()
+                # The nodes just visited are the best that were not.
+                met = slice(starts[a + 1], starts[b])
+                more, at = np.unique(ids[met], return_index=True)
+                fresh = ~np.isin(more, have)
+                if fresh.any():
+                    have = np.r_[have, more[fresh]]
+                    value = np.r_[value, sims[met][at[fresh]]]
+                    seen = np.r_[seen, np.zeros(np.count_nonzero(fresh), dtype=bool)]
                 order = np.lexsort((have, -value))[:beam]
                 have, value, seen = have[order], value[order], seen[order]
                 todo = np.flatnonzero(~seen)[:visits]
                 seen[todo] = True
-                out.append((query[a], vec[a], have, value, seen, have[todo]))
+                out.append((query[a], vec[a].as_py(), have, value, seen, have[todo]))
             if out:
                 q, p, h, s, d, t = zip(*out)
                 yield pa.RecordBatch.from_arrays(
@@ -368,6 +425,55 @@ _BEAM = ("query long, packed binary, ids array<long>, sims array<float>, "
          "visited array<boolean>, todo array<long>")
 
 
+def _next_state(
+    state: DataFrame, inline: DataFrame, parts: int, beam: int, visits: int, left: int
+) -> DataFrame:
+    """The beams of all queries after a step of ``left`` visits."""
+    lists = lambda kind: F.array().cast(f"array<{kind}>")
+    worst = F.when(F.size("sims") >= beam, F.element_at("sims", -1)).otherwise(-2.0)
+    going = state.select(
+        F.explode("todo").alias("u"), F.lit(1).alias("role"), "query", "packed",
+        worst.cast("float").alias("bound"), lists("long").alias("ids"))
+    there = inline
+    if left <= FEW_VISITS:
+        there = there.join(F.broadcast(going.select("u").distinct()), "u", "left_semi")
+    there = there.select(
+        "u", F.lit(0).alias("role"), F.lit(-1).cast("long").alias("query"), "packed",
+        F.lit(-2.0).cast("float").alias("bound"), "ids")
+    met = (
+        there.unionByName(going).repartition(parts, "u").sortWithinPartitions("u", "role")
+        .mapInArrow(_met, "query long, ids array<long>, sims array<float>")
+        .select("query", F.lit(1).alias("role"), F.lit(None).cast("binary").alias("packed"),
+                "ids", "sims", lists("boolean").alias("visited"))
+    )
+    held = state.select("query", F.lit(0).alias("role"), "packed", "ids", "sims", "visited")
+    return cut_lineage(
+        held.unionByName(met).repartition(parts, "query")
+        .sortWithinPartitions("query", "role").mapInArrow(_visited(beam, visits), _BEAM))
+
+
+def _contenders(state: DataFrame, asked: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """query, node: the nodes of the beams that can hold one of the ``k`` best rows.
+
+    A query's own rows are no results, so nodes with none but its id do not count; they are
+    counted with the ``k``. No similarity of packed vectors is off by more than ``far``, the
+    errors of the two and what rounding adds: what lies further below the last one that
+    counts than twice that is no result.
+    """
+    top = nodes.agg(F.max("error").alias("e"), F.max(F.length("packed")).alias("n")).first()
+    error, width = top["e"] or 0.0, top["n"] or 0
+    far = error * (2 + error) + (width + 8) * 2.0 ** -22
+    alone = nodes.where(F.size("members") == 1).select(
+        F.element_at("members", 1).alias("query_id")).groupBy("query_id").agg(
+        F.count("*").alias("own"))
+    most = asked.join(alone, "query_id", "left").groupBy(F.col("node").alias("query")).agg(
+        (F.lit(k) + F.coalesce(F.max("own"), F.lit(0))).cast("int").alias("most"))
+    last = F.element_at("sims", F.least(F.size("sims"), F.col("most"))).cast("double")
+    return state.select("query", "ids", "sims").join(most, "query").select(
+        "query", F.explode(F.filter(F.arrays_zip("ids", "sims"), lambda x: (
+            x["sims"] >= last - 2 * far))).alias("x")).select("query", F.col("x.ids").alias("node"))
+
+
 def nearest(
     rows: DataFrame,
     asks: Column,
@@ -394,8 +500,11 @@ def nearest(
     inline = cut_lineage(
         near.join(nodes.select(F.col("node").alias("v"), "packed"), "v")
         .groupBy("u").agg(F.sort_array(F.collect_list(F.struct("at", "v", "packed"))).alias("n"))
-        .select("u", F.col("n.v").alias("ids"), F.col("n.packed").alias("packs"))
+        .select("u", F.col("n.v").alias("ids"), F.expr(
+            "aggregate(n.packed, binary(''), (a, x) -> a || x)").alias("packed"))
     )
+    del graph, near
+    release(rows.sparkSession)
     # Queries of equal vectors search once: a query is a node.
     own = rows.where(asks).select(F.col(key).alias("query_id"),
                                   _scaled(F.col(vector).cast("array<double>")).alias("vec"))
@@ -407,20 +516,11 @@ def nearest(
         F.array("node").alias("todo"),
     )
     state = cut_lineage(state)
-    while state.where(F.size("todo") > 0).limit(1).count():
-        visit = state.select("query", F.explode("todo").alias("u")).join(inline, "u")
-        visit = visit.select(
-            "query", F.lit(1).alias("role"),
-            F.expr("aggregate(packs, binary(''), (a, x) -> a || x)").alias("packed"), "ids",
-            F.lit(None).cast("array<float>").alias("sims"),
-            F.lit(None).cast("array<boolean>").alias("visited"),
-        )
-        held = state.select("query", F.lit(0).alias("role"), "packed", "ids", "sims", "visited")
-        state = cut_lineage(
-            held.unionByName(visit).repartition(_parts(nodes), "query")
-            .sortWithinPartitions("query", "role").mapInArrow(_visited(beam, visits), _BEAM)
-        )
-    best = state.select("query", F.explode("ids").alias("node"))
+    parts = _parts(nodes)
+    while left := state.agg(F.sum(F.size("todo"))).first()[0]:
+        state = _next_state(state, inline, parts, beam, visits, left)
+        release(rows.sparkSession)
+    best = _contenders(state, asked, nodes, k)
     full = nodes.select("node", "vec", "members")
     scored = (
         best.join(full, "node")

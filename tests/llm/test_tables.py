@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tableprofile.llm import descent
 from tableprofile.llm.chosen_path import (
     choose,
     overlaps,
@@ -485,3 +487,34 @@ def test_one_document_of_each_group(spark):
 
 def test_pipeline_runs(spark):
     assert corpus_pipeline.run(spark, FOLDER).count() > 50
+
+
+def test_searches_compare_only_contenders_again_and_release_files(spark, monkeypatch):
+    """Ids with many vectors are no exception: none of them are results of their own."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(400, 16))
+    x[:4] = x[0] + rng.normal(size=(4, 16)) / 100
+    ids = np.r_[np.zeros(4, int), np.arange(4, 400)]
+    df = spark.createDataFrame(
+        [(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    calls, again = Counter(), descent._contenders
+    for name in ("release", "_next_graph", "_next_state"):
+        monkeypatch.setattr(descent, name, lambda *a, f=getattr(descent, name), n=name: (
+            calls.update([n]), f(*a))[1])
+
+    def counted(*args):
+        found = again(*args).localCheckpoint()
+        calls["again"] += found.count()
+        return found
+
+    monkeypatch.setattr(descent, "_contenders", counted)
+    found = nearest(df, F.col("vec_id") < 20, neighbours=10, beam=200, visits=40).toPandas()
+    assert calls["release"] >= calls["_next_graph"] + calls["_next_state"] > 2
+    assert calls["again"] < 20 * 40
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for query in (0, *range(4, 20)):
+        sims = x[ids == query] @ x[ids != query].T
+        best = sorted((-s, i) for row in sims for s, i in zip(row, ids[ids != query]))[:5]
+        own = found[found.query_id == query].sort_values("rank")
+        assert own["vec_id"].tolist() == [i for _, i in best]
+        assert np.allclose(own["score"], [-s for s, _ in best], atol=1e-12)
